@@ -15,7 +15,10 @@ def split_fields(text: Column, delimiter: str) -> Column:
     empty field, and a text of nothing but delimiters gives none.
     """
     literal = re.escape(delimiter)
-    kept = F.regexp_replace(text, f"(?:{literal})+\\z", "")
+    if len(delimiter) == 1:
+        kept = F.rtrim(text, F.lit(delimiter))
+    else:
+        kept = F.regexp_replace(text, f"(?:{literal})+\\z", "")
     empty = F.array().cast("array<string>")
     return F.when((kept == "") & (text != ""), empty).otherwise(F.split(kept, literal, -1))
 

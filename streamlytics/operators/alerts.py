@@ -61,18 +61,29 @@ def rises_by_run(seconds: DataFrame) -> DataFrame:
     return seconds.select("id", "t", "rising", until.alias("until")).where("rising").drop("rising")
 
 
-def _arm_again(hold: int):
-    """Keep the rises that arm a timer, of runs sorted by (id, until, t)."""
+def _arming(hold: int):
+    """Keep the rises that arm a timer, of whole runs sorted by (id, until, t).
+
+    The first rise of a run always arms. Rises within ``hold`` of it never do, so only those
+    beyond are looked at one by one. The open run is carried from batch to batch.
+    """
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         run, due = None, 0
         for pdf in batches:
-            t = pdf["t"].to_numpy()
-            marks = list(zip(pdf["id"], pdf["until"].fillna(-1)))
-            keep = np.zeros(len(pdf), dtype=bool)
-            for i, mark in enumerate(marks):
-                if mark != run or t[i] > due:
-                    keep[i], run, due = True, mark, t[i] + hold
+            t = pdf["t"].to_numpy("int64")
+            runs = pd.MultiIndex.from_arrays([pdf["id"], pdf["until"].fillna(-1)])
+            code = runs.factorize()[0]
+            keep = np.concatenate([[runs[0] != run], code[1:] != code[:-1]])
+            starts = np.flatnonzero(keep)
+            dues = t[starts] + hold
+            if not keep[0]:
+                starts, dues = np.concatenate([[0], starts]), np.concatenate([[due], dues])
+            member = np.searchsorted(starts, np.arange(len(t)), side="right") - 1
+            for i in np.flatnonzero(t > dues[member]):
+                if t[i] > dues[member[i]]:
+                    keep[i], dues[member[i]] = True, t[i] + hold
+            run, due = runs[-1], dues[-1]
             yield pdf[keep]
 
     return walk
@@ -83,23 +94,15 @@ def temp_rise_alerts(
 ) -> DataFrame:
     """(id, fired_at) for every timer that fires."""
     runs = rises_by_run(turning_seconds(sensor, order, limit))
+    armed = (
+        runs.repartition("id", "until")
+        .sortWithinPartitions("id", "until", "t")
+        .mapInPandas(_arming(hold), runs.schema)
+    )
     last = sensor.agg(F.max("timestamp").alias("m")).select("m").scalar()
     due = F.col("t") + hold
     fires = F.when(F.col("until").isNotNull(), F.col("until") > due).otherwise(due <= last)
-
-    # A run can arm twice only if it outlives its first timer; the others need no walk.
-    span = Window.partitionBy("id", "until")
-    sized = runs.withColumns({"_first": F.min("t").over(span), "_last": F.max("t").over(span)})
-    again = F.col("_last") > F.col("_first") + hold
-    once = sized.where(~again).where("t = _first").select("id", "t", "until")
-    walked = (
-        sized.where(again)
-        .select("id", "t", "until")
-        .repartition("id", "until")
-        .sortWithinPartitions("id", "until", "t")
-        .mapInPandas(_arm_again(hold), runs.schema)
-    )
-    return once.unionByName(walked).where(fires).select("id", due.alias("fired_at"))
+    return armed.where(fires).select("id", due.alias("fired_at"))
 
 
 def alert_text(alerts: DataFrame) -> DataFrame:

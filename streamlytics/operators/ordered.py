@@ -20,7 +20,7 @@ from streamlytics.session import max_group_rows, pin
 
 @dataclass(frozen=True)
 class Slices:
-    """Rows with ``_slice``; ``split`` tells whether any key may span several slices."""
+    """Rows, with ``_slice`` where they are ``split``, so that a key may span several slices."""
 
     rows: DataFrame
     keys: list[str]
@@ -28,7 +28,8 @@ class Slices:
     split: bool
 
     def window(self):
-        return Window.partitionBy(*self.keys, "_slice").orderBy(*self.order)
+        part = [*self.keys, "_slice"] if self.split else self.keys
+        return Window.partitionBy(*part).orderBy(*self.order)
 
     def running(self):
         return self.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -69,7 +70,7 @@ def slices(
     limit = max_group_rows(spark) if limit is None else limit
     largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
     if largest <= limit:
-        return Slices(df.withColumn("_slice", F.lit(0)), keys, order, False)
+        return Slices(df, keys, order, False)
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     spread = df.repartitionByRange(width, *keys, *order)
     # Range borders come from a sample, so they are fixed by writing the sliced rows once.
@@ -83,7 +84,7 @@ def running_count(
     s = slices(df, keys, order, limit)
     within = F.row_number().over(s.window()).cast("bigint")
     if not s.split:
-        return s.rows.withColumn(name, within).drop("_slice")
+        return s.rows.withColumn(name, within)
     rows = s.carry({"_n": F.count(F.lit(1))}, {"_n": F.sum("_n")})
     return rows.withColumn(name, within + F.coalesce("_n", F.lit(0))).drop("_slice", "_n")
 
@@ -129,7 +130,7 @@ def previous_value(
     s = slices(df, keys, order, limit)
     before = F.lag(value).over(s.window())
     if not s.split:
-        return s.rows.withColumn(name, before).drop("_slice")
+        return s.rows.withColumn(name, before)
     rows = s.carry({"_last": F.max_by(value, F.struct(*order))}, {"_last": F.last("_last")})
     first_of_slice = F.row_number().over(s.window()) == 1
     return rows.withColumn(name, F.when(first_of_slice, F.col("_last")).otherwise(before)).drop(

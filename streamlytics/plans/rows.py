@@ -98,7 +98,7 @@ def parse_json_record(spark, d):
     "ev user_behavior",
 )
 def filter_equals(spark, d):
-    return v.user_behavior(spark, d).where(F.col("behavior") == "pv").select(
+    return v.user_behavior(spark, d, only="view").where(F.col("behavior") == "pv").select(
         "event_id", "userId", "itemId", "behavior"
     )
 

@@ -13,8 +13,8 @@ from streamlytics.plans.clicks import QUERY_THRESHOLD, TOP3_SQL
 from streamlytics.plans.keyed import BATCH_SQL, batch_of
 from streamlytics.plans.registry import query
 from streamlytics.plans.windows import (
-    ALERT_SQL, COUNT_SQL, MIN_SQL, SUM_SQL, TOP_SQL, TOTAL, VIEWS_SQL, _alert_oracle,
-    count_window_sql, session_sql, sliding_sql, ttl_sql, tumbling_sql,
+    COUNT_SQL, MIN_SQL, SUM_SQL, TOP_SQL, VIEWS_SQL, _alert_oracle,
+    count_window_sql, session_sql, sliding_sql, total, ttl_sql, tumbling_sql,
 )
 from streamlytics.session import scratch
 from streamlytics.sources.replay import replay
@@ -23,19 +23,19 @@ from streamlytics.streaming.clicks_app import ClicksApp
 from streamlytics.streaming.keyed import KeyedTable, add_up, keep_latest
 from streamlytics.streaming.run import each_batch, to_files
 
-_EVENT_COLUMNS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
-
-
 def replayed(spark, d, **options):
     """The events in three slices of ten days, shaped."""
     raw = v.table(spark, d, "events")
     return v.shape_events(replay(raw, batch_of(), **options))
 
 
-def closed_sql(inner: str, end: str = "window_end", delay: str = "0 seconds") -> str:
-    """Only windows that end at or before the last watermark, which has millisecond steps."""
+def closed_sql(
+    inner: str, source: str, end: str = "window_end", delay: str = "0 seconds"
+) -> str:
+    """Only windows that end at or before the last watermark. It has millisecond steps and
+    follows the rows of ``source``, the stream that is windowed."""
     return f"""SELECT * FROM ({inner}) WHERE {end} <= (SELECT
-    make_timestamp(max(epoch_us(ts)) // 1000 * 1000) - INTERVAL '{delay}' FROM events)"""
+    make_timestamp(max(epoch_us(ts)) // 1000 * 1000) - INTERVAL '{delay}' FROM {source})"""
 
 
 @query(
@@ -47,7 +47,7 @@ def src_replay(spark, d):
 
 @query(
     "wm_bounded",
-    closed_sql(tumbling_sql("sensor", "id", COUNT_SQL, "1 hour"), delay="1 second"),
+    closed_sql(tumbling_sql("sensor", "id", COUNT_SQL, "1 hour"), "sensor", delay="1 second"),
     "ev sensor",
 )
 def wm_bounded(spark, d):
@@ -58,7 +58,7 @@ def wm_bounded(spark, d):
 
 @query(
     "wm_ascending",
-    closed_sql(tumbling_sql("sensor", "id", COUNT_SQL, "2 seconds")),
+    closed_sql(tumbling_sql("sensor", "id", COUNT_SQL, "2 seconds"), "sensor"),
     "ev sensor",
 )
 def wm_ascending(spark, d):
@@ -67,10 +67,19 @@ def wm_ascending(spark, d):
     return w.bounds(to_files(w.window_aggregate(s, ["id"], [n], "2 seconds")))
 
 
-@query("late_rows")
+@query(
+    "late_rows",
+    closed_sql(
+        tumbling_sql("sensor", "id", COUNT_SQL, "1 hour", "day(ts) NOT BETWEEN 8 AND 14"), "sensor"
+    ),
+    "ev sensor",
+)
 def late_rows(spark, d):
-    """The last ten days arrive before the middle ones, whose closed windows are then gone."""
-    s = v.shape_sensor(replayed(spark, d, order=[0, 2, 1])).withWatermark("ts", "0 seconds")
+    """The second week arrives last, when the watermark has closed all of its windows."""
+    raw = v.table(spark, d, "events")
+    week = F.least(F.floor((F.dayofmonth("ts") - 1) / 7), F.lit(3)).cast("int")
+    shuffled = v.shape_events(replay(raw, week, order=[0, 2, 3, 1]))
+    s = v.shape_sensor(shuffled).withWatermark("ts", "0 seconds")
     n = F.count(F.lit(1)).alias("count")
     return w.bounds(to_files(w.window_aggregate(s, ["id"], [n], "1 hour")))
 
@@ -81,26 +90,26 @@ def _pay(spark, d):
 
 @query(
     "tumbling_sum_stream",
-    closed_sql(tumbling_sql("pay_info", '"userId"', SUM_SQL, "6 hours")),
+    closed_sql(tumbling_sql("pay_info", '"userId"', SUM_SQL, "6 hours"), "pay_info"),
     "ev pay_info",
 )
 def tumbling_sum_stream(spark, d):
-    return w.bounds(to_files(w.window_aggregate(_pay(spark, d), ["userId"], [TOTAL], "6 hours")))
+    return w.bounds(to_files(w.window_aggregate(_pay(spark, d), ["userId"], [total()], "6 hours")))
 
 
 @query(
     "sliding_sum_stream",
-    closed_sql(sliding_sql("pay_info", '"userId"', SUM_SQL, 21600, 3600)),
+    closed_sql(sliding_sql("pay_info", '"userId"', SUM_SQL, 21600, 3600), "pay_info"),
     "ev pay_info",
 )
 def sliding_sum_stream(spark, d):
-    out = w.window_aggregate(_pay(spark, d), ["userId"], [TOTAL], "6 hours", "1 hour")
+    out = w.window_aggregate(_pay(spark, d), ["userId"], [total()], "6 hours", "1 hour")
     return w.bounds(to_files(out))
 
 
 @query(
     "sliding_min_stream",
-    closed_sql(sliding_sql("sensor", "id", MIN_SQL, 10, 5), delay="1 second"),
+    closed_sql(sliding_sql("sensor", "id", MIN_SQL, 10, 5), "sensor", delay="1 second"),
     "ev sensor",
 )
 def sliding_min_stream(spark, d):
@@ -110,14 +119,15 @@ def sliding_min_stream(spark, d):
 
 
 @query(
-    "session_sum_stream", closed_sql(session_sql(21600), end="session_end"), "ev pay_info"
+    "session_sum_stream", closed_sql(session_sql(21600), "pay_info", end="session_end"), "ev pay_info"
 )
 def session_sum_stream(spark, d):
     return to_files(w.session_stream(_pay(spark, d), "userId", "productNum", "6 hours"))
 
 
 def _item_counts(spark, d):
-    views = v.shape_behavior(replayed(spark, d)).where("behavior = 'pv'")
+    views = v.shape_behavior(replayed(spark, d).where("event_type = 'view'"))
+    views = views.where("behavior = 'pv'")
     n = F.count(F.lit(1)).alias("count")
     return w.window_aggregate(
         views.withWatermark("ts", "0 seconds"), ["itemId"], [n], "1 hour", "5 minutes"

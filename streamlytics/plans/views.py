@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from streamlytics.functions.text import text_map, words_of
 from streamlytics.functions.times import day_of
+from streamlytics.schemas import TABLES
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shape_events(events: DataFrame) -> DataFrame:
@@ -29,24 +30,25 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shape_events(table(spark, sf_dir, "events"))
 
 
-def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """customer -> city and area. Nation and region are fixed small dimensions."""
+def with_places(rows: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Add city and area by ``user_id``.
+
+    Joined one table at a time, so Spark knows each size: nation and region are broadcast, and
+    customer is as long as it stays below the broadcast threshold.
+    """
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     return (
-        table(spark, sf_dir, "customer")
+        rows.join(customer, F.col("user_id") == F.col("c_custkey"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(
-            F.col("c_custkey").alias("user_id"),
-            F.col("r_name").alias("area"), F.col("n_name").alias("city"),
-        )
+        .withColumns({"area": F.col("r_name"), "city": F.col("n_name")})
     )
 
 
 def ads_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per event."""
-    e = events(spark, sf_dir)
-    return e.join(_places(spark, sf_dir), "user_id").select(
+    return with_places(events(spark, sf_dir), spark, sf_dir).select(
         F.unix_millis("ts").alias("timestamp"), "area", "city",
         F.col("user_id").cast("string").alias("userid"),
         (F.col("k") % 6 + 1).cast("string").alias("adid"),
@@ -66,7 +68,7 @@ def ads_cells(spark: SparkSession, sf_dir: str, only: str | None = None) -> Data
     cells = e.groupBy(
         day_of(F.unix_millis("ts")).alias("dt"), "user_id", (F.col("k") % 6 + 1).alias("ad")
     ).agg(F.count(F.lit(1)).alias("n"))
-    return cells.join(_places(spark, sf_dir), "user_id").select(
+    return with_places(cells, spark, sf_dir).select(
         "dt", "area", "city", F.col("user_id").cast("string").alias("userid"),
         F.col("ad").cast("string").alias("adid"), "n",
     )
@@ -110,8 +112,10 @@ def shape_behavior(e: DataFrame) -> DataFrame:
     )
 
 
-def user_behavior(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shape_behavior(events(spark, sf_dir))
+def user_behavior(spark: SparkSession, sf_dir: str, only: str | None = None) -> DataFrame:
+    """``only`` names the event type to read, so that the scan can filter on it."""
+    e = events(spark, sf_dir)
+    return shape_behavior(e.where(F.col("event_type") == only) if only else e)
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,10 @@ def sliding_sql(src: str, key: str, agg: str, size_s: int, slide_s: int, where="
 COUNT_SQL = "count(*) AS count"
 SUM_SQL = 'CAST(sum("productNum") AS BIGINT) AS "productNum"'
 MIN_SQL = "min(temperature) AS temperature"
-TOTAL = F.sum("productNum").alias("productNum")
+
+
+def total():
+    return F.sum("productNum").alias("productNum")
 
 
 @query("tumbling_event", tumbling_sql("sensor", "id", COUNT_SQL, "2 seconds"), "ev sensor")
@@ -39,12 +42,12 @@ def tumbling_event(spark, d):
 
 @query("tumbling_sum", tumbling_sql("pay_info", '"userId"', SUM_SQL, "1 minute"), "ev pay_info")
 def tumbling_sum(spark, d):
-    return w.bounds(w.window_aggregate(v.pay_info(spark, d), ["userId"], [TOTAL], "1 minute"))
+    return w.bounds(w.window_aggregate(v.pay_info(spark, d), ["userId"], [total()], "1 minute"))
 
 
 @query("tumbling_sum_6h", tumbling_sql("pay_info", '"userId"', SUM_SQL, "6 hours"), "ev pay_info")
 def tumbling_sum_6h(spark, d):
-    return w.bounds(w.window_aggregate(v.pay_info(spark, d), ["userId"], [TOTAL], "6 hours"))
+    return w.bounds(w.window_aggregate(v.pay_info(spark, d), ["userId"], [total()], "6 hours"))
 
 
 @query("sliding_sum", sliding_sql("pay_info", '"userId"', SUM_SQL, 60, 30), "ev pay_info")
@@ -128,7 +131,7 @@ TOP_SQL = f"""SELECT "windowEnd", CAST(rank AS INTEGER) AS rank, "itemId", count
 
 
 def item_views(spark, d):
-    return w.item_view_counts(v.user_behavior(spark, d), "1 hour", "5 minutes")
+    return w.item_view_counts(v.user_behavior(spark, d, only="view"), "1 hour", "5 minutes")
 
 
 @query("sliding_item_count", VIEWS_SQL, "ev user_behavior")
@@ -144,7 +147,7 @@ def sliding_item_count(spark, d):
     "ev user_behavior",
 )
 def item_window_count(spark, d):
-    return w.item_view_counts(v.user_behavior(spark, d), "1 minute", "10 seconds")
+    return w.item_view_counts(v.user_behavior(spark, d, only="view"), "1 minute", "10 seconds")
 
 
 @query("hot_items_topn", TOP_SQL, "ev user_behavior")

@@ -13,6 +13,11 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 GROUP_ROWS_CONF = "spark.streamlytics.maxGroupRows"
 DEFAULT_GROUP_ROWS = 2_000_000
 
+STATE_STORE_CONF = "spark.sql.streaming.stateStore.providerClass"
+_STORES = "org.apache.spark.sql.execution.streaming.state"
+_HEAP_STATE_STORE = f"{_STORES}.HDFSBackedStateStoreProvider"
+_DISK_STATE_STORE = f"{_STORES}.RocksDBStateStoreProvider"
+
 _local_dir: str | None = None
 
 
@@ -37,6 +42,12 @@ def tune(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     # A hot join key must be split even when that costs one more shuffle.
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    if spark.conf.get(STATE_STORE_CONF) == _HEAP_STATE_STORE:
+        # State outgrows the heap; keep it on disk and commit only its changes.
+        spark.conf.set(STATE_STORE_CONF, _DISK_STATE_STORE)
+        spark.conf.set(
+            "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true"
+        )
     sc = spark.sparkContext
     if sc.master.startswith("local") and not sc.getConf().contains("spark.sql.shuffle.partitions"):
         spark.conf.set("spark.sql.shuffle.partitions", str(sc.defaultParallelism))

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 Fold = Callable[[DataFrame, list[str], list[str]], DataFrame]
 
@@ -47,9 +48,9 @@ class KeyedTable:
         """``schema`` is the DDL of keys and values. ``fold=None`` replaces the whole content
         with each batch."""
         self.spark, self.path, self.keys, self.fold = spark, path, keys, fold
-        self.columns = spark.createDataFrame([], schema).columns
+        self.stored = T.StructType.fromDDL(f"{schema}, _batch BIGINT")
+        self.columns = self.stored.names[:-1]
         self.values = [c for c in self.columns if c not in keys]
-        self.stored = f"{schema}, _batch BIGINT"
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
         """``batch`` holds at most one row per key."""
@@ -82,7 +83,8 @@ class KeyedTable:
                     f"{self.path}/log/batch={b}" for b in logs if b > done
                 ]
         if not paths:
-            return self.spark.createDataFrame([], self.stored)
+            nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.stored]
+            return self.spark.range(0).select(*nulls)
         return self.spark.read.schema(self.stored).parquet(*paths)
 
     def read(self, before: int | None = None) -> DataFrame:

@@ -7,20 +7,33 @@ state itself is a few numbers per key.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from streamlytics.operators.windows import duration_ms
 
+# Ship the functions below by value, so workers need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 UPDATE_EVERY = "5 seconds"
 EXPIRY = "20 seconds"
 
 
+def _sorted(chunks: Iterator[pd.DataFrame], order: list[str], *columns: str) -> list[np.ndarray]:
+    """The columns of one key's rows as arrays, in order."""
+    parts = list(chunks)
+    rows = parts[0] if len(parts) == 1 else pd.concat(parts)
+    places = np.lexsort([rows[c].to_numpy() for c in reversed(order)])
+    return [rows[c].to_numpy()[places] for c in columns]
+
+
 def key_updates(df: DataFrame, every: str = UPDATE_EVERY) -> DataFrame:
     """(key, at, n): one counter update per key and batch interval, at the interval's end."""
     counts = df.groupBy("key", F.window("ts", every).alias("_w")).agg(
@@ -56,20 +69,19 @@ def ttl_counts_stream(
         if state.hasTimedOut:
             state.remove()
             return
-        rows = pd.concat(list(chunks))
-        at = (rows["ts"].astype("int64") // 1_000_000 // step + 1) * step
-        counts = at.value_counts().sort_index()
+        (ts,) = _sorted(chunks, ["ts"], "ts")
+        ms = ts.astype("datetime64[ms]").astype("int64")
+        at, counts = np.unique((ms // step + 1) * step, return_counts=True)
         count, last = state.get if state.exists else (0, 0)
-        out = []
-        for when, n in counts.items():
-            if when - last >= ttl:
-                count = 0
-            count, last = count + int(n), int(when)
-            out.append((key[0], pd.Timestamp(last, unit="ms"), count))
+        running = []
+        for when, n in zip(at.tolist(), counts.tolist()):
+            count = n if when - last >= ttl else count + n
+            last = when
+            running.append(count)
         state.update((count, last))
         # An update exactly at the expiry finds nothing left, so the state may go then.
         state.setTimeoutTimestamp(max(last + ttl, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame(out, columns=["key", "at", "count"])
+        yield pd.DataFrame({"key": key[0], "at": at.astype("datetime64[ms]"), "count": running})
 
     rows = df.select("key", F.col("ts"))
     return rows.groupBy("key").applyInPandasWithState(
@@ -88,15 +100,15 @@ def count_windows_stream(
     slide = slide or size
 
     def step_key(k, chunks: Iterator[pd.DataFrame], state: GroupState):
-        rows = pd.concat(list(chunks)).sort_values(["ts", "event_id"])
+        (new,) = _sorted(chunks, ["ts", "event_id"], value)
         seen, tail = state.get if state.exists else (0, [])
-        values = np.concatenate([np.asarray(tail, dtype="int64"), rows[value].to_numpy("int64")])
+        values = np.concatenate([np.asarray(tail, dtype="int64"), new])
         sums = np.concatenate([[0], np.cumsum(values)])
-        numbers = np.arange(seen + 1, seen + len(rows) + 1)
+        numbers = np.arange(seen + 1, seen + len(new) + 1)
         fired = numbers[numbers % slide == 0]
         end = fired - seen + len(tail)
         totals = sums[end] - sums[np.maximum(end - size, 0)]
-        state.update((seen + len(rows), values[-size:].tolist()))
+        state.update((seen + len(new), values[-size:].tolist()))
         if len(fired):
             yield pd.DataFrame({key: k[0], "seen": fired, value: totals})
 
@@ -114,16 +126,11 @@ def running_counts_stream(df: DataFrame, key: str, seed: dict[str, int] | None =
     start = dict(seed or {})
 
     def step_key(k, chunks: Iterator[pd.DataFrame], state: GroupState):
-        rows = pd.concat(list(chunks)).sort_values("event_id")
+        (ids,) = _sorted(chunks, ["event_id"], "event_id")
         count = state.get[0] if state.exists else start.get(k[0], 0)
-        state.update((count + len(rows),))
-        yield pd.DataFrame(
-            {
-                key: k[0],
-                "event_id": rows["event_id"].to_numpy(),
-                "count": np.arange(count + 1, count + len(rows) + 1),
-            }
-        )
+        state.update((count + len(ids),))
+        numbers = np.arange(count + 1, count + len(ids) + 1)
+        yield pd.DataFrame({key: k[0], "event_id": ids, "count": numbers})
 
     return df.select(key, "event_id").groupBy(key).applyInPandasWithState(
         step_key, f"{key} string, event_id bigint, count bigint", "count bigint",
@@ -144,11 +151,9 @@ def temp_rise_stream(df: DataFrame, hold: int = 5) -> DataFrame:
         if state.hasTimedOut:
             fired, due = [due], 0
         else:
-            rows = pd.concat(list(chunks)).sort_values(["ts", "event_id"])
-            temps = rows["temperature"].to_numpy()
+            temps, seconds = _sorted(chunks, ["ts", "event_id"], "temperature", "timestamp")
             before = np.concatenate([[np.nan if last is None else last], temps[:-1]])
             turns = np.flatnonzero((temps > before) | (temps < before))
-            seconds = rows["timestamp"].to_numpy()
             for i in turns:
                 t = int(seconds[i])
                 if due and due < t:
