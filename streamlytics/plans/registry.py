@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from streamlytics.plans.views import VIEW_SQL
-from streamlytics.session import tune
+from streamlytics.session import size_shuffles, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,7 +20,8 @@ def query(name: str, sql: str | None = None, views: str = ""):
 
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(tune(spark), sf_dir.rstrip("/"))
+            size_shuffles(tune(spark), sf_dir)
+            return fn(spark, sf_dir.rstrip("/"))
 
         run.__name__ = name
         if name in _queries:

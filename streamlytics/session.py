@@ -42,6 +42,8 @@ def tune(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     # A hot join key must be split even when that costs one more shuffle.
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    # Join a hot key's rows into sessions before they are shuffled.
+    spark.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     if spark.conf.get(STATE_STORE_CONF) == _HEAP_STATE_STORE:
         # State outgrows the heap; keep it on disk and commit only its changes.
         spark.conf.set(STATE_STORE_CONF, _DISK_STATE_STORE)
@@ -54,14 +56,20 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int, target_bytes: int = 128 << 20) -> int:
-    """Set the shuffle width so that a partition holds about ``target_bytes``.
+def size_shuffles(spark: SparkSession, input_dir: str, target_bytes: int = 256 << 20) -> None:
+    """Choose the shuffle width from the input size, unless the job sets one.
 
-    AQE merges small partitions afterwards, so too many is cheap and too few spills.
+    A partition should hold about ``target_bytes``; beyond 16 waves of tasks, wider shuffles
+    cost more in connections than they save in spilling. AQE merges what turns out small.
     """
-    width = max(spark.sparkContext.defaultParallelism, -(-input_bytes // target_bytes))
-    spark.conf.set("spark.sql.shuffle.partitions", str(width))
-    return width
+    sc = spark.sparkContext
+    if sc.master.startswith("local") or sc.getConf().contains("spark.sql.shuffle.partitions"):
+        return
+    path = spark._jvm.org.apache.hadoop.fs.Path(input_dir)
+    fs = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    wanted = -(-fs.getContentSummary(path).getLength() // target_bytes)
+    cores = sc.defaultParallelism
+    spark.conf.set("spark.sql.shuffle.partitions", str(min(max(wanted, 2 * cores), 16 * cores)))
 
 
 def shared_dir(spark: SparkSession) -> str:

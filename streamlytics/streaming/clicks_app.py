@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamlytics.operators import aggregate as agg
@@ -24,7 +24,7 @@ class ClicksApp:
         self.threshold, self.compact_every = threshold, compact_every
         self.counters = KeyedTable(
             spark, f"{root}/counters", ["dt", "userid", "adid"],
-            "dt string, userid string, adid string, click_count bigint", add_up,
+            "dt string, userid string, adid string, click_count bigint", add_up, ("dt",),
         )
         self.blacklist = KeyedTable(
             spark, f"{root}/blacklist", ["userid"], "userid string", collect_members
@@ -32,6 +32,7 @@ class ClicksApp:
         self.city_counts = KeyedTable(
             spark, f"{root}/city_counts", ["dt", "area", "city", "adid"],
             "dt string, area string, city string, adid string, click_count bigint", add_up,
+            ("dt",),
         )
         self.top3 = KeyedTable(
             spark, f"{root}/top3", ["dt", "area", "rank"],
@@ -48,24 +49,27 @@ class ClicksApp:
         )
         kept = drop_blacklisted(cells, self.blacklist.read(before=batch_id)).persist()
         try:
-            self._count(kept, batch_id)
-            self._extend_blacklist(kept, batch_id)
+            # The stored counters are kept by day, and a batch holds few distinct days.
+            days = F.col("dt").isin([r["dt"] for r in kept.select("dt").distinct().collect()])
+            self._count(kept, batch_id, days)
+            self._extend_blacklist(kept, batch_id, days)
         finally:
             kept.unpersist()
         if (batch_id + 1) % self.compact_every == 0:
             for table in (self.counters, self.blacklist, self.city_counts, self.top3):
                 table.compact(batch_id)
 
-    def _count(self, kept: DataFrame, batch_id: int) -> None:
+    def _count(self, kept: DataFrame, batch_id: int, days: Column) -> None:
         self.city_counts.write(agg.date_area_city_ad_count(kept), batch_id)
-        days = kept.select("dt").distinct()
-        changed = self.city_counts.read(before=batch_id + 1).join(days, "dt", "left_semi")
+        changed = self.city_counts.read(before=batch_id + 1, where=days)
         self.top3.write(daily_area_top(changed), batch_id)
 
-    def _extend_blacklist(self, kept: DataFrame, batch_id: int) -> None:
+    def _extend_blacklist(self, kept: DataFrame, batch_id: int, days: Column) -> None:
         now = agg.daily_user_ad_clicks(kept)
         self.counters.write(now, batch_id)
-        stored = self.counters.read(before=batch_id).withColumnRenamed("click_count", "_stored")
+        stored = self.counters.read(before=batch_id, where=days).withColumnRenamed(
+            "click_count", "_stored"
+        )
         total = F.col("click_count") + F.coalesce("_stored", F.lit(0))
         reached = now.join(stored, ["dt", "userid", "adid"], "left").where(total >= self.threshold)
         self.blacklist.write(reached.select("userid").distinct(), batch_id)

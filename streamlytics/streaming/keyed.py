@@ -8,8 +8,9 @@ folders by key. ``compact`` folds them into a base now and then, which bounds a
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,10 +45,13 @@ class KeyedTable:
         keys: list[str],
         schema: str,
         fold: Fold | None = keep_latest,
+        parts: tuple[str, ...] = (),
     ):
         """``schema`` is the DDL of keys and values. ``fold=None`` replaces the whole content
-        with each batch."""
+        with each batch. ``parts`` are key columns the folders are split by, so that a read
+        of a few of their values leaves out the rest."""
         self.spark, self.path, self.keys, self.fold = spark, path, keys, fold
+        self.parts = parts
         self.stored = T.StructType.fromDDL(f"{schema}, _batch BIGINT")
         self.columns = self.stored.names[:-1]
         self.values = [c for c in self.columns if c not in keys]
@@ -55,7 +59,12 @@ class KeyedTable:
     def write(self, batch: DataFrame, batch_id: int) -> None:
         """``batch`` holds at most one row per key."""
         marked = batch.select(*self.columns).withColumn("_batch", F.lit(batch_id).cast("bigint"))
-        marked.write.mode("overwrite").parquet(f"{self.path}/log/batch={batch_id}")
+        self._save(marked, f"log/batch={batch_id}")
+
+    def _save(self, rows: DataFrame, folder: str) -> None:
+        if self.parts:
+            rows = rows.hint("rebalance", *self.parts)
+        rows.write.mode("overwrite").partitionBy(*self.parts).parquet(f"{self.path}/{folder}")
 
     def _finished(self, kind: str) -> list[int]:
         """Ids of the completely written folders, ascending."""
@@ -85,12 +94,18 @@ class KeyedTable:
         if not paths:
             nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.stored]
             return self.spark.range(0).select(*nulls)
-        return self.spark.read.schema(self.stored).parquet(*paths)
+        # Read one by one: only the columns in ``parts`` come from folder names.
+        read = [self.spark.read.schema(self.stored).parquet(p) for p in paths]
+        return reduce(DataFrame.unionByName, read) if self.parts else (
+            self.spark.read.schema(self.stored).parquet(*paths)
+        )
 
-    def read(self, before: int | None = None) -> DataFrame:
+    def read(self, before: int | None = None, where: Column | None = None) -> DataFrame:
         """The content, or what it was before batch ``before`` – which makes that batch
-        repeatable."""
+        repeatable. ``where`` is a condition on keys, applied to the scan."""
         rows = self._rows(before)
+        if where is not None:
+            rows = rows.where(where)
         if self.fold is not None:
             rows = self.fold(rows, self.keys, self.values)
         return rows.select(*self.columns)
@@ -101,4 +116,4 @@ class KeyedTable:
         if self.fold is None:
             return
         folded = self.fold(self._rows(upto + 1), self.keys, self.values)
-        folded.write.mode("overwrite").parquet(f"{self.path}/base/upto={upto}")
+        self._save(folded, f"base/upto={upto}")

@@ -77,14 +77,12 @@ def write_documents(df: DataFrame, document: Column, path: str) -> None:
 def insert_partition(df: DataFrame, path: str, dt: Column | None = None, mode: str = "append") -> None:
     """Append under ``dt``, today unless a column is given.
 
-    Rows are spread by day and a random part of it, so a day is written by several tasks and
-    a task does not hold open a file per day.
+    The rebalance brings a day together, so there are few files, and splits a day that is far
+    larger than the others over several tasks.
     """
     dt = F.date_format(F.current_timestamp(), "yyyy-MM-dd") if dt is None else dt
-    dated = df.withColumn("dt", dt)
-    dated.repartition("dt", F.pmod(F.xxhash64(*df.columns), F.lit(8))).write.partitionBy("dt").mode(
-        mode
-    ).parquet(path)
+    dated = df.withColumn("dt", dt).hint("rebalance", "dt")
+    dated.write.partitionBy("dt").mode(mode).parquet(path)
 
 
 def replace_table(df: DataFrame, name: str, path: str) -> DataFrame:
