@@ -6,7 +6,7 @@ from the next batch on, so rows of the crossing batch still count.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from streamlytics.operators.aggregate import daily_user_ad_clicks
@@ -27,34 +27,27 @@ def drop_blacklisted(log: DataFrame, blacklist: DataFrame) -> DataFrame:
     return log.join(blacklist.select("userid"), "userid", "left_anti").select(*log.columns)
 
 
-def _by_user(log: DataFrame, batch: str, threshold: int) -> DataFrame:
-    """``log`` with ``listed_in``, the first batch at whose end the user is listed.
+def first_listed(
+    log: DataFrame, batch: str, threshold: int = THRESHOLD, user: str = "userid"
+) -> DataFrame:
+    """(user, listed_in): the first batch at whose end the user is listed.
 
-    A counter belongs to one day and a batch covers whole days, so the counters of a batch do
-    not depend on earlier ones. Up to that batch none of the user's rows was dropped, hence the
-    unfiltered counts are the true ones.
-
-    ``log`` holds counted rows (``n`` per day, user and ad), so a user has a few rows per day
-    and one shuffle by user serves both windows.
+    ``log`` holds counted rows (``n``). A counter belongs to one day and a batch covers whole
+    days, so the counters of a batch do not depend on earlier ones. Up to that batch none of
+    the user's rows was dropped, hence the unfiltered counts are the true ones.
     """
-    user = Window.partitionBy("userid")
-    counter = Window.partitionBy("userid", batch, "dt", "adid")
-    reached = F.when(F.col("_n") >= threshold, F.col(batch))
-    return (
-        log.repartition("userid")
-        .withColumn("_n", F.sum("n").over(counter))
-        .withColumn("listed_in", F.min(reached).over(user))
-        .drop("_n")
-    )
-
+    counts = log.groupBy(batch, "dt", user, "adid").agg(F.sum("n").alias("_n"))
+    reached = counts.where(F.col("_n") >= threshold)
+    return reached.groupBy(user).agg(F.min(batch).alias("listed_in"))
 
-def first_listed(log: DataFrame, batch: str, threshold: int = THRESHOLD) -> DataFrame:
-    """(userid, listed_in) of the listed users."""
-    listed = _by_user(log, batch, threshold).where("listed_in is not null")
-    return listed.groupBy("userid").agg(F.min("listed_in").alias("listed_in"))
 
+def kept_with_feedback(
+    log: DataFrame, batch: str, threshold: int = THRESHOLD, user: str = "userid"
+) -> DataFrame:
+    """The rows the running app counts: those up to and including the listing batch.
 
-def kept_with_feedback(log: DataFrame, batch: str, threshold: int = THRESHOLD) -> DataFrame:
-    """The rows the running app counts: those up to and including the listing batch."""
+    A join and not a window per user, so that a user with very many rows can be split.
+    """
+    joined = log.join(first_listed(log, batch, threshold, user), user, "left")
     keep = F.col("listed_in").isNull() | (F.col(batch) <= F.col("listed_in"))
-    return _by_user(log, batch, threshold).where(keep).select(*log.columns)
+    return joined.where(keep).select(*log.columns)

@@ -27,6 +27,11 @@ def window_aggregate(
     return df.groupBy(span.alias("window"), *keys).agg(*aggregates)
 
 
+def at_ingest_time(df: DataFrame) -> DataFrame:
+    """For processing-time windows: ``ts`` is when the engine saw the row (per micro-batch)."""
+    return df.withColumn("ts", F.current_timestamp())
+
+
 def bounds(df: DataFrame) -> DataFrame:
     """Replace the window struct by two zone-free timestamps."""
     rest = [c for c in df.columns if c != "window"]

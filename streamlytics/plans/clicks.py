@@ -93,7 +93,8 @@ def with_feedback_sql(body: str) -> str:
 
 @query("blacklist_update", with_feedback_sql("SELECT userid, listed_in FROM listed"))
 def blacklist_update(spark, d):
-    return bl.first_listed(v.ads_cells(spark, d), "dt", QUERY_THRESHOLD)
+    listed = bl.first_listed(v.ads_cells(spark, d), "dt", QUERY_THRESHOLD)
+    return listed.select("userid", "listed_in")
 
 
 @query(
@@ -105,7 +106,8 @@ def blacklist_update(spark, d):
 )
 def ads_pipeline(spark, d):
     """The whole app with one batch a day: filter with feedback, count, rank."""
-    kept = bl.kept_with_feedback(v.ads_cells(spark, d), "dt", QUERY_THRESHOLD)
+    # By the number, not its text: both sides of the join then start from the same shuffle.
+    kept = bl.kept_with_feedback(v.ads_cells(spark, d), "dt", QUERY_THRESHOLD, user="user_id")
     return daily_area_top(agg.date_area_city_ad_count(kept))
 
 

@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from streamlytics.functions import logs
-from streamlytics.functions.text import text_json
 from streamlytics.plans import views as v
 from streamlytics.plans.registry import query
 from streamlytics.sources import changes, topics
@@ -131,3 +130,14 @@ def to_wide_column(spark, d):
 )
 def offset_reconcile(spark, d):
     return topics.reconcile_offsets(*v.offsets(spark, d))
+
+
+@query(
+    "src_kafka_offsets",
+    """SELECT event_type AS topic, '{' || string_agg('"' || part || '":' || n, ',' ORDER BY part)
+    || '}' AS starting_offsets FROM (SELECT event_type, user_id % 6 AS part,
+    CASE WHEN user_id % 6 < 4 THEN count(*) ELSE 0 END AS n FROM events GROUP BY 1, user_id % 6)
+    GROUP BY event_type""",
+)
+def src_kafka_offsets(spark, d):
+    return topics.starting_offsets(topics.reconcile_offsets(*v.offsets(spark, d)))

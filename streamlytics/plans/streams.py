@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from streamlytics.functions.times import plain
 from streamlytics.operators import aggregate as agg
-from streamlytics.operators import topn
+from streamlytics.operators import enrich, route, topn
 from streamlytics.operators import windows as w
 from streamlytics.operators.aggregate import nan_min
 from streamlytics.plans import views as v
@@ -21,7 +21,7 @@ from streamlytics.sources.replay import replay
 from streamlytics.streaming import state
 from streamlytics.streaming.clicks_app import ClicksApp
 from streamlytics.streaming.keyed import KeyedTable, add_up, keep_latest
-from streamlytics.streaming.run import each_batch, to_files
+from streamlytics.streaming.run import each_batch, fan_out, to_files
 
 def replayed(spark, d, **options):
     """The events in three slices of ten days, shaped."""
@@ -186,6 +186,80 @@ def state_incremental(spark, d):
     return table.read()
 
 
+@query(
+    "state_expiring",
+    """SELECT strftime(ts, '%Y-%m-%d') AS dt, event_type, count(*) AS count FROM ev
+    GROUP BY ALL""",
+    "ev",
+)
+def state_expiring(spark, d):
+    """Daily counters whose state is dropped a day after their day; the table keeps them."""
+    e = replayed(spark, d).withWatermark("ts", "1 day")
+    n = F.count(F.lit(1)).alias("count")
+    daily = w.window_aggregate(e, ["event_type"], [n], "1 day").select(
+        F.date_format("window.start", "yyyy-MM-dd").alias("dt"), "event_type", "count"
+    )
+    table = KeyedTable(
+        spark, scratch(spark, "daily"), ["dt", "event_type"],
+        "dt string, event_type string, count bigint", keep_latest,
+    )
+    each_batch(daily, table.write, mode="update")
+    return table.read()
+
+
+@query(
+    "side_output_stream",
+    """SELECT 'main' AS output, event_id, id, NULL AS alert FROM sensor UNION ALL
+    SELECT 'side', event_id, id, 'freezing alert for ' || id FROM sensor WHERE temperature < 32.0""",
+    "ev sensor",
+)
+def side_output_stream(spark, d):
+    """Two outputs of one stream; every batch is read once."""
+    schema = "event_id bigint, id string, alert string"
+    main, side = (
+        KeyedTable(spark, scratch(spark, name), ["event_id"], schema) for name in ("main", "side")
+    )
+    no_alert = F.lit(None).cast("string").alias("alert")
+
+    def pass_all(batch, batch_id):
+        main.write(route.freezing_alerts(batch)[0].select("event_id", "id", no_alert), batch_id)
+
+    def alert(batch, batch_id):
+        side.write(route.freezing_alerts(batch)[1], batch_id)
+
+    each_batch(v.shape_sensor(replayed(spark, d)), fan_out(pass_all, alert))
+    named = [t.read().withColumn("output", F.lit(n)) for t, n in ((main, "main"), (side, "side"))]
+    return named[0].unionByName(named[1])
+
+
+@query(
+    "refreshable_lookup_stream",
+    f"""SELECT event_id, CAST(user_id AS VARCHAR) AS userid,
+    CASE WHEN c_mktsegment = 'BUILDING' THEN 'rules of batch ' || CAST({BATCH_SQL} AS VARCHAR) END
+    AS rule, coalesce(c_mktsegment = 'BUILDING', FALSE) AS matched
+    FROM ev LEFT JOIN customer ON user_id = c_custkey""",
+    "ev",
+)
+def refreshable_lookup_stream(spark, d):
+    """The rules are loaded anew for each batch; here each load names its batch."""
+    table = KeyedTable(
+        spark, scratch(spark, "matched"), ["event_id"],
+        "event_id bigint, userid string, rule string, matched boolean",
+    )
+    loads = iter(range(3))
+
+    def load_rules():
+        text = f"rules of batch {next(loads)}"
+        building = v.table(spark, d, "customer").where("c_mktsegment = 'BUILDING'")
+        return building.select(
+            F.col("c_custkey").cast("string").alias("userid"), F.lit(text).alias("rule")
+        )
+
+    users = replayed(spark, d).select("event_id", F.col("user_id").cast("string").alias("userid"))
+    each_batch(users, enrich.refreshed_lookup(load_rules, "userid", table.write))
+    return table.read()
+
+
 @query(
     "state_per_record",
     """SELECT CAST(user_id AS VARCHAR) AS userid, event_id, row_number() OVER
@@ -218,9 +292,15 @@ def temp_rise_alert_stream(spark, d):
 
 @query("kv_ttl_count_stream", ttl_sql(1800))
 def kv_ttl_count_stream(spark, d):
+    counters = KeyedTable(
+        spark, scratch(spark, "ttl"), ["key"], "key string, at timestamp, n bigint"
+    )
+    out = KeyedTable(
+        spark, scratch(spark, "ttl_out"), ["key", "at"], "key string, at timestamp, count bigint"
+    )
     e = replayed(spark, d).select(F.col("event_type").alias("key"), "ts")
-    out = to_files(state.ttl_counts_stream(e.withWatermark("ts", "0 seconds"), "30 minutes"))
-    return out.withColumn("at", plain("at"))
+    each_batch(e, state.ttl_counter_body(counters, out.write, "30 minutes"))
+    return out.read().withColumn("at", plain("at"))
 
 
 # The app's feedback with ten-day batches instead of days.

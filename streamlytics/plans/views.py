@@ -69,7 +69,7 @@ def ads_cells(spark: SparkSession, sf_dir: str, only: str | None = None) -> Data
         day_of(F.unix_millis("ts")).alias("dt"), "user_id", (F.col("k") % 6 + 1).alias("ad")
     ).agg(F.count(F.lit(1)).alias("n"))
     return with_places(cells, spark, sf_dir).select(
-        "dt", "area", "city", F.col("user_id").cast("string").alias("userid"),
+        "dt", "area", "city", "user_id", F.col("user_id").cast("string").alias("userid"),
         F.col("ad").cast("string").alias("adid"), "n",
     )
 

@@ -56,9 +56,18 @@ def reconcile_offsets(live: DataFrame, saved: DataFrame) -> DataFrame:
     )
 
 
-def starting_offsets(offsets: DataFrame) -> str:
-    """``startingOffsets`` JSON. One number per topic partition, so it fits the driver."""
-    out: dict[str, dict[str, int]] = {}
-    for row in offsets.select("topic", "partition", "offset").toLocalIterator():
-        out.setdefault(row["topic"], {})[str(row["partition"])] = row["offset"]
-    return json.dumps(out, sort_keys=True)
+def starting_offsets(offsets: DataFrame) -> DataFrame:
+    """(topic, starting_offsets): per topic the JSON object of partition -> offset."""
+    entry = F.struct(F.col("partition").cast("string"), "offset")
+    ordered = F.transform(
+        F.sort_array(F.collect_list(F.struct("partition", entry.alias("e")))), lambda x: x["e"]
+    )
+    return offsets.groupBy("topic").agg(
+        F.to_json(F.map_from_entries(ordered)).alias("starting_offsets")
+    )
+
+
+def starting_offsets_option(offsets: DataFrame) -> str:
+    """The reader option for all topics; one short text per topic reaches the driver."""
+    rows = starting_offsets(offsets).collect()
+    return json.dumps({r["topic"]: json.loads(r["starting_offsets"]) for r in rows}, sort_keys=True)

@@ -66,17 +66,20 @@ class KeyedTable:
             rows = rows.hint("rebalance", *self.parts)
         rows.write.mode("overwrite").partitionBy(*self.parts).parquet(f"{self.path}/{folder}")
 
+    def _folder(self, name: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        conf = self.spark._jsparkSession.sessionState().newHadoopConf()
+        return path, path.getFileSystem(conf)
+
     def _finished(self, kind: str) -> list[int]:
         """Ids of the completely written folders, ascending."""
-        jvm = self.spark._jvm
-        root = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{kind}")
-        fs = root.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        root, fs = self._folder(kind)
         if not fs.exists(root):
             return []
-        names = [s.getPath() for s in fs.listStatus(root)]
-        marker = jvm.org.apache.hadoop.fs.Path
+        marker = self.spark._jvm.org.apache.hadoop.fs.Path
+        paths = [status.getPath() for status in fs.listStatus(root)]
         return sorted(
-            int(p.getName().split("=")[1]) for p in names if fs.exists(marker(p, "_SUCCESS"))
+            int(p.getName().split("=")[1]) for p in paths if fs.exists(marker(p, "_SUCCESS"))
         )
 
     def _rows(self, before: int | None) -> DataFrame:
@@ -111,9 +114,18 @@ class KeyedTable:
         return rows.select(*self.columns)
 
     def compact(self, upto: int) -> None:
-        """Fold everything up to batch ``upto`` into a base. The log stays, for batches that
-        are repeated and readers that hold a file list; expire it by age."""
+        """Fold everything up to batch ``upto`` into a base.
+
+        What the base before it covers is removed. The folders since then stay, for a batch
+        that is repeated and for readers that still hold a file list.
+        """
         if self.fold is None:
             return
+        old = [b for b in self._finished("base") if b < upto]
         folded = self.fold(self._rows(upto + 1), self.keys, self.values)
         self._save(folded, f"base/upto={upto}")
+        if old:
+            covered = [f"log/batch={b}" for b in self._finished("log") if b <= old[-1]]
+            for name in covered + [f"base/upto={b}" for b in old[:-1]]:
+                path, fs = self._folder(name)
+                fs.delete(path, True)

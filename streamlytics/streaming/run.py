@@ -42,3 +42,17 @@ def to_files(df: DataFrame, path: str | None = None, checkpoint: str | None = No
     )
     query.awaitTermination()
     return spark.read.schema(df.schema).parquet(path)
+
+
+def fan_out(*bodies: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """One ``foreachBatch`` body with several outputs; the batch is computed once."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            for body in bodies:
+                body(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    return run

@@ -1,14 +1,14 @@
 """Keyed state: counters that expire, count windows, per-record counts and alerts.
 
-The streaming forms sort one key's rows of one micro-batch inside a task, so the trigger's
-intake limit (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``) bounds what a task holds. The
-state itself is a few numbers per key.
+The forms with a ``GroupState`` sort one key's rows of one micro-batch inside a task, so the
+trigger's intake limit (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``) bounds what a task
+holds. The state itself is a few numbers per key.
 """
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from streamlytics.operators.windows import duration_ms
+from streamlytics.streaming.keyed import KeyedTable
 
 # Ship the functions below by value, so workers need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -42,8 +43,8 @@ def key_updates(df: DataFrame, every: str = UPDATE_EVERY) -> DataFrame:
     return counts.select("key", F.col("_w.end").alias("at"), "n")
 
 
-def ttl_counts(df: DataFrame, expiry: str = EXPIRY, every: str = UPDATE_EVERY) -> DataFrame:
-    """(key, at, count) after each update; a counter not updated for ``expiry`` starts again.
+def _running_by_ttl(updates: DataFrame, expiry: str) -> DataFrame:
+    """Add ``count``: the sum of ``n`` since the last pause of ``expiry`` or more.
 
     The ordered pass over a key sees one row per interval of the time range, not per event.
     """
@@ -51,43 +52,47 @@ def ttl_counts(df: DataFrame, expiry: str = EXPIRY, every: str = UPDATE_EVERY) -
     pause = F.unix_millis("at") - F.unix_millis(F.lag("at").over(order))
     fresh = F.coalesce(pause >= duration_ms(expiry), F.lit(True)).cast("int")
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    runs = key_updates(df, every).withColumn("_fresh", fresh)
-    runs = runs.withColumn("_run", F.sum("_fresh").over(so_far))
+    runs = updates.withColumn("_fresh", fresh).withColumn("_run", F.sum("_fresh").over(so_far))
     in_run = Window.partitionBy("key", "_run").orderBy("at").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    return runs.select("key", "at", F.sum("n").over(in_run).alias("count"))
+    return runs.withColumn("count", F.sum("n").over(in_run)).drop("_fresh", "_run")
 
 
-def ttl_counts_stream(
-    df: DataFrame, expiry: str = EXPIRY, every: str = UPDATE_EVERY
-) -> DataFrame:
-    """The same on a watermarked stream of (key, ts); a counter's state is dropped on expiry."""
-    ttl, step = duration_ms(expiry), duration_ms(every)
+def ttl_counts(df: DataFrame, expiry: str = EXPIRY, every: str = UPDATE_EVERY) -> DataFrame:
+    """(key, at, count) after each update; a counter not updated for ``expiry`` starts again."""
+    return _running_by_ttl(key_updates(df, every), expiry).select("key", "at", "count")
 
-    def step_key(key, chunks: Iterator[pd.DataFrame], state: GroupState):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        (ts,) = _sorted(chunks, ["ts"], "ts")
-        ms = ts.astype("datetime64[ms]").astype("int64")
-        at, counts = np.unique((ms // step + 1) * step, return_counts=True)
-        count, last = state.get if state.exists else (0, 0)
-        running = []
-        for when, n in zip(at.tolist(), counts.tolist()):
-            count = n if when - last >= ttl else count + n
-            last = when
-            running.append(count)
-        state.update((count, last))
-        # An update exactly at the expiry finds nothing left, so the state may go then.
-        state.setTimeoutTimestamp(max(last + ttl, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame({"key": key[0], "at": at.astype("datetime64[ms]"), "count": running})
-
-    rows = df.select("key", F.col("ts"))
-    return rows.groupBy("key").applyInPandasWithState(
-        step_key, "key string, at timestamp, count bigint", "count bigint, last bigint",
-        "append", GroupStateTimeout.EventTimeTimeout,
-    )
+
+def ttl_counter_body(
+    counters: KeyedTable,
+    emit: Callable[[DataFrame, int], None],
+    expiry: str = EXPIRY,
+    every: str = UPDATE_EVERY,
+) -> Callable[[DataFrame, int], None]:
+    """The same as a ``foreachBatch`` body on (key, ts) in event order.
+
+    ``counters`` (key, at, n) holds each counter's value and when it was set. A stored value
+    enters the batch as one more update, so it is continued or, after the expiry, left behind.
+    """
+
+    def body(batch: DataFrame, batch_id: int) -> None:
+        updates = key_updates(batch, every).withColumn("stored", F.lit(False))
+        stored = counters.read(before=batch_id).withColumn("stored", F.lit(True))
+        known = stored.join(updates.select("key").distinct(), "key", "left_semi")
+        # An interval that began in the batch before is one update.
+        merged = updates.unionByName(known).groupBy("key", "at").agg(
+            F.sum("n").alias("n"), F.min("stored").alias("stored")
+        )
+        running = _running_by_ttl(merged, expiry).persist()
+        try:
+            emit(running.where(~F.col("stored")).select("key", "at", "count"), batch_id)
+            newest = running.groupBy("key").agg(F.max("at").alias("at"), F.max_by("count", "at").alias("n"))
+            counters.write(newest, batch_id)
+        finally:
+            running.unpersist()
+
+    return body
 
 
 def count_windows_stream(

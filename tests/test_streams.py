@@ -7,6 +7,8 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from streamlytics import schemas
+from streamlytics.functions import parse
 from streamlytics.operators import blacklist as bl
 from streamlytics.operators import windows as w
 from streamlytics.session import scratch, shared_dir
@@ -174,11 +176,12 @@ def test_ttl_counter_stream_equals_batch(spark):
         t += rnd.choice([0, 1, 3, 12])
         data.append((t, rnd.choice("aab")))
     df = seconds(spark, data, ["key"])
-    stream = replay(df, time_slice(df, "ts", 4)).withWatermark("ts", "0 seconds")
-    got = to_files(state.ttl_counts_stream(stream))
-    # A batch interval cut in two by a slice border is updated twice; its last update counts.
-    last = got.groupBy("key", "at").agg(F.max("count").alias("count"))
-    assert rows(last) == rows(state.ttl_counts(df))
+    counters = KeyedTable(spark, scratch(spark, "t"), ["key"], "key string, at timestamp, n bigint")
+    out = KeyedTable(
+        spark, scratch(spark, "o"), ["key", "at"], "key string, at timestamp, count bigint"
+    )
+    each_batch(replay(df, time_slice(df, "ts", 4)), state.ttl_counter_body(counters, out.write))
+    assert rows(out.read()) == rows(state.ttl_counts(df))
 
 
 def test_per_record_counts_start_from_a_seed(spark):
@@ -264,3 +267,20 @@ def test_commit_after_output(spark):
     each_batch(stream, failing_once, checkpoint=checkpoint)
     assert calls == [0, 0]
     assert table.read().agg(F.sum("n")).first()[0] == 10
+
+
+def test_text_stream_and_ingest_time_windows(spark):
+    """Processing-time windows: all lines of one batch are seen at one moment."""
+    from streamlytics.sources.tables import text_lines
+
+    path = scratch(spark, "lines")
+    spark.createDataFrame([("u1,3",), ("u1,4",), ("u2,5",)], "value string").write.text(path)
+    pay = parse.parse_delimited(text_lines(spark, path, streaming=True), schemas.PAY_INFO)
+    total = F.sum("productNum").alias("productNum")
+    sums = w.window_aggregate(w.at_ingest_time(pay), ["userId"], [total], "1 minute")
+    table = KeyedTable(
+        spark, scratch(spark, "t"), ["window_start", "userId"],
+        "window_start timestamp_ntz, userId string, productNum bigint",
+    )
+    each_batch(w.bounds(sums), table.write, mode="update")
+    assert rows(table.read().select("userId", "productNum")) == [("u1", 7), ("u2", 5)]
