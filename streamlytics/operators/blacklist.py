@@ -22,8 +22,8 @@ def blacklisted_users(log: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
 
 def drop_blacklisted(log: DataFrame, blacklist: DataFrame) -> DataFrame:
-    """Anti join on the user id. There is no broadcast hint: Spark broadcasts the list while it
-    is measured to be small, and splits a hot user's rows when it has to shuffle."""
+    """Anti join on the user id. A list that ``broadcast_if_few`` found small costs no shuffle;
+    otherwise Spark splits a hot user's rows when it shuffles them."""
     return log.join(blacklist.select("userid"), "userid", "left_anti").select(*log.columns)
 
 

@@ -8,6 +8,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# A lookup side of at most this many rows (some tens of MB for a key and a short text) is
+# sent to every executor.
+FEW_ROWS = 500_000
+
+
+def broadcast_if_few(side: DataFrame, max_rows: int = FEW_ROWS) -> DataFrame:
+    """Hint a broadcast if the side is counted to be small; leave it to a shuffle join if not.
+
+    Without the hint, Spark may shuffle the large side before it learns how small this one is.
+    """
+    few = side.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(side) if few else side
+
+
 def match_rules(df: DataFrame, rules: DataFrame, key: str) -> DataFrame:
     """Every row plus the rule it hits and whether it hits one. Rule keys are unique."""
     hit = rules.select(key, "rule", F.lit(True).alias("matched"))

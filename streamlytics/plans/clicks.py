@@ -6,10 +6,12 @@ from streamlytics.functions.text import composite_key, key_part
 from streamlytics.functions.times import plain
 from streamlytics.operators import aggregate as agg
 from streamlytics.operators import blacklist as bl
+from streamlytics.operators.enrich import broadcast_if_few
 from streamlytics.operators.topn import daily_area_top
 from streamlytics.operators.windows import minute_trend
 from streamlytics.plans import views as v
 from streamlytics.plans.registry import query
+from streamlytics.session import pin
 
 # The test data peaks at a handful of clicks per (day, user, ad), so queries use a low bar.
 QUERY_THRESHOLD = 3
@@ -73,7 +75,8 @@ _LISTED = f"""SELECT DISTINCT userid FROM ads_log GROUP BY dt, userid, adid
     "ev ads_log",
 )
 def blacklist_filter(spark, d):
-    listed = bl.blacklisted_users(v.ads_cells(spark, d), QUERY_THRESHOLD)
+    # Worked out once, so that its size is known before the log is joined.
+    listed = broadcast_if_few(pin(bl.blacklisted_users(v.ads_cells(spark, d), QUERY_THRESHOLD)))
     log = v.ads_log(spark, d).select("event_id", "timestamp", "area", "city", "userid", "adid")
     return bl.drop_blacklisted(log, listed)
 

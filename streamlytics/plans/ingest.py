@@ -44,7 +44,7 @@ def route_log_topic(spark, d):
 
 def _json_sql(columns: list[str]) -> str:
     pairs = ", ".join(f"'{c}', CAST({c} AS VARCHAR)" for c in columns)
-    return f"json_object({pairs})"
+    return f"CAST(json_object({pairs}) AS VARCHAR)"
 
 
 _ORDERS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
@@ -100,8 +100,9 @@ def sink_kafka(spark, d):
 
 @query(
     "to_documents",
-    """SELECT event_id, json_object('sensor_id', id, 'temperature', CAST(temperature AS VARCHAR),
-    'ts', CAST("timestamp" AS VARCHAR)) AS document FROM sensor""",
+    """SELECT event_id, CAST(json_object('sensor_id', id, 'temperature',
+    CAST(temperature AS VARCHAR), 'ts', CAST("timestamp" AS VARCHAR)) AS VARCHAR) AS document
+    FROM sensor""",
     "ev sensor",
 )
 def to_documents(spark, d):

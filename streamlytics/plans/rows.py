@@ -196,7 +196,7 @@ def refreshable_lookup(spark, d):
     log = v.events(spark, d).select(
         "event_id", F.col("user_id").cast("string").alias("userid"), "event_type"
     )
-    return enrich.match_rules(log, rules, "userid")
+    return enrich.match_rules(log, enrich.broadcast_if_few(rules), "userid")
 
 
 @query(

@@ -207,6 +207,27 @@ def state_expiring(spark, d):
     return table.read()
 
 
+@query(
+    "word_count_per_batch",
+    """SELECT batch, word, count(*) AS count FROM (SELECT conv_id % 3 AS batch, word FROM words)
+    GROUP BY batch, word""",
+    "conv_lines words",
+)
+def word_count_per_batch(spark, d):
+    """Counts of each batch on its own; nothing is kept between batches."""
+    table = KeyedTable(
+        spark, scratch(spark, "words"), ["batch", "word"], "batch bigint, word string, count bigint"
+    )
+    stream = replay(v.words(spark, d), (F.col("conv_id") % 3).cast("int"))
+
+    def count(batch, batch_id):
+        counts = agg.word_count(batch)
+        table.write(counts.withColumn("batch", F.lit(batch_id).cast("bigint")), batch_id)
+
+    each_batch(stream, count)
+    return table.read()
+
+
 @query(
     "side_output_stream",
     """SELECT 'main' AS output, event_id, id, NULL AS alert FROM sensor UNION ALL

@@ -40,8 +40,6 @@ class ClicksApp:
         )
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         # Counted per user first: the filter then joins a few rows per user, and both outputs
         # reuse the result.
         cells = agg.with_day(batch).groupBy("dt", "area", "city", "userid", "adid").agg(
@@ -50,7 +48,10 @@ class ClicksApp:
         kept = drop_blacklisted(cells, self.blacklist.read(before=batch_id)).persist()
         try:
             # The stored counters are kept by day, and a batch holds few distinct days.
-            days = F.col("dt").isin([r["dt"] for r in kept.select("dt").distinct().collect()])
+            dates = [r["dt"] for r in kept.select("dt").distinct().collect()]
+            if not dates:
+                return
+            days = F.col("dt").isin(dates)
             self._count(kept, batch_id, days)
             self._extend_blacklist(kept, batch_id, days)
         finally:

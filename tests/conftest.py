@@ -14,7 +14,9 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     shared = str(tmp_path_factory.mktemp("shared"))
-    session = build_session("8", "tests", **{"spark.checkpoint.dir": shared})
+    # Few partitions: a stream's cost here is mostly state files and Python workers per task.
+    conf = {"spark.checkpoint.dir": shared, "spark.sql.shuffle.partitions": "4"}
+    session = build_session("8", "tests", **conf)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

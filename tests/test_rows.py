@@ -167,6 +167,16 @@ def test_rule_lookup_flags_hits_and_reloads(spark):
     ]
 
 
+def test_only_a_small_side_is_broadcast(spark):
+    def plan(max_rows):
+        side = enrich.broadcast_if_few(spark.range(5), max_rows)
+        joined = spark.range(100).join(side, "id")
+        return joined._jdf.queryExecution().optimizedPlan().toString()
+
+    assert "broadcast" in plan(5)
+    assert "broadcast" not in plan(4)
+
+
 def test_change_rows_are_routed(spark):
     after = [{"id": "1"}, {"id": "2"}]
     envelopes = spark.createDataFrame(
