@@ -82,26 +82,28 @@ class KeyedTable:
             int(p.getName().split("=")[1]) for p in paths if fs.exists(marker(p, "_SUCCESS"))
         )
 
+    def _load(self, kind: str, names: list[str]) -> DataFrame:
+        """Folders of one kind; the kind's folder is where partition columns start."""
+        root = f"{self.path}/{kind}"
+        reader = self.spark.read.schema(self.stored).option("basePath", root)
+        return reader.parquet(*[f"{root}/{n}" for n in names]).select(*self.stored.names)
+
     def _rows(self, before: int | None) -> DataFrame:
         logs = [b for b in self._finished("log") if before is None or b < before]
-        paths = [f"{self.path}/log/batch={b}" for b in logs]
+        found = []
         if self.fold is None:
-            paths = paths[-1:]
+            logs = logs[-1:]
         else:
             bases = [b for b in self._finished("base") if before is None or b < before]
             if bases:
-                done = bases[-1]
-                paths = [f"{self.path}/base/upto={done}"] + [
-                    f"{self.path}/log/batch={b}" for b in logs if b > done
-                ]
-        if not paths:
+                logs = [b for b in logs if b > bases[-1]]
+                found.append(self._load("base", [f"upto={bases[-1]}"]))
+        if logs:
+            found.append(self._load("log", [f"batch={b}" for b in logs]))
+        if not found:
             nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.stored]
             return self.spark.range(0).select(*nulls)
-        # Read one by one: only the columns in ``parts`` come from folder names.
-        read = [self.spark.read.schema(self.stored).parquet(p) for p in paths]
-        return reduce(DataFrame.unionByName, read) if self.parts else (
-            self.spark.read.schema(self.stored).parquet(*paths)
-        )
+        return reduce(DataFrame.unionByName, found)
 
     def read(self, before: int | None = None, where: Column | None = None) -> DataFrame:
         """The content, or what it was before batch ``before`` – which makes that batch
