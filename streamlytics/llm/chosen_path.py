@@ -41,12 +41,14 @@ GROUP_SHINGLES = 4_000_000
 PROPOSE = 0.59
 
 _U = np.uint64
-_same_text = (F.col("w.text_key") == F.col("t.text_key")) & F.col("w.doc_id").eqNullSafe(
-    F.col("t.doc_id")
-)
 _XOR, _TIMES = constants(COORDINATES, 11), constants(COORDINATES, 12) | _U(1)
 
 
+def _same_text():
+    same_id = F.col("w.doc_id").eqNullSafe(F.col("t.doc_id"))
+    return (F.col("w.text_key") == F.col("t.text_key")) & same_id
+
+
 def signature(shingles: np.ndarray) -> np.ndarray:
     """The least hash of the set under each coordinate's own order."""
     least = np.full(COORDINATES, np.iinfo(_U).max, dtype=_U)
@@ -276,7 +278,7 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
         wanted = whole.union(cut.select(key.alias("cell"), "cls", "rep"))
     wanted = wanted.select("cell", "cls", "rep.doc_id", "rep.text_key")
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
-    found = wanted.alias("w").join(texts.alias("t"), _same_text).select("w.cell", "w.cls", "t.text")
+    found = wanted.alias("w").join(texts.alias("t"), _same_text()).select("w.cell", "w.cls", "t.text")
     sets = found.mapInPandas(_sets, "cell bigint, cls binary, shingles binary")
     return sets.groupBy("cell").applyInPandas(_confirm, "u binary, v binary")
 
@@ -337,15 +339,15 @@ def without_near_duplicates(docs: DataFrame) -> DataFrame:
     winners = worded.groupBy("root").agg(first.alias("w")).select("w.doc_id", "w.text_key")
     copies = worded.groupBy("doc_id", "text_key").agg(F.count("*").alias("n_rows"))
     winners = written(
-        winners.alias("w").join(copies.alias("t"), _same_text).select("w.*", "n_rows"),
+        winners.alias("w").join(copies.alias("t"), _same_text()).select("w.*", "n_rows"),
         "chosen-path-winners",
     )
     blank = rows.where("root IS NULL").select("doc_id", "text_key").distinct()
     once = winners.where("n_rows = 1").select("doc_id", "text_key").union(blank)
     texts = docs.withColumn("text_key", F.xxhash64("text"))
-    stay = texts.alias("t").join(once.alias("w"), _same_text, "left_semi")
+    stay = texts.alias("t").join(once.alias("w"), _same_text(), "left_semi")
     again = winners.where("n_rows > 1")
     if not again.isEmpty():
-        repeated = texts.alias("t").join(again.alias("w"), _same_text, "left_semi")
+        repeated = texts.alias("t").join(again.alias("w"), _same_text(), "left_semi")
         stay = stay.union(repeated.dropDuplicates(["doc_id", "text_key"]))
     return stay.select(*docs.columns)
