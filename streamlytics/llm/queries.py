@@ -1,6 +1,17 @@
 """All queries of this subpackage and their SQL."""
 
-from streamlytics.llm import near_dup_query  # noqa: F401
+from streamlytics.llm import (  # noqa: F401
+    additive_query,
+    chat_query,
+    decontaminate_query,
+    license_query,
+    mixing_query,
+    near_dup_query,
+    rare_features_query,
+    sharding_query,
+    toxicity_query,
+    url_query,
+)
 from streamlytics.llm.common import ORACLES, QUERIES
 
 
