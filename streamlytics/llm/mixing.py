@@ -4,7 +4,10 @@ Every document should be taken ``target / source size`` times, which is rarely w
 part is certain; the rest is a fraction of the document, held in words. Two fractional documents
 of one source meet, and a random one of two moves carries words from one to the other until one
 of them is wholly taken or wholly left. The move's chance keeps every expected value, and the
-words of the pair stay the same, so a source ends within one document of its target.
+words of the pair stay the same, so only a last residual of one document is rounded. Documents
+are rounded in classes, those that are a large part of their source's target first; what a class
+misses is added to the fractions of the next, so a source ends within half of one of its smallest
+class's documents of its target.
 
 Pairs meet in a reduction tree: blocks of about ``FAN_IN`` documents of a source leave one
 residual each, and the residuals are blocks of the next level. No task sees more than a block,
@@ -24,6 +27,8 @@ from streamlytics.operators.ordered import running_count
 WEIGHTS = (1, 2, 3)
 MOST_COPIES = 3
 FAN_IN = 256
+#: Class borders, as parts of the source's target.
+CLASSES = (1 / 4, 1 / 16, 1 / 64)
 
 _UNIT = "struct<size:bigint, key:bigint, doc_id:bigint, text_key:bigint, n_rows:bigint, words:double>"
 
@@ -96,7 +101,7 @@ def _meet(acc: Column, new: Column, level: int) -> Column:
     )
 
 
-def _reduced(units: DataFrame, level: int) -> DataFrame:
+def _reduced(units: DataFrame, level: int, name: str) -> DataFrame:
     """Each block's decided documents, and the one still held."""
     start = F.struct(
         F.lit(None).cast(_UNIT).alias("held"), F.array().cast(f"array<{_UNIT}>").alias("done")
@@ -105,9 +110,76 @@ def _reduced(units: DataFrame, level: int) -> DataFrame:
         F.array_sort(F.collect_list("unit")), start, lambda acc, x: _meet(acc, x, level)
     )
     blocks = units.groupBy("source", "block").agg(folded.alias("f"))
-    return written(
-        blocks.select("source", "block", "f.held", "f.done"), f"mixing-level-{level}"
+    return written(blocks.select("source", "block", "f.held", "f.done"), f"{name}-{level}")
+
+
+def _tree(open_units: DataFrame, largest: int, name: str) -> DataFrame:
+    """(source, unit) with every unit decided: its words are all of it or none."""
+    decided, level, blocks = [], 0, -(-largest // FAN_IN)
+    while True:
+        reduced = _reduced(open_units, level, name)
+        decided.append(reduced.select("source", F.explode("done").alias("unit")))
+        if blocks <= 1:
+            break
+        open_units = reduced.select(
+            "source", F.floor(F.col("block") / FAN_IN).alias("block"), F.col("held").alias("unit")
+        )
+        blocks, level = -(-blocks // FAN_IN), level + 1
+    # The last residual of a source goes to the nearer whole number.
+    decided.append(reduced.select("source", F.col("held").alias("unit")))
+    taken = (F.col("unit.words") * 2 >= F.col("unit.size")).cast("bigint")
+    return reduce(DataFrame.unionAll, decided).select("source", "unit", taken.alias("extra"))
+
+
+def _rounded(split: DataFrame) -> DataFrame:
+    """(source, doc_id, text_key, extra): 1 for the fractional documents that are taken."""
+    due = F.sum(F.col("mass") * F.col("part")).alias("due")
+    stats = written(
+        split.groupBy("source", "rank").agg(
+            F.count("*").alias("n_units"), F.sum("mass").alias("total"), due
+        ),
+        "mixing-classes",
     )
+    ranks = sorted(stats.groupBy("rank").agg(F.max("n_units")).collect())  # one row per class
+    carry = stats.select("source", F.lit(0.0).alias("carry")).distinct()
+    same = F.col("a.source").eqNullSafe(F.col("b.source"))
+    parts = [split.limit(0).select("source", "doc_id", "text_key", F.lit(0).cast("bigint").alias("extra"))]
+    for rank, largest in ranks:
+        here = stats.where(F.col("rank") == rank).alias("a").join(carry.alias("b"), same)
+        here = here.select("a.*", (F.col("carry") / F.col("total")).alias("shift"))
+        moved = F.least(F.greatest(F.col("part") + F.col("shift"), F.lit(0.0)), F.lit(1.0))
+        unit = F.struct(
+            F.col("mass").alias("size"),
+            F.xxhash64("doc_id", "text_key").alias("key"),
+            "doc_id",
+            "text_key",
+            "n_rows",
+            (F.col("mass") * moved).alias("words"),
+        )
+        n_blocks = F.ceil(F.col("n_units") / FAN_IN)
+        open_units = (
+            split.where(F.col("rank") == rank)
+            .alias("a")
+            .join(here.select("source", "shift", "n_units").alias("b"), same)
+            .select(
+                "a.source",
+                F.pmod(F.xxhash64("doc_id", "text_key", F.lit("block")), n_blocks).alias("block"),
+                unit.cast(_UNIT).alias("unit"),
+            )
+        )
+        done = _tree(open_units, largest, f"mixing-{rank}")
+        parts.append(done.select("source", "unit.doc_id", "unit.text_key", "extra"))
+        given = done.groupBy("source").agg(F.sum(F.col("extra") * F.col("unit.size")).alias("given"))
+        left = here.alias("a").join(given.alias("b"), same).select(
+            "a.source", (F.col("due") - F.col("given")).alias("missed")
+        )
+        carry = written(
+            carry.alias("a")
+            .join(left.alias("b"), same, "left")
+            .select("a.source", (F.col("carry") + F.coalesce("missed", F.lit(0.0))).alias("carry")),
+            "mixing-carry",
+        )
+    return reduce(DataFrame.unionAll, parts)
 
 
 def copies(
@@ -134,52 +206,21 @@ def copies(
     targets = source_targets(
         units.select("source", (F.col("size") * F.col("n_rows")).alias("size")), weights, most
     )
-    shares = units.groupBy("source").agg(F.count("*").alias("n_units")).alias("n")
-    same = F.col("t.source").eqNullSafe(F.col("n.source"))
-    shares = written(targets.alias("t").join(shares, same).select("t.*", "n_units"), "mixing-shares")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     # A rate a hair under a whole number is that number.
     whole = F.least(F.floor(rate + 1e-9), F.lit(most))
+    mass = F.col("size") * F.col("n_rows")
+    rank = reduce(
+        lambda found, k: F.when(mass > F.col("target") * CLASSES[k], k).otherwise(found),
+        reversed(range(len(CLASSES))),
+        F.lit(len(CLASSES)),
+    )
     same = F.col("u.source").eqNullSafe(F.col("s.source"))
-    split = units.alias("u").join(shares.alias("s"), same).select(
-        "u.*", "source_size", "target", "n_units", whole.alias("whole"),
+    split = units.alias("u").join(targets.alias("s"), same).select(
+        "u.*", "source_size", "target", whole.alias("whole"), mass.alias("mass"), rank.alias("rank"),
         F.greatest(rate - whole, F.lit(0.0)).alias("part"),
-    )
-    fractional = (F.col("part") > 1e-9) & (F.col("size") > 0)
-    n_blocks = F.ceil(F.col("n_units") / FAN_IN)
-    mass = (F.col("size") * F.col("n_rows")).alias("size")
-    unit = F.struct(
-        mass,
-        F.xxhash64("doc_id", "text_key").alias("key"),
-        "doc_id",
-        "text_key",
-        "n_rows",
-        (F.col("size") * F.col("n_rows") * F.col("part")).alias("words"),
-    )
-    open_units = split.where(fractional).select(
-        "source",
-        F.pmod(F.xxhash64("doc_id", "text_key", F.lit("block")), n_blocks).alias("block"),
-        unit.cast(_UNIT).alias("unit"),
-    )
-    largest = shares.agg(F.coalesce(F.max("n_units"), F.lit(0))).first()[0]
-    decided, level, blocks = [], 0, -(-largest // FAN_IN)
-    while True:
-        reduced = _reduced(open_units, level)
-        decided.append(reduced.select("source", F.explode("done").alias("unit")))
-        if blocks <= 1:
-            break
-        open_units = reduced.select(
-            "source", F.floor(F.col("block") / FAN_IN).alias("block"), F.col("held").alias("unit")
-        )
-        blocks, level = -(-blocks // FAN_IN), level + 1
-    # The last residual of a source goes to the nearer whole number.
-    decided.append(reduced.select("source", F.col("held").alias("unit")))
-    extra = reduce(DataFrame.unionAll, decided).select(
-        "source",
-        "unit.doc_id",
-        "unit.text_key",
-        (F.col("unit.words") * 2 >= F.col("unit.size")).cast("bigint").alias("extra"),
-    )
+    )
+    extra = _rounded(split.where((F.col("part") > 1e-9) & (F.col("mass") > 0)))
     same = (
         F.col("a.source").eqNullSafe(F.col("b.source"))
         & F.col("a.doc_id").eqNullSafe(F.col("b.doc_id"))
