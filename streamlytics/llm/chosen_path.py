@@ -199,7 +199,8 @@ def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 seen.add(pair)
                 keep.append(at)
                 sets.append(s.tobytes())
-        yield pdf[["cell", "cls"]].iloc[keep].assign(shingles=sets)
+        if keep:
+            yield pdf[["cell", "cls"]].iloc[keep].assign(shingles=sets)
 
 
 def linked(sets: list[np.ndarray]) -> list[tuple[int, int]]:

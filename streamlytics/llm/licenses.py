@@ -133,22 +133,37 @@ def _built_in() -> Templates:
     return Templates(TEMPLATES)
 
 
-def _stretches(places: np.ndarray, words: np.ndarray, span: int, need: int) -> Iterator[tuple[int, int]]:
-    """Runs of kept words within ``span`` words that hold ``need`` distinct ones, not overlapping."""
+def _found(
+    places: list[int], words: list[int], wanted: list[int], need: int, coverage: float
+) -> Iterator[tuple[int, int, float]]:
+    """(first place, last place, coverage) of each time the template occurs.
+
+    ``need`` distinct template words within a template's stretched length start a try; words up to
+    as far again are aligned, since the template may begin late in that window.
+    """
+    span = int(np.ceil(STRETCH * len(wanted))) + 2
     inside: Counter = Counter()
     start, stop = 0, 0
     while start < len(places):
         while stop < len(places) and places[stop] < places[start] + span:
             inside[words[stop]] += 1
             stop += 1
+        step = 1
         if len(inside) >= need:
-            yield start, stop
-            start, inside = stop, Counter()
-            continue
-        inside[words[start]] -= 1
-        if not inside[words[start]]:
-            del inside[words[start]]
-        start += 1
+            end = bisect_left(places, places[start] + 2 * span)
+            pairs = patience(words[start:end], wanted)
+            if len(pairs) >= coverage * len(wanted):
+                first, last = start + pairs[0][0], start + pairs[-1][0]
+                yield places[first], places[last], len(pairs) / len(wanted)
+                step = last + 1 - start
+            else:
+                step = max(1, (stop - start) // 4)
+        for word in words[start : min(start + step, stop)]:
+            inside[word] -= 1
+            if not inside[word]:
+                del inside[word]
+        start += step
+        stop = max(start, stop)
 
 
 def scan(texts, templates: Templates, coverage: float = COVERAGE) -> Iterator[tuple[int, str, int, int, float]]:
@@ -173,13 +188,8 @@ def scan(texts, templates: Templates, coverage: float = COVERAGE) -> Iterator[tu
             places = (kept[lo:hi][mine] - starts[text]).tolist()
             words = hashes[kept[lo:hi][mine]].tolist()
             wanted = templates.words[k]
-            span = int(np.ceil(STRETCH * len(wanted))) + 2
-            for a, b in _stretches(places, words, span, int(need[k])):
-                pairs = patience(words[a:b], wanted)
-                share = len(pairs) / len(wanted)
-                if share >= coverage:
-                    first, last = places[a + pairs[0][0]], places[a + pairs[-1][0]]
-                    yield at + int(text), templates.names[k], first, last, share
+            for first, last, share in _found(places, words, wanted, int(need[k]), coverage):
+                yield at + int(text), templates.names[k], first, last, share
 
 
 def licenses(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE) -> DataFrame:
@@ -195,6 +205,8 @@ def licenses(docs: DataFrame, templates: dict[str, str] | None = None, coverage:
         known = Templates(templates) if templates is not None else _built_in()
         for pdf in batches:
             found = list(scan(pdf["text"], known, coverage))
+            if not found:
+                continue
             rows = pdf["doc_id"].astype("Int64").iloc[[f[0] for f in found]].reset_index(drop=True)
             yield pd.DataFrame(
                 {

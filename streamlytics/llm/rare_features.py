@@ -240,7 +240,8 @@ def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             else:
                 lead = ([held[0]], [held[1]], [held[2]])
             now = (lead[0] + ids[at:stop], lead[1] + texts[at:stop], lead[2] + prints)
-            yield _rows(*now, part)[_ORDER]
+            if len(now[0]) > 1:
+                yield _rows(*now, part)[_ORDER]
             held = (now[0][-1], now[1][-1], now[2][-1])
             at = stop
     if held is not None:

@@ -132,9 +132,11 @@ def sharded(docs: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES) -> None:
-    """Write the rows of ``docs`` as Parquet, one folder per shard."""
+    """Write the rows of ``docs`` as Parquet, one folder per shard; an own column ``shard`` goes."""
+    own = [c for c in docs.columns if c != "shard"]
     homes = sharded(docs, limit).groupBy("key").agg(F.sort_array(F.collect_set("shard")).alias("in"))
-    keyed = docs.withColumn("key", _key())
+    rows = docs.select(F.struct(*own).alias("row"), _key().alias("key"))
+    # Only copies of one row have more than one shard; they are dealt among these.
     deal = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.size("in")).cast("int")
-    placed = keyed.join(homes, "key").withColumn("shard", F.get("in", deal))
-    placed.drop("key", "in").repartition("shard").write.partitionBy("shard").parquet(path)
+    placed = rows.join(homes, "key").select("row.*", F.get("in", deal).alias("shard"))
+    placed.repartition("shard").write.partitionBy("shard").parquet(path)

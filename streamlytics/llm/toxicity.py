@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -202,7 +203,7 @@ def train(labelled: DataFrame, categories: list[str]) -> Chain:
             cuts = np.searchsorted(row[order], np.arange(1, len(pdf)))
             yield pd.DataFrame(
                 {
-                    "doc_id": pdf["doc_id"],
+                    "doc_id": pdf["doc_id"].astype("Int64"),
                     "y": pdf[categories].to_numpy().tolist(),
                     "columns": np.split(column[order], cuts),
                     "shares": np.split(value[order], cuts),
@@ -211,7 +212,8 @@ def train(labelled: DataFrame, categories: list[str]) -> Chain:
 
     schema = "doc_id bigint, y array<double>, columns array<bigint>, shares array<double>"
     # A few known terms per sampled document.
-    found = sorted(rows.mapInPandas(collect, schema).collect(), key=lambda r: (r["doc_id"], r["columns"]))
+    found = rows.mapInPandas(collect, schema).collect()
+    found = sorted(found, key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["columns"]))
     y = np.array([r["y"] for r in found]).reshape(-1, len(categories))
     lengths = [len(r["columns"]) for r in found]
     sparse = (
@@ -222,35 +224,33 @@ def train(labelled: DataFrame, categories: list[str]) -> Chain:
     return fit_chain(sparse, y, vocabulary, categories)
 
 
-def judged(docs: DataFrame, chain: Chain, reject: float = REJECT, carry: tuple[str, ...] = ()) -> DataFrame:
+def judged(docs: DataFrame, chain: Chain, reject: float = REJECT) -> DataFrame:
     """Per row of ``docs``: doc_id, ``p_<category>`` per category, and toxic (the last one's verdict).
 
     Whole texts are read. A null or empty text has no terms and is judged by the base rates alone;
-    repeated rows are judged alike; a null doc_id stays null; an empty table gives no rows. Other
-    columns are ignored, but for those named in ``carry``.
+    repeated rows are judged alike; a null doc_id stays null; an empty table gives no rows; other
+    columns are ignored.
     """
     names = [f"p_{c}" for c in chain.categories]
-    fields = {f.name: f for f in docs.schema.fields}
-    kept = ["doc_id", *carry]
-    schema = ", ".join(
-        [f"`{c}` {fields[c].dataType.simpleString()}" for c in kept] + [f"{n} double" for n in names] + ["toxic boolean"]
-    )
 
     def run(batches):
-        for pdf in batches:
-            p = chain.predict(pdf["text"])
-            out = pdf[kept].assign(**{n: p[:, k] for k, n in enumerate(names)}, toxic=p[:, -1] >= reject)
-            yield out.assign(doc_id=out["doc_id"].astype("Int64"))
+        for batch in batches:
+            p = chain.predict(batch.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), *map(pa.array, p.T), pa.array(p[:, -1] >= reject)],
+                names=["doc_id", *names, "toxic"],
+            )
 
-    return docs.select("text", *kept).mapInPandas(run, schema)
+    schema = ", ".join(["doc_id bigint", *[f"{n} double" for n in names], "toxic boolean"])
+    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, schema)
 
 
 def without_toxic(docs: DataFrame, chain: Chain, reject: float = REJECT) -> DataFrame:
     """``docs`` without the documents that the chain rejects, all columns as they were."""
-    schema = docs.schema
 
     def run(batches):
-        for pdf in batches:
-            yield pdf[chain.predict(pdf["text"])[:, -1] < reject]
+        for batch in batches:
+            p = chain.predict(batch.column("text").to_pylist())
+            yield batch.filter(pa.array(p[:, -1] < reject))
 
-    return docs.mapInPandas(run, schema)
+    return docs.mapInArrow(run, docs.schema)
