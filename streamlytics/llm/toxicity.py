@@ -29,7 +29,7 @@ from streamlytics.llm.words import batched, word_places
 SAMPLE = 20_000
 VOCABULARY = 4096
 #: A term must be in this many labelled documents, and this far from chance (chi-square).
-LEAST_DOCS, LEAST_CHI = 4, 20.0
+LEAST_DOCS, LEAST_CHI = 4, 12.0
 PREFIXES = (5, 6, 7, 8)
 FOLDS = 3
 STEPS, PENALTY = 400, 2e-4
