@@ -9,9 +9,9 @@ from streamlytics.functions.times import day_of
 from streamlytics.operators.ordered import running_count, running_sum_first
 
 
-def row_count(df: DataFrame, weight: str = "n") -> Column:
-    """Row count, or the sum of a pre-counted ``n`` column where the frame has one."""
-    return F.sum(weight) if weight in df.columns else F.count(F.lit(1))
+def row_count(weight: str | None = None) -> Column:
+    """Row count, or the sum of a named column of pre-counted rows."""
+    return F.sum(weight) if weight else F.count(F.lit(1))
 
 
 def word_count(words: DataFrame, word: str = "word") -> DataFrame:
@@ -28,18 +28,26 @@ def rolling_reduce(sensor: DataFrame, order: list[str], limit: int | None = None
     return running_sum_first(sensor, ["id"], order, "temperature", "timestamp", limit)
 
 
-def with_day(log: DataFrame) -> DataFrame:
-    return log if "dt" in log.columns else log.withColumn("dt", day_of("timestamp"))
+def with_day(log: DataFrame, day: str | None = None) -> DataFrame:
+    """The log with its day as ``dt``: from the named column, else from the timestamp."""
+    return log.withColumn("dt", F.col(day) if day else day_of("timestamp"))
 
 
-def daily_user_ad_clicks(log: DataFrame) -> DataFrame:
-    log = with_day(log)
-    return log.groupBy("dt", "userid", "adid").agg(row_count(log).alias("click_count"))
+def daily_user_ad_clicks(
+    log: DataFrame, weight: str | None = None, day: str | None = None
+) -> DataFrame:
+    """``weight`` and ``day`` name columns of a log that is already counted and dated."""
+    return with_day(log, day).groupBy("dt", "userid", "adid").agg(
+        row_count(weight).alias("click_count")
+    )
 
 
-def date_area_city_ad_count(log: DataFrame) -> DataFrame:
-    log = with_day(log)
-    return log.groupBy("dt", "area", "city", "adid").agg(row_count(log).alias("click_count"))
+def date_area_city_ad_count(
+    log: DataFrame, weight: str | None = None, day: str | None = None
+) -> DataFrame:
+    return with_day(log, day).groupBy("dt", "area", "city", "adid").agg(
+        row_count(weight).alias("click_count")
+    )
 
 
 def area_ad_rollup(city_counts: DataFrame) -> DataFrame:

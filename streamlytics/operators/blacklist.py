@@ -15,9 +15,14 @@ from streamlytics.operators.aggregate import daily_user_ad_clicks
 THRESHOLD = 100
 
 
-def blacklisted_users(log: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+def blacklisted_users(
+    log: DataFrame,
+    threshold: int = THRESHOLD,
+    weight: str | None = None,
+    day: str | None = None,
+) -> DataFrame:
     """Every user whose unfiltered counter reaches the threshold on some day."""
-    reached = daily_user_ad_clicks(log).where(F.col("click_count") >= threshold)
+    reached = daily_user_ad_clicks(log, weight, day).where(F.col("click_count") >= threshold)
     return reached.select("userid").distinct()
 
 

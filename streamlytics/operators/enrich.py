@@ -8,18 +8,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-# A lookup side of at most this many rows (some tens of MB for a key and a short text) is
-# sent to every executor.
-FEW_ROWS = 500_000
+# A lookup side of at most this many bytes is sent to every executor.
+FEW_BYTES = 32 << 20
+_ROW_BYTES = 16
 
 
-def broadcast_if_few(side: DataFrame, max_rows: int = FEW_ROWS) -> DataFrame:
-    """Hint a broadcast if the side is counted to be small; leave it to a shuffle join if not.
+def broadcast_if_few(side: DataFrame, max_bytes: int = FEW_BYTES) -> DataFrame:
+    """Hint a broadcast if the side is measured to be small; leave it to a shuffle join if not.
 
     Without the hint, Spark may shuffle the large side before it learns how small this one is.
+    No more rows are read than could be small.
     """
-    few = side.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(side) if few else side
+    long = [f.name for f in side.schema.fields if f.dataType.typeName() in ("string", "binary")]
+    text = [F.coalesce(F.octet_length(c), F.lit(0)) for c in long]
+    row = sum(text, F.lit(_ROW_BYTES + 8 * len(side.columns)))
+    read = side.limit(max_bytes // _ROW_BYTES + 1)
+    size = read.agg(F.coalesce(F.sum(row.cast("bigint")), F.lit(0))).first()[0]
+    return F.broadcast(side) if size <= max_bytes else side
 
 
 def match_rules(df: DataFrame, rules: DataFrame, key: str) -> DataFrame:
@@ -30,11 +35,14 @@ def match_rules(df: DataFrame, rules: DataFrame, key: str) -> DataFrame:
 
 
 def refreshed_lookup(
-    load_rules: Callable[[], DataFrame], key: str, write: Callable[[DataFrame, int], None]
+    load_rules: Callable[[int], DataFrame], key: str, write: Callable[[DataFrame, int], None]
 ) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` body: reload the rules, match the batch, hand the result on."""
+    """A ``foreachBatch`` body: load the rules for the batch id, match, hand the result on.
+
+    The batch id makes a repeated batch get the rules it had.
+    """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        write(match_rules(batch, load_rules(), key), batch_id)
+        write(match_rules(batch, load_rules(batch_id), key), batch_id)
 
     return apply

@@ -35,7 +35,8 @@ class Slices:
         return self.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
     def carry(self, per_slice: dict[str, Column], combine: dict[str, Column]) -> DataFrame:
-        """The rows plus, per name, what the earlier slices of the key add up to.
+        """The rows plus, per name, what the earlier slices of the key add up to, and
+        ``_carried``: whether the key has earlier slices at all (a carried value may be null).
 
         ``per_slice`` aggregates a slice, ``combine`` folds those results over the earlier
         slices. Only a key that crosses a slice border has a row here, so the table has fewer
@@ -55,12 +56,16 @@ class Slices:
             *[combine[n].over(earlier).alias(n) for n in per_slice],
             F.count("_one").over(earlier).alias("_before"),
         ).where("_before > 0")
-        left, right = self.rows.alias("l"), F.broadcast(folded.drop("_before")).alias("r")
+        folded = folded.withColumn("_carried", F.lit(True)).drop("_before")
+        left, right = self.rows.alias("l"), F.broadcast(folded).alias("r")
         same = reduce(
             lambda a, b: a & b,
             [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in [*self.keys, "_slice"]],
         )
-        return left.join(right, same, "left").select("l.*", *[f"r.{n}" for n in per_slice])
+        carried = F.coalesce("r._carried", F.lit(False)).alias("_carried")
+        return left.join(right, same, "left").select(
+            "l.*", *[f"r.{n}" for n in per_slice], carried
+        )
 
 
 def slices(
@@ -86,7 +91,9 @@ def running_count(
     if not s.split:
         return s.rows.withColumn(name, within)
     rows = s.carry({"_n": F.count(F.lit(1))}, {"_n": F.sum("_n")})
-    return rows.withColumn(name, within + F.coalesce("_n", F.lit(0))).drop("_slice", "_n")
+    return rows.withColumn(name, within + F.coalesce("_n", F.lit(0))).drop(
+        "_slice", "_n", "_carried"
+    )
 
 
 def running_sum_first(
@@ -108,8 +115,11 @@ def running_sum_first(
             {"_sum": F.sum(sums), "_first": F.min_by(firsts, position)},
             {"_sum": F.sum("_sum"), "_first": F.first("_first")},
         )
-        total = total + F.coalesce("_sum", F.lit(0))
-        first = F.coalesce("_first", first)
+        # A sum is null only as long as no value was seen, in this slice or before it.
+        total = F.when(total.isNull(), F.col("_sum")).otherwise(
+            total + F.coalesce("_sum", F.lit(0))
+        )
+        first = F.when(F.col("_carried"), F.col("_first")).otherwise(first)
     return rows.withColumns({"_t": total, "_f": first}).select(
         *[
             F.col("_t").alias(c) if c == sums else F.col("_f").alias(c) if c == firsts else c
@@ -134,5 +144,5 @@ def previous_value(
     rows = s.carry({"_last": F.max_by(value, F.struct(*order))}, {"_last": F.last("_last")})
     first_of_slice = F.row_number().over(s.window()) == 1
     return rows.withColumn(name, F.when(first_of_slice, F.col("_last")).otherwise(before)).drop(
-        "_slice", "_last"
+        "_slice", "_last", "_carried"
     )

@@ -88,7 +88,9 @@ def sessions(df: DataFrame, key: str, value: str, gap: str) -> DataFrame:
     """
     gap_us = duration_ms(gap) * 1000
     us = F.unix_micros("ts")
-    cells = df.groupBy(key, F.expr(f"unix_micros(ts) div {gap_us}").alias("_cell")).agg(
+    # ``div`` rounds towards zero, which would make the cell around 1970 twice as wide.
+    cell = f"(unix_micros(ts) - pmod(unix_micros(ts), {gap_us})) div {gap_us}"
+    cells = df.groupBy(key, F.expr(cell).alias("_cell")).agg(
         F.min(us).alias("_lo"), F.max(us).alias("_hi"), F.sum(value).alias("_v")
     )
     order = Window.partitionBy(key).orderBy("_cell")
@@ -112,7 +114,7 @@ def session_stream(df: DataFrame, key: str, value: str, gap: str) -> DataFrame:
     )
 
 
-def minute_trend(log: DataFrame, size: str, slide: str) -> DataFrame:
+def minute_trend(log: DataFrame, size: str, slide: str, weight: str | None = None) -> DataFrame:
     """Per window and ad: clicks per minute of the day, as one JSON text.
 
     ``size`` is at most a day, so a text has at most 1440 entries.
@@ -121,7 +123,7 @@ def minute_trend(log: DataFrame, size: str, slide: str) -> DataFrame:
         raise ValueError("the slide must be whole minutes")
     minutes = (
         log.groupBy("adid", F.window(from_millis("timestamp"), "1 minute").alias("_m"))
-        .agg(row_count(log).alias("n"))
+        .agg(row_count(weight).alias("n"))
         .select("adid", F.col("_m.start").alias("ts"), "n")
     )
     hm = F.date_format("ts", "HH:mm").alias("hm")

@@ -22,14 +22,18 @@ TOP3_SQL = """SELECT dt, area, adid, click_count, CAST(rank AS INTEGER) AS rank
     FROM {src} GROUP BY dt, area, adid) WHERE rank <= 3"""
 
 
-@query("daily_area_top3", TOP3_SQL.format(src="click_counts"), "ev ads_log click_counts")
+def _city_counts(spark, d):
+    return agg.date_area_city_ad_count(v.ads_cells(spark, d), "n", "dt")
+
+
+@query("daily_area_top3", TOP3_SQL.format(src="city_counts"), "ev ads_log city_counts")
 def daily_area_top3(spark, d):
-    return daily_area_top(agg.date_area_city_ad_count(v.ads_cells(spark, d, only="click")))
+    return daily_area_top(_city_counts(spark, d))
 
 
 @query("date_area_city_ad_count", "SELECT * FROM city_counts", "ev ads_log city_counts")
 def date_area_city_ad_count(spark, d):
-    return agg.date_area_city_ad_count(v.ads_cells(spark, d))
+    return _city_counts(spark, d)
 
 
 @query(
@@ -39,7 +43,7 @@ def date_area_city_ad_count(spark, d):
     "ev ads_log city_counts",
 )
 def area_ad_rollup(spark, d):
-    return agg.area_ad_rollup(agg.date_area_city_ad_count(v.ads_cells(spark, d)))
+    return agg.area_ad_rollup(_city_counts(spark, d))
 
 
 @query(
@@ -48,7 +52,7 @@ def area_ad_rollup(spark, d):
     "ev ads_log",
 )
 def daily_user_ad_clicks(spark, d):
-    return agg.daily_user_ad_clicks(v.ads_cells(spark, d))
+    return agg.daily_user_ad_clicks(v.ads_cells(spark, d), "n", "dt")
 
 
 @query(
@@ -58,7 +62,7 @@ def daily_user_ad_clicks(spark, d):
     "ev ads_log city_counts",
 )
 def composite_key_query(spark, d):
-    counts = agg.date_area_city_ad_count(v.ads_cells(spark, d))
+    counts = _city_counts(spark, d)
     keyed = counts.select(composite_key("dt", "area", "city", "adid").alias("key"), "click_count")
     names = ["dt", "area", "city", "adid"]
     return keyed.select("key", *[key_part("key", i).alias(n) for i, n in enumerate(names)], "click_count")
@@ -76,7 +80,8 @@ _LISTED = f"""SELECT DISTINCT userid FROM ads_log GROUP BY dt, userid, adid
 )
 def blacklist_filter(spark, d):
     # Worked out once, so that its size is known before the log is joined.
-    listed = broadcast_if_few(pin(bl.blacklisted_users(v.ads_cells(spark, d), QUERY_THRESHOLD)))
+    listed = bl.blacklisted_users(v.ads_cells(spark, d), QUERY_THRESHOLD, "n", "dt")
+    listed = broadcast_if_few(pin(listed))
     log = v.ads_log(spark, d).select("event_id", "timestamp", "area", "city", "userid", "adid")
     return bl.drop_blacklisted(log, listed)
 
@@ -111,7 +116,7 @@ def ads_pipeline(spark, d):
     """The whole app with one batch a day: filter with feedback, count, rank."""
     # By the number, not its text: both sides of the join then start from the same shuffle.
     kept = bl.kept_with_feedback(v.ads_cells(spark, d), "dt", QUERY_THRESHOLD, user="user_id")
-    return daily_area_top(agg.date_area_city_ad_count(kept))
+    return daily_area_top(agg.date_area_city_ad_count(kept, "n", "dt"))
 
 
 def _trend_sql(minutes: int, slide: int) -> str:

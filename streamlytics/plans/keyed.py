@@ -1,4 +1,4 @@
-"""Keyed tables filled in three batches (ten days each), and the table sinks."""
+"""Keyed tables filled in batches cut from the time axis, and the table sinks."""
 
 from pyspark.sql import functions as F
 
@@ -8,6 +8,7 @@ from streamlytics.plans import views as v
 from streamlytics.plans.clicks import QUERY_THRESHOLD
 from streamlytics.plans.registry import query
 from streamlytics.session import scratch
+from streamlytics.sources.replay import DAY_US, time_slice, time_slice_sql
 from streamlytics.streaming import sinks
 from streamlytics.streaming.keyed import KeyedTable, add_up, collect_members, keep_latest
 
@@ -15,19 +16,25 @@ BATCHES = 3
 CITY_KEY = ["dt", "area", "city", "adid"]
 
 
-def batch_of(ts: str = "ts"):
-    """Days 1-10, 11-20 and 21-31 of the month."""
-    return F.least(F.floor((F.dayofmonth(ts) - 1) / 10), F.lit(BATCHES - 1)).cast("int")
+def batch_of(spark, d, slices: int = BATCHES):
+    """The part of the events' time range, in whole days, that a row falls into."""
+    return time_slice(v.table(spark, d, "events"), "ts", slices, DAY_US)
 
 
-BATCH_SQL = "least((day(ts) - 1) // 10, 2)"
+BATCH_SQL = time_slice_sql("events", "ts", BATCHES, DAY_US)
 
 
-def _fill(spark, name, rows, keys, schema, fold, per_batch):
-    """Write one folder per batch, the last one twice, and read the folded table."""
+def _fill(spark, d, name, rows, keys, schema, fold, per_batch):
+    """Write one folder per batch, the last one twice, and read the folded table.
+
+    The rows are worked out once and stored by batch; a batch reads its own.
+    """
     table = KeyedTable(spark, scratch(spark, name), keys, schema, fold)
+    path, cut = scratch(spark, "batches"), rows.withColumn("_batch", batch_of(spark, d))
+    cut.write.partitionBy("_batch").parquet(path)
+    stored = spark.read.schema(cut.schema).parquet(path)
     for b in [*range(BATCHES), BATCHES - 1]:
-        table.write(per_batch(rows.where(batch_of() == b)), b)
+        table.write(per_batch(stored.where(F.col("_batch") == b).drop("_batch")), b)
     return table.read()
 
 
@@ -43,7 +50,7 @@ def upsert_latest(spark, d):
         return part.groupBy("userId").agg(newest)
 
     return _fill(
-        spark, "upsert", v.pay_info(spark, d), ["userId"], "userId string, productNum bigint",
+        spark, d, "upsert", v.pay_info(spark, d), ["userId"], "userId string, productNum bigint",
         keep_latest, last_per_user,
     )
 
@@ -64,7 +71,7 @@ def kv_put_all(spark, d):
         )
 
     return _fill(
-        spark, "put", v.ads_log(spark, d), ["key"], "key string, value string", keep_latest, as_text
+        spark, d, "put", v.ads_log(spark, d), ["key"], "key string, value string", keep_latest, as_text
     )
 
 
@@ -80,7 +87,7 @@ def kv_increment(spark, d):
         (F.col("k") % 6 + 1).cast("string").alias("adid"), "ts",
     )
     return _fill(
-        spark, "counter", log, ["userid", "adid"],
+        spark, d, "counter", log, ["userid", "adid"],
         "userid string, adid string, click_count bigint", add_up,
         lambda part: part.groupBy("userid", "adid").agg(F.count(F.lit(1)).alias("click_count")),
     )
@@ -98,7 +105,7 @@ def kv_set_add(spark, d):
         return many.select("userid").distinct()
 
     return _fill(
-        spark, "set", v.ads_log(spark, d), ["userid"], "userid string", collect_members, over
+        spark, d, "set", v.ads_log(spark, d), ["userid"], "userid string", collect_members, over
     )
 
 
@@ -111,7 +118,7 @@ def kv_set_add(spark, d):
 def kv_replace_all(spark, d):
     log = v.events(spark, d).select((F.col("k") % 6 + 1).cast("string").alias("adid"), "ts")
     return _fill(
-        spark, "replace", log, ["adid"], "adid string, click_count bigint", None,
+        spark, d, "replace", log, ["adid"], "adid string, click_count bigint", None,
         lambda part: part.groupBy("adid").agg(F.count(F.lit(1)).alias("click_count")),
     )
 
@@ -130,7 +137,7 @@ def upsert_wide_column(spark, d):
         )
 
     return _fill(
-        spark, "cells", v.pay_info(spark, d), ["rowkey", "family", "qualifier"],
+        spark, d, "cells", v.pay_info(spark, d), ["rowkey", "family", "qualifier"],
         "rowkey string, family string, qualifier string, value string", keep_latest, cells,
     )
 
@@ -165,14 +172,12 @@ def sink_replace_table(spark, d):
 
 @query(
     "sink_documents",
-    """SELECT id, count(*) AS documents, max("timestamp") AS newest FROM sensor GROUP BY id""",
+    """SELECT id AS sensor_id, CAST(temperature AS VARCHAR) AS temperature,
+    CAST("timestamp" AS VARCHAR) AS ts FROM sensor""",
     "ev sensor",
 )
 def sink_documents(spark, d):
-    """Documents written as JSON lines and read back."""
+    """Documents written as JSON lines and read back whole."""
     path = scratch(spark, "documents")
     sinks.write_documents(v.sensor(spark, d), sinks.sensor_document(), path)
-    docs = spark.read.schema("sensor_id string, temperature string, ts string").json(path)
-    return docs.groupBy(F.col("sensor_id").alias("id")).agg(
-        F.count(F.lit(1)).alias("documents"), F.max(F.col("ts").cast("bigint")).alias("newest")
-    )
+    return spark.read.schema("sensor_id string, temperature string, ts string").json(path)

@@ -1,5 +1,4 @@
-"""Streams run to the end of the given tables. Each has the batch result, or the part of it
-the final watermark lets out, as its SQL."""
+"""Streams run to the end of the given tables, each with the batch result as its SQL."""
 
 from pyspark.sql import functions as F
 
@@ -10,32 +9,29 @@ from streamlytics.operators import windows as w
 from streamlytics.operators.aggregate import nan_min
 from streamlytics.plans import views as v
 from streamlytics.plans.clicks import QUERY_THRESHOLD, TOP3_SQL
-from streamlytics.plans.keyed import BATCH_SQL, batch_of
+from streamlytics.plans.keyed import BATCH_SQL, BATCHES, batch_of
 from streamlytics.plans.registry import query
 from streamlytics.plans.windows import (
     COUNT_SQL, MIN_SQL, SUM_SQL, TOP_SQL, VIEWS_SQL, _alert_oracle,
     count_window_sql, session_sql, sliding_sql, total, ttl_sql, tumbling_sql,
 )
 from streamlytics.session import scratch
-from streamlytics.sources.replay import replay
+from streamlytics.sources.replay import DAY_US, closing_rows, replay, time_slice_sql
 from streamlytics.streaming import state
 from streamlytics.streaming.clicks_app import ClicksApp
 from streamlytics.streaming.keyed import KeyedTable, add_up, keep_latest
 from streamlytics.streaming.run import each_batch, fan_out, to_files
 
-def replayed(spark, d, **options):
-    """The events in three slices of ten days, shaped."""
-    raw = v.table(spark, d, "events")
-    return v.shape_events(replay(raw, batch_of(), **options))
-
+def replayed(spark, d, slices=BATCHES, order=None, close=False):
+    """The events in equal parts of their time range, shaped.
 
-def closed_sql(
-    inner: str, source: str, end: str = "window_end", delay: str = "0 seconds"
-) -> str:
-    """Only windows that end at or before the last watermark. It has millisecond steps and
-    follows the rows of ``source``, the stream that is windowed."""
-    return f"""SELECT * FROM ({inner}) WHERE {end} <= (SELECT
-    make_timestamp(max(epoch_us(ts)) // 1000 * 1000) - INTERVAL '{delay}' FROM {source})"""
+    ``close`` ends the replay with rows far in the future, so that windows still open at the end
+    of the input fire as well.
+    """
+    raw = v.table(spark, d, "events")
+    closing = closing_rows(raw, "ts", "event_type", "30 DAYS") if close else None
+    stream = replay(raw, batch_of(spark, d, slices), order=order, closing=closing)
+    return v.shape_events(stream)
 
 
 @query(
@@ -47,50 +43,51 @@ def src_replay(spark, d):
 
 @query(
     "wm_bounded",
-    closed_sql(tumbling_sql("sensor", "id", COUNT_SQL, "1 hour"), "sensor", delay="1 second"),
+    tumbling_sql("sensor", "id", COUNT_SQL, "1 hour"),
     "ev sensor",
 )
 def wm_bounded(spark, d):
-    s = v.shape_sensor(replayed(spark, d)).withWatermark("ts", "1 second")
+    s = v.shape_sensor(replayed(spark, d, close=True)).withWatermark("ts", "1 second")
     n = F.count(F.lit(1)).alias("count")
     return w.bounds(to_files(w.window_aggregate(s, ["id"], [n], "1 hour")))
 
 
 @query(
     "wm_ascending",
-    closed_sql(tumbling_sql("sensor", "id", COUNT_SQL, "2 seconds"), "sensor"),
+    tumbling_sql("sensor", "id", COUNT_SQL, "2 seconds"),
     "ev sensor",
 )
 def wm_ascending(spark, d):
-    s = v.shape_sensor(replayed(spark, d)).withWatermark("ts", "0 seconds")
+    s = v.shape_sensor(replayed(spark, d, close=True)).withWatermark("ts", "0 seconds")
     n = F.count(F.lit(1)).alias("count")
     return w.bounds(to_files(w.window_aggregate(s, ["id"], [n], "2 seconds")))
 
 
+# Every row of the late quarter finds its window closed.
+_LATE_SQL = f"""{time_slice_sql("events", "ts", 4, DAY_US)} <> 1"""
+
+
 @query(
     "late_rows",
-    closed_sql(
-        tumbling_sql("sensor", "id", COUNT_SQL, "1 hour", "day(ts) NOT BETWEEN 8 AND 14"), "sensor"
+    tumbling_sql(
+        "sensor", "id", COUNT_SQL, "1 hour", _LATE_SQL
     ),
     "ev sensor",
 )
 def late_rows(spark, d):
-    """The second week arrives last, when the watermark has closed all of its windows."""
-    raw = v.table(spark, d, "events")
-    week = F.least(F.floor((F.dayofmonth("ts") - 1) / 7), F.lit(3)).cast("int")
-    shuffled = v.shape_events(replay(raw, week, order=[0, 2, 3, 1]))
-    s = v.shape_sensor(shuffled).withWatermark("ts", "0 seconds")
+    """The second quarter arrives last, when the watermark has closed its windows."""
+    s = v.shape_sensor(replayed(spark, d, 4, [0, 2, 3, 1], close=True)).withWatermark("ts", "0 seconds")
     n = F.count(F.lit(1)).alias("count")
     return w.bounds(to_files(w.window_aggregate(s, ["id"], [n], "1 hour")))
 
 
 def _pay(spark, d):
-    return v.shape_pay(replayed(spark, d)).withWatermark("ts", "0 seconds")
+    return v.shape_pay(replayed(spark, d, close=True)).withWatermark("ts", "0 seconds")
 
 
 @query(
     "tumbling_sum_stream",
-    closed_sql(tumbling_sql("pay_info", '"userId"', SUM_SQL, "6 hours"), "pay_info"),
+    tumbling_sql("pay_info", '"userId"', SUM_SQL, "6 hours"),
     "ev pay_info",
 )
 def tumbling_sum_stream(spark, d):
@@ -99,7 +96,7 @@ def tumbling_sum_stream(spark, d):
 
 @query(
     "sliding_sum_stream",
-    closed_sql(sliding_sql("pay_info", '"userId"', SUM_SQL, 21600, 3600), "pay_info"),
+    sliding_sql("pay_info", '"userId"', SUM_SQL, 21600, 3600),
     "ev pay_info",
 )
 def sliding_sum_stream(spark, d):
@@ -109,24 +106,24 @@ def sliding_sum_stream(spark, d):
 
 @query(
     "sliding_min_stream",
-    closed_sql(sliding_sql("sensor", "id", MIN_SQL, 10, 5), "sensor", delay="1 second"),
+    sliding_sql("sensor", "id", MIN_SQL, 10, 5),
     "ev sensor",
 )
 def sliding_min_stream(spark, d):
-    s = v.shape_sensor(replayed(spark, d)).withWatermark("ts", "1 second")
+    s = v.shape_sensor(replayed(spark, d, close=True)).withWatermark("ts", "1 second")
     low = nan_min("temperature").alias("temperature")
     return w.bounds(to_files(w.window_aggregate(s, ["id"], [low], "10 seconds", "5 seconds")))
 
 
 @query(
-    "session_sum_stream", closed_sql(session_sql(21600), "pay_info", end="session_end"), "ev pay_info"
+    "session_sum_stream", session_sql(21600), "ev pay_info"
 )
 def session_sum_stream(spark, d):
     return to_files(w.session_stream(_pay(spark, d), "userId", "productNum", "6 hours"))
 
 
 def _item_counts(spark, d):
-    views = v.shape_behavior(replayed(spark, d).where("event_type = 'view'"))
+    views = v.shape_behavior(replayed(spark, d, close=True).where("event_type = 'view'"))
     views = views.where("behavior = 'pv'")
     n = F.count(F.lit(1)).alias("count")
     return w.window_aggregate(
@@ -134,17 +131,12 @@ def _item_counts(spark, d):
     ).select("itemId", F.unix_millis(F.col("window.end")).alias("windowEnd"), "count")
 
 
-# The watermark of the hot-item streams comes from page views alone.
-_VIEW_CLOSED = """SELECT * FROM ({}) WHERE "windowEnd" <= (SELECT max(epoch_us(ts)) // 1000
-    FROM events WHERE event_type = 'view')"""
-
-
-@query("sliding_item_count_stream", _VIEW_CLOSED.format(VIEWS_SQL), "ev user_behavior")
+@query("sliding_item_count_stream", VIEWS_SQL, "ev user_behavior")
 def sliding_item_count_stream(spark, d):
     return to_files(_item_counts(spark, d))
 
 
-@query("hot_items_stream", _VIEW_CLOSED.format(TOP_SQL), "ev user_behavior")
+@query("hot_items_stream", TOP_SQL, "ev user_behavior")
 def hot_items_stream(spark, d):
     """A window's counts leave the aggregate in one batch, when the watermark passes it, so
     ranking each batch ranks whole windows."""
@@ -267,10 +259,9 @@ def refreshable_lookup_stream(spark, d):
         spark, scratch(spark, "matched"), ["event_id"],
         "event_id bigint, userid string, rule string, matched boolean",
     )
-    loads = iter(range(3))
 
-    def load_rules():
-        text = f"rules of batch {next(loads)}"
+    def load_rules(batch_id):
+        text = f"rules of batch {batch_id}"
         building = v.table(spark, d, "customer").where("c_mktsegment = 'BUILDING'")
         return building.select(
             F.col("c_custkey").cast("string").alias("userid"), F.lit(text).alias("rule")
@@ -324,7 +315,7 @@ def kv_ttl_count_stream(spark, d):
     return out.read().withColumn("at", plain("at"))
 
 
-# The app's feedback with ten-day batches instead of days.
+# The app's feedback with a third of the time range as batch instead of a day.
 _APP_SQL = f"""batched AS (SELECT *, {BATCH_SQL} AS batch FROM ads_log),
     listed AS (SELECT userid, min(batch) AS listed_in FROM (SELECT batch, dt, userid, adid
     FROM batched GROUP BY ALL HAVING count(*) >= {QUERY_THRESHOLD}) GROUP BY userid),
@@ -342,7 +333,7 @@ def _app_sql(body: str) -> str:
 def _run_app(spark, d) -> ClicksApp:
     log = v.ads_log(spark, d).select("timestamp", "area", "city", "userid", "adid", "ts")
     app = ClicksApp(spark, scratch(spark, "app"), QUERY_THRESHOLD, compact_every=2)
-    each_batch(replay(log, batch_of()), app)
+    each_batch(replay(log, batch_of(spark, d)), app)
     return app
 
 
@@ -370,7 +361,7 @@ def checkpoint_recovery(spark, d):
         "event_type string, dt string, count bigint", keep_latest,
     )
     for order in ([0], [1, 2]):
-        e = v.shape_events(replay(raw, batch_of(), path=path, order=order))
+        e = v.shape_events(replay(raw, batch_of(spark, d), path=path, order=order))
         counts = e.groupBy("event_type", F.date_format("ts", "yyyy-MM-dd").alias("dt")).agg(
             F.count(F.lit(1)).alias("count")
         )

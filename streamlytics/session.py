@@ -59,8 +59,7 @@ def tune(spark: SparkSession) -> SparkSession:
 def size_shuffles(spark: SparkSession, input_dir: str, target_bytes: int = 256 << 20) -> None:
     """Choose the shuffle width from the input size, unless the job sets one.
 
-    A partition should hold about ``target_bytes``; beyond 16 waves of tasks, wider shuffles
-    cost more in connections than they save in spilling. AQE merges what turns out small.
+    A partition should hold about ``target_bytes``; AQE merges what turns out small.
     """
     sc = spark.sparkContext
     if sc.master.startswith("local") or sc.getConf().contains("spark.sql.shuffle.partitions"):
@@ -69,7 +68,7 @@ def size_shuffles(spark: SparkSession, input_dir: str, target_bytes: int = 256 <
     fs = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
     wanted = -(-fs.getContentSummary(path).getLength() // target_bytes)
     cores = sc.defaultParallelism
-    spark.conf.set("spark.sql.shuffle.partitions", str(min(max(wanted, 2 * cores), 16 * cores)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(max(wanted, 2 * cores)))
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -10,12 +10,40 @@ from pyspark.sql import functions as F
 from streamlytics.session import scratch
 
 
-def time_slice(df: DataFrame, ts: str, slices: int) -> Column:
-    """Number of the equal-width time slice a row falls into; the range is one small aggregate."""
-    us = F.unix_micros(F.col(ts))
+DAY_US = 86_400_000_000
+
+
+def time_slice(df: DataFrame, ts: str, slices: int, unit_us: int = 1) -> Column:
+    """Number of the equal-width time slice a row falls into; the range is one small aggregate.
+
+    Slices start at whole units (``DAY_US``: no day is cut), so the last ones may be empty.
+    """
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
     lo, hi = df.agg(F.min(us), F.max(us)).first()
-    width = (hi - lo) // slices + 1
-    return F.floor((us - F.lit(lo)) / F.lit(width)).cast("int")
+    if lo is None:
+        return F.lit(0)
+    lo -= lo % unit_us
+    width = ((hi - lo) // slices // unit_us + 1) * unit_us
+    return F.expr(f"cast((unix_micros(cast(`{ts}` AS timestamp)) - {lo}) div {width} AS int)")
+
+
+def time_slice_sql(table: str, ts: str, slices: int, unit_us: int = 1) -> str:
+    """The same number in SQL, over the whole of ``table``."""
+    span = f"""SELECT min(epoch_us({ts})) // {unit_us} * {unit_us} AS lo, max(epoch_us({ts})) AS hi
+    FROM {table}"""
+    return f"""CAST((epoch_us({ts}) - (SELECT lo FROM ({span}))) // (SELECT
+    ((hi - lo) // {slices} // {unit_us} + 1) * {unit_us} FROM ({span})) AS INTEGER)"""
+
+
+def closing_rows(df: DataFrame, ts: str, by: str, after: str) -> DataFrame:
+    """A row per value of ``by``, all at one time that lies ``after`` the newest row.
+
+    Delivered last, they carry the watermark past every window of the input. Their own windows
+    stay open when the stream ends, so nothing of them is emitted.
+    """
+    last = df.groupBy(by).agg(F.max_by(F.struct(*df.columns), ts).alias("last")).select("last.*")
+    newest = df.select(F.max(ts) + F.expr(f"INTERVAL {after}")).scalar()
+    return last.select(*[newest.alias(c) if c == ts else F.col(c) for c in df.columns])
 
 
 def replay(
@@ -24,12 +52,14 @@ def replay(
     path: str | None = None,
     order: list[int] | None = None,
     files_per_slice: int | None = None,
+    closing: DataFrame | None = None,
 ) -> DataFrame:
     """A streaming frame that delivers one slice of ``df`` per micro-batch.
 
     The file source takes files by modification time, so slices are written one after the
     other. Every slice is spread over the same number of files, written in parallel, and a
-    trigger takes exactly that many. ``order`` replays the slices in another sequence.
+    trigger takes exactly that many. ``order`` replays the slices in another sequence;
+    ``closing`` is delivered after all of them (see ``closing_rows``).
     """
     spark = df.sparkSession
     path = path or scratch(spark, "replay")
@@ -43,6 +73,8 @@ def replay(
             part = numbered.where(F.col("_slice") == n).drop("_slice")
             part.repartition(width).write.mode("append").parquet(path)
             time.sleep(0.02)
+    if closing is not None:
+        closing.select(*df.columns).coalesce(1).write.mode("append").parquet(path)
     return (
         spark.readStream.schema(df.schema).option("maxFilesPerTrigger", width).parquet(path)
     )

@@ -43,7 +43,7 @@ class ClicksApp:
         # Counted per user first: the filter then joins a few rows per user, and both outputs
         # reuse the result.
         cells = agg.with_day(batch).groupBy("dt", "area", "city", "userid", "adid").agg(
-            agg.row_count(batch).alias("n")
+            agg.row_count().alias("n")
         )
         kept = drop_blacklisted(cells, self.blacklist.read(before=batch_id)).persist()
         try:
@@ -61,12 +61,12 @@ class ClicksApp:
                 table.compact(batch_id)
 
     def _count(self, kept: DataFrame, batch_id: int, days: Column) -> None:
-        self.city_counts.write(agg.date_area_city_ad_count(kept), batch_id)
+        self.city_counts.write(agg.date_area_city_ad_count(kept, "n", "dt"), batch_id)
         changed = self.city_counts.read(before=batch_id + 1, where=days)
         self.top3.write(daily_area_top(changed), batch_id)
 
     def _extend_blacklist(self, kept: DataFrame, batch_id: int, days: Column) -> None:
-        now = agg.daily_user_ad_clicks(kept)
+        now = agg.daily_user_ad_clicks(kept, "n", "dt")
         self.counters.write(now, batch_id)
         stored = self.counters.read(before=batch_id, where=days).withColumnRenamed(
             "click_count", "_stored"

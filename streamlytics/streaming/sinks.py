@@ -34,10 +34,13 @@ def jdbc_options(url: str, table: str, batch_size: int = 1000, **options: str) -
 
 
 def jdbc_append(options: dict[str, str], writers: int = 32) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` body; ``writers`` bounds the open connections."""
+    """A ``foreachBatch`` body; ``writers`` bounds the open connections.
+
+    The rows are shuffled to the writers, so the stages before keep their own width.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.coalesce(writers).write.format("jdbc").options(**options).mode("append").save()
+        batch.repartition(writers).write.format("jdbc").options(**options).mode("append").save()
 
     return write
 

@@ -54,6 +54,34 @@ def test_rolling_reduce(skewed, limit):
     assert rows(got) == rows(want)
 
 
+NAN = float("nan")
+HOLES = {
+    "starts with nulls": [None] * 12 + [1.0, 2.0] * 14,
+    "ends with nulls": [1.0] * 15 + [None] * 25,
+    "a slice of nulls": [3.0] * 8 + [None] * 20 + [4.0] * 12,
+    "only nulls": [None] * 40,
+    "one NaN": [1.0] * 10 + [NAN] + [1.0] * 29,
+}
+
+
+@pytest.mark.parametrize("key", ["k", None])
+@pytest.mark.parametrize("values", HOLES.values(), ids=HOLES)
+def test_nulls_give_the_same_sliced_or_not(spark, values, key):
+    data = [(key, i, i, x) for i, x in enumerate(values)]
+    df = spark.createDataFrame(data, "key string, t int, seq int, v double").repartition(3)
+
+    def all_of(limit):
+        sums = ordered.running_sum_first(df, ["key"], ORDER, "v", "t", limit=limit)
+        firsts = ordered.running_sum_first(df, ["key"], ORDER, "t", "v", limit=limit)
+        before = ordered.previous_value(df, ["key"], ORDER, "v", "p", limit=limit)
+        count = ordered.running_count(df, ["key"], ORDER, limit=limit)
+        # As text, so that NaN equals itself.
+        return [[repr(r) for r in rows(x)] for x in (sums, firsts, before, count)]
+
+    assert ordered.slices(df, ["key"], ORDER, 1).split
+    assert all_of(1) == all_of(10**9)
+
+
 def test_a_hot_key_is_spread(skewed):
     s = ordered.slices(skewed, ["key"], ORDER, limit=10)
     per_slice = [r["count"] for r in s.rows.groupBy("_slice").count().collect()]

@@ -152,29 +152,37 @@ def test_split_select_and_side_output(spark):
 
 def test_rule_lookup_flags_hits_and_reloads(spark):
     log = spark.createDataFrame([("1",), ("2",)], "userid string")
-    versions = iter(["old", "new"])
 
-    def load():
-        return spark.createDataFrame([("1", next(versions))], "userid string, rule string")
+    def load(batch_id):
+        return spark.createDataFrame([("1", ["old", "new"][batch_id])], "userid string, rule string")
 
     seen = []
     body = enrich.refreshed_lookup(load, "userid", lambda df, i: seen.append((i, rows(df))))
     body(log, 0)
     body(log, 1)
-    assert seen == [
-        (0, [("1", "old", True), ("2", None, False)]),
-        (1, [("1", "new", True), ("2", None, False)]),
-    ]
+    body(log, 1)
+    new = (1, [("1", "new", True), ("2", None, False)])
+    assert seen == [(0, [("1", "old", True), ("2", None, False)]), new, new]
 
 
 def test_only_a_small_side_is_broadcast(spark):
-    def plan(max_rows):
-        side = enrich.broadcast_if_few(spark.range(5), max_rows)
-        joined = spark.range(100).join(side, "id")
+    def plan(side, max_bytes):
+        joined = spark.range(100).join(enrich.broadcast_if_few(side, max_bytes), "id")
         return joined._jdf.queryExecution().optimizedPlan().toString()
 
-    assert "broadcast" in plan(5)
-    assert "broadcast" not in plan(4)
+    few = spark.range(5)
+    assert "broadcast" in plan(few, 1000) and "broadcast" not in plan(few, 100)
+    # Few rows may be wide.
+    assert "broadcast" not in plan(few.withColumn("t", F.expr("repeat('x', 10000)")), 1000)
+
+
+def test_a_log_column_is_no_weight_unless_named(spark):
+    log = spark.createDataFrame(
+        [(1574400000000, "n", "x", "u", "1", 7, "never")] * 2,
+        "timestamp long, area string, city string, userid string, adid string, n long, dt string",
+    )
+    assert rows(aggregate.daily_user_ad_clicks(log)) == [("2019-11-22", "u", "1", 2)]
+    assert rows(aggregate.daily_user_ad_clicks(log, "n", "dt")) == [("never", "u", "1", 14)]
 
 
 def test_change_rows_are_routed(spark):

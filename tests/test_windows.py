@@ -158,3 +158,10 @@ def test_runs_that_cross_arrow_batches(spark):
         assert alerts_of(spark, readings) == alerts_by_loop(readings)
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_a_session_gap_across_1970(spark):
+    data = [("k", s, 1) for s in (-95, -25, 25, 50)]
+    df = spark.createDataFrame(data, "k string, s long, v long").withColumn("ts", F.timestamp_seconds("s"))
+    got = w.sessions(df, "k", "v", "30 seconds").select(F.unix_timestamp("session_start").alias("t"), "v")
+    assert sorted(tuple(r) for r in got.collect()) == [(-95, 1), (-25, 1), (25, 2)]
