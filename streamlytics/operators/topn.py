@@ -56,7 +56,3 @@ def hot_items_report(top: DataFrame) -> DataFrame:
         "windowEnd",
         F.concat_ws("\n", head, F.array_join("_lines", "\n"), F.lit(REPORT_RULE)).alias("report"),
     )
-
-
-def newest_first(df: DataFrame, order: list[Column], n: int) -> DataFrame:
-    return df.orderBy(*order).limit(n)

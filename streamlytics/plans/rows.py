@@ -105,12 +105,12 @@ def filter_equals(spark, d):
 
 @query(
     "filter_contains",
-    "SELECT page_id, url, 'login' AS topic FROM pages WHERE contains(html, 'login')",
+    "SELECT page_id, url, 'blog' AS topic FROM pages WHERE contains(url, 'blog.')",
 )
 def filter_contains(spark, d):
     p = v.table(spark, d, "pages")
-    return p.where(text.contains_text(F.col("html"), "login")).select(
-        "page_id", "url", F.lit("login").alias("topic")
+    return p.where(text.contains_text(F.col("url"), "blog.")).select(
+        "page_id", "url", F.lit("blog").alias("topic")
     )
 
 

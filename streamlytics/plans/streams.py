@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from streamlytics.functions.times import plain
 from streamlytics.operators import aggregate as agg
-from streamlytics.operators import enrich, route, topn
+from streamlytics.operators import alerts, enrich, route, topn
 from streamlytics.operators import windows as w
 from streamlytics.operators.aggregate import nan_min
 from streamlytics.plans import views as v
@@ -19,7 +19,7 @@ from streamlytics.session import scratch
 from streamlytics.sources.replay import DAY_US, closing_rows, replay, time_slice_sql
 from streamlytics.streaming import state
 from streamlytics.streaming.clicks_app import ClicksApp
-from streamlytics.streaming.keyed import KeyedTable, add_up, keep_latest
+from streamlytics.streaming.keyed import KeyedTable, add_up, keep_all, keep_latest
 from streamlytics.streaming.run import each_batch, fan_out, to_files
 
 def replayed(spark, d, slices=BATCHES, order=None, close=False):
@@ -142,7 +142,7 @@ def hot_items_stream(spark, d):
     ranking each batch ranks whole windows."""
     table = KeyedTable(
         spark, scratch(spark, "hot"), ["windowEnd", "rank"],
-        "windowEnd bigint, rank int, itemId bigint, count bigint", keep_latest,
+        "windowEnd bigint, rank int, itemId bigint, count bigint", keep_all,
     )
     each_batch(_item_counts(spark, d), lambda b, i: table.write(topn.hot_items(b), i))
     return table.read()
@@ -208,7 +208,8 @@ def state_expiring(spark, d):
 def word_count_per_batch(spark, d):
     """Counts of each batch on its own; nothing is kept between batches."""
     table = KeyedTable(
-        spark, scratch(spark, "words"), ["batch", "word"], "batch bigint, word string, count bigint"
+        spark, scratch(spark, "words"), ["batch", "word"], "batch bigint, word string, count bigint",
+        keep_all,
     )
     stream = replay(v.words(spark, d), (F.col("conv_id") % 3).cast("int"))
 
@@ -230,7 +231,8 @@ def side_output_stream(spark, d):
     """Two outputs of one stream; every batch is read once."""
     schema = "event_id bigint, id string, alert string"
     main, side = (
-        KeyedTable(spark, scratch(spark, name), ["event_id"], schema) for name in ("main", "side")
+        KeyedTable(spark, scratch(spark, name), ["event_id"], schema, keep_all)
+        for name in ("main", "side")
     )
     no_alert = F.lit(None).cast("string").alias("alert")
 
@@ -257,7 +259,7 @@ def refreshable_lookup_stream(spark, d):
     """The rules are loaded anew for each batch; here each load names its batch."""
     table = KeyedTable(
         spark, scratch(spark, "matched"), ["event_id"],
-        "event_id bigint, userid string, rule string, matched boolean",
+        "event_id bigint, userid string, rule string, matched boolean", keep_all,
     )
 
     def load_rules(batch_id):
@@ -280,26 +282,51 @@ def refreshable_lookup_stream(spark, d):
     "ev",
 )
 def state_per_record(spark, d):
+    """Counts per record, going on from a start state that is itself a table."""
     users = replayed(spark, d).select(F.col("user_id").cast("string").alias("userid"), "event_id")
-    return to_files(state.running_counts_stream(users, "userid", seed={"1": 1000}))
+    counts = KeyedTable(
+        spark, scratch(spark, "counts"), ["userid"], "userid string, count bigint", add_up
+    )
+    start = v.table(spark, d, "customer").where("c_custkey = 1")
+    counts.write(
+        start.select(F.col("c_custkey").cast("string").alias("userid"), F.lit(1000).alias("count")),
+        state.START,
+    )
+    out = KeyedTable(
+        spark, scratch(spark, "numbered"), ["event_id"],
+        "userid string, event_id bigint, count bigint", keep_all,
+    )
+    each_batch(users, state.running_count_body(counts, out.write, "userid", ["event_id"]))
+    return out.read()
+
+
+def _count_windows(spark, d, size, slide):
+    panes = state.pane_table(spark, scratch(spark, "panes"), "userId", size, slide)
+    out = KeyedTable(
+        spark, scratch(spark, "fired"), ["userId", "seen"],
+        "userId string, seen bigint, productNum bigint", keep_all,
+    )
+    body = state.count_window_body(
+        panes, out.write, "userId", "productNum", ["ts", "event_id"], size, slide
+    )
+    each_batch(v.shape_pay(replayed(spark, d)), body)
+    return out.read()
 
 
 @query("count_tumbling_stream", count_window_sql(10, 10), "ev pay_info")
 def count_tumbling_stream(spark, d):
-    return to_files(state.count_windows_stream(v.shape_pay(replayed(spark, d)), "userId", "productNum", 10))
+    return _count_windows(spark, d, 10, 10)
 
 
 @query("count_sliding_stream", count_window_sql(10, 5), "ev pay_info")
 def count_sliding_stream(spark, d):
-    return to_files(
-        state.count_windows_stream(v.shape_pay(replayed(spark, d)), "userId", "productNum", 10, 5)
-    )
+    return _count_windows(spark, d, 10, 5)
 
 
 @query("temp_rise_alert_stream", _alert_oracle())
 def temp_rise_alert_stream(spark, d):
     s = v.shape_sensor(replayed(spark, d)).withWatermark("ts", "0 seconds")
-    return to_files(state.temp_rise_stream(s))
+    return alerts.alert_text(to_files(state.temp_rise_stream(s)))
 
 
 @query("kv_ttl_count_stream", ttl_sql(1800))

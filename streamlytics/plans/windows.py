@@ -201,12 +201,13 @@ def _alert_oracle() -> str:
     head = ALERT_HEAD.replace(
         "RECURSIVE", f"RECURSIVE ev AS ({VIEW_SQL['ev']}), sensor AS ({VIEW_SQL['sensor']}),", 1
     )
-    return f"WITH {head} {ALERT_SQL}"
+    return f"""WITH {head} SELECT *, 'temperature of ' || id || ' keeps rising' AS alert
+    FROM ({ALERT_SQL})"""
 
 
 @query("temp_rise_alert", _alert_oracle())
 def temp_rise_alert(spark, d):
-    return alerts.temp_rise_alerts(v.sensor(spark, d), ORDER)
+    return alerts.alert_text(alerts.temp_rise_alerts(v.sensor(spark, d), ORDER))
 
 
 def ttl_sql(gap_s: int) -> str:

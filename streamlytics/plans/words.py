@@ -7,7 +7,8 @@ from streamlytics.operators import aggregate as agg
 from streamlytics.plans import views as v
 from streamlytics.plans.registry import query
 from streamlytics.session import scratch
-from streamlytics.sources.tables import head, text_lines
+from streamlytics.sources.tables import catalog_table, head, text_lines
+from streamlytics.streaming.sinks import replace_table
 
 WORDS = "conv_lines words"
 PLACE = ["conv_id", "turn", "line_no", "pos"]
@@ -63,8 +64,9 @@ def word_count_filtered(spark, d):
     "document_words",
 )
 def src_catalog_table(spark, d):
-    agg.word_count(v.document_words(spark, d)).createOrReplaceTempView("test_table")
-    return head(spark.sql("select * from test_table"), [F.desc("count"), "word"], 100)
+    """A stored catalog table, read by its name."""
+    replace_table(agg.word_count(v.document_words(spark, d)), "streamlytics_words", scratch(spark, "words"))
+    return head(catalog_table(spark, "streamlytics_words"), [F.desc("count"), "word"], 100)
 
 
 @query(

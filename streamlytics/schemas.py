@@ -23,24 +23,11 @@ USER_BEHAVIOR = _schema(
 ITEM_VIEW = _schema(itemId=LONG, windowEnd=LONG, count=LONG)
 STUDENT = _schema(id=LONG, name=TEXT, age=INT)
 USER_JSON = _schema(name=TEXT, age=TEXT, record_time=TEXT)
-WORD_COUNT = _schema(word=TEXT, count=LONG)
 FLUME_EVENT = _schema(headers=TEXT_MAP, body=TEXT)
 CHANGE_ENVELOPE = _schema(
     entry_type=TEXT, table=TEXT, event_type=TEXT, rows=T.ArrayType(TEXT_MAP)
 )
 OFFSETS = _schema(topic=TEXT, group=TEXT, partition=INT, offset=LONG)
-WIDE_CELL = _schema(rowkey=TEXT, family=TEXT, qualifier=TEXT, value=TEXT)
-CITY_INFO = _schema(city_id=LONG, city_name=TEXT, area=TEXT)
-PRODUCT_INFO = _schema(product_id=LONG, product_name=TEXT, extend_info=TEXT)
-USER_INFO = _schema(
-    user_id=LONG, username=TEXT, name=TEXT, age=INT, professional=TEXT, gender=TEXT
-)
-USER_VISIT_ACTION = _schema(
-    date=TEXT, user_id=LONG, session_id=TEXT, page_id=LONG, action_time=TEXT,
-    search_keyword=TEXT, click_category_id=LONG, click_product_id=LONG,
-    order_category_ids=TEXT, order_product_ids=TEXT, pay_category_ids=TEXT,
-    pay_product_ids=TEXT, city_id=LONG
-)
 
 # The given tables. Declared, so that reading one starts no job to look into its files.
 TABLES = {

@@ -37,6 +37,11 @@ def collect_members(rows: DataFrame, keys: list[str], values: list[str]) -> Data
     return rows.groupBy(*keys).agg(F.max("_batch").alias("_batch"))
 
 
+def keep_all(rows: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """For keys that come once: nothing to fold, so nothing is shuffled."""
+    return rows
+
+
 class KeyedTable:
     def __init__(
         self,
@@ -115,6 +120,10 @@ class KeyedTable:
             rows = self.fold(rows, self.keys, self.values)
         return rows.select(*self.columns)
 
+    def batch(self, batch_id: int) -> DataFrame:
+        """What one batch wrote."""
+        return self._load("log", [f"batch={batch_id}"]).select(*self.columns)
+
     def compact(self, upto: int) -> None:
         """Fold everything up to batch ``upto`` into a base.
 

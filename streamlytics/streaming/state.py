@@ -1,8 +1,8 @@
 """Keyed state: counters that expire, count windows, per-record counts and alerts.
 
-The forms with a ``GroupState`` sort one key's rows of one micro-batch inside a task, so the
-trigger's intake limit (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``) bounds what a task
-holds. The state itself is a few numbers per key.
+Counts are carried in keyed tables and rows are numbered by window functions. Only the alerts use
+a ``GroupState``, which sorts one sensor's rows of one micro-batch inside a task; there the
+trigger's intake limit (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``) bounds what a task holds.
 """
 
 from __future__ import annotations
@@ -17,14 +17,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from streamlytics.operators.counts import windows_of
+from streamlytics.operators.ordered import running_count
 from streamlytics.operators.windows import duration_ms
-from streamlytics.streaming.keyed import KeyedTable
+from streamlytics.streaming.keyed import KeyedTable, add_up
 
 # Ship the functions below by value, so workers need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 UPDATE_EVERY = "5 seconds"
 EXPIRY = "20 seconds"
+START = -1
 
 
 def _sorted(chunks: Iterator[pd.DataFrame], order: list[str], *columns: str) -> list[np.ndarray]:
@@ -95,52 +98,100 @@ def ttl_counter_body(
     return body
 
 
-def count_windows_stream(
-    df: DataFrame, key: str, value: str, size: int, slide: int | None = None
-) -> DataFrame:
-    """Every ``slide`` elements of a key emit the sum of its last ``size``.
+def keep_panes(spans: int):
+    """A fold for (key, pane) sums: added up, and only each key's last ``spans`` panes kept."""
 
-    State: elements seen and the latest ``size`` values. Rows need ``ts`` and ``event_id``.
+    def fold(rows: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+        added = add_up(rows, keys, values)
+        key = [k for k in keys if k != "pane"]
+        newest = added.groupBy(*key).agg(F.max("pane").alias("_newest"))
+        kept = added.join(newest, key).where(F.col("pane") > F.col("_newest") - spans)
+        return kept.drop("_newest")
+
+    return fold
+
+
+def pane_table(spark, path: str, key: str, size: int, slide: int) -> KeyedTable:
+    """What count windows carry from batch to batch: a few sums per key."""
+    return KeyedTable(
+        spark, path, [key, "pane"], f"{key} string, pane bigint, n bigint, total bigint",
+        keep_panes(size // slide),
+    )
+
+
+def count_window_body(
+    panes: KeyedTable,
+    emit: Callable[[DataFrame, int], None],
+    key: str,
+    value: str,
+    order: list[str],
+    size: int,
+    slide: int | None = None,
+    limit: int | None = None,
+    compact_every: int = 10,
+) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` body: every ``slide`` elements of a key emit the sum of its last ``size``.
+
+    The batch's rows are numbered without holding a key in one task and summed into panes of
+    ``slide`` elements; ``panes`` (see ``pane_table``) has how far a key got and its last panes.
     """
     slide = slide or size
 
-    def step_key(k, chunks: Iterator[pd.DataFrame], state: GroupState):
-        (new,) = _sorted(chunks, ["ts", "event_id"], value)
-        seen, tail = state.get if state.exists else (0, [])
-        values = np.concatenate([np.asarray(tail, dtype="int64"), new])
-        sums = np.concatenate([[0], np.cumsum(values)])
-        numbers = np.arange(seen + 1, seen + len(new) + 1)
-        fired = numbers[numbers % slide == 0]
-        end = fired - seen + len(tail)
-        totals = sums[end] - sums[np.maximum(end - size, 0)]
-        state.update((seen + len(new), values[-size:].tolist()))
-        if len(fired):
-            yield pd.DataFrame({key: k[0], "seen": fired, value: totals})
-
-    return df.select(key, value, "ts", "event_id").groupBy(key).applyInPandasWithState(
-        step_key, f"{key} string, seen bigint, {value} bigint", "seen bigint, tail array<bigint>",
-        "append", GroupStateTimeout.NoTimeout,
-    )
+    def body(batch: DataFrame, batch_id: int) -> None:
+        stored = panes.read(before=batch_id)
+        last = F.max_by(F.struct("pane", "n"), "pane").alias("l")
+        seen = stored.groupBy(key).agg(last).select(
+            F.col(key).alias("_key"), (F.col("l.pane") * slide + F.col("l.n")).alias("_seen")
+        )
+        numbered = running_count(batch.select(key, value, *order), [key], order, "_rn", limit)
+        place = F.col("_rn") - 1 + F.coalesce("_seen", F.lit(0))
+        placed = numbered.join(seen, F.col(key).eqNullSafe(F.col("_key")), "left")
+        new = placed.groupBy(key, F.floor(place / slide).alias("pane")).agg(
+            F.count(F.lit(1)).alias("n"), F.sum(value).cast("bigint").alias("total")
+        )
+        panes.write(new, batch_id)
+        # The panes of this batch and the stored ones: what was begun earlier may be full now.
+        fresh = panes.batch(batch_id)
+        both = stored.unionByName(fresh).groupBy(key, "pane").agg(
+            F.sum("n").alias("n"), F.sum("total").alias("total")
+        )
+        touched = fresh.select(F.col(key).alias("_key"), ((F.col("pane") + 1) * slide).alias("_at"))
+        fired = windows_of(both, key, value, size, slide)
+        here = F.col(key).eqNullSafe(F.col("_key")) & (F.col("seen") == F.col("_at"))
+        emit(fired.join(touched, here, "left_semi"), batch_id)
+        if (batch_id + 1) % compact_every == 0:
+            panes.compact(batch_id)
+
+    return body
 
 
-def running_counts_stream(df: DataFrame, key: str, seed: dict[str, int] | None = None) -> DataFrame:
-    """(key, event_id, count) per input record, counting on from ``seed``.
+def running_count_body(
+    counts: KeyedTable,
+    emit: Callable[[DataFrame, int], None],
+    key: str,
+    order: list[str],
+    limit: int | None = None,
+    compact_every: int = 10,
+) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` body: every row with ``count``, its place among all rows of its key.
 
-    ``seed`` is a small literal start state; a large one is a keyed table to add afterwards.
+    ``counts`` adds up (key, count) per batch. A start state of any size is written to it as batch
+    ``START`` before the stream begins.
     """
-    start = dict(seed or {})
 
-    def step_key(k, chunks: Iterator[pd.DataFrame], state: GroupState):
-        (ids,) = _sorted(chunks, ["event_id"], "event_id")
-        count = state.get[0] if state.exists else start.get(k[0], 0)
-        state.update((count + len(ids),))
-        numbers = np.arange(count + 1, count + len(ids) + 1)
-        yield pd.DataFrame({key: k[0], "event_id": ids, "count": numbers})
-
-    return df.select(key, "event_id").groupBy(key).applyInPandasWithState(
-        step_key, f"{key} string, event_id bigint, count bigint", "count bigint",
-        "append", GroupStateTimeout.NoTimeout,
-    )
+    def body(batch: DataFrame, batch_id: int) -> None:
+        stored = counts.read(before=batch_id).select(
+            F.col(key).alias("_key"), F.col("count").alias("_stored")
+        )
+        numbered = running_count(batch, [key], order, "_rn", limit)
+        place = (F.col("_rn") + F.coalesce("_stored", F.lit(0))).alias("count")
+        same = F.col(key).eqNullSafe(F.col("_key"))
+        emit(numbered.join(stored, same, "left").select(*batch.columns, place), batch_id)
+        counts.write(batch.groupBy(key).agg(F.count(F.lit(1)).alias("count")), batch_id)
+        if (batch_id + 1) % compact_every == 0:
+            counts.compact(batch_id)
+
+    return body
 
 
 def temp_rise_stream(df: DataFrame, hold: int = 5) -> DataFrame:

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from streamlytics import schemas
 from streamlytics.functions import parse
 from streamlytics.operators import blacklist as bl
+from streamlytics.operators import counts
 from streamlytics.operators import windows as w
 from streamlytics.session import scratch, shared_dir
 from streamlytics.sources.replay import replay, time_slice
 from streamlytics.streaming import sinks, state
 from streamlytics.streaming.clicks_app import ClicksApp
-from streamlytics.streaming.keyed import KeyedTable, add_up, collect_members, keep_latest
+from streamlytics.streaming.keyed import KeyedTable, add_up, collect_members, keep_all, keep_latest
 from streamlytics.streaming.run import each_batch, to_files
 
 
@@ -187,11 +188,52 @@ def test_ttl_counter_stream_equals_batch(spark):
 def test_per_record_counts_start_from_a_seed(spark):
     df = spark.createDataFrame([(i, "ab"[i % 2]) for i in range(10)], "event_id long, k string")
     stream = replay(df, F.floor(F.col("event_id") / 4).cast("int"))
-    got = to_files(state.running_counts_stream(stream, "k", seed={"b": 100}))
-    assert rows(got) == sorted(
-        [("ab"[i % 2], i, i // 2 + 1 + (100 if i % 2 else 0)) for i in range(10)], key=repr
+    tally = KeyedTable(spark, scratch(spark, "c"), ["k"], "k string, count bigint", add_up)
+    tally.write(spark.createDataFrame([("b", 100), ("z", 5)], "k string, count bigint"), state.START)
+    out = KeyedTable(
+        spark, scratch(spark, "o"), ["event_id"], "event_id bigint, k string, count bigint", keep_all
+    )
+    each_batch(stream, state.running_count_body(tally, out.write, "k", ["event_id"]))
+    assert rows(out.read()) == sorted(
+        [(i, "ab"[i % 2], i // 2 + 1 + (100 if i % 2 else 0)) for i in range(10)], key=repr
+    )
+    assert rows(tally.read()) == [("a", 5), ("b", 105), ("z", 5)]
+
+
+@pytest.mark.parametrize("limit", [10, None])
+def test_count_windows_over_batches_with_a_hot_key(spark, limit):
+    """One key holds nine tenths of a batch; what is carried stays a few panes per key."""
+    data = [("hot" if i % 10 else f"k{i % 3}", i) for i in range(400)]
+    df = spark.createDataFrame(data, "userId string, event_id long").selectExpr(
+        "userId", "event_id", "timestamp_seconds(event_id) AS ts", "event_id * 7 % 13 AS v"
+    )
+    panes = state.pane_table(spark, scratch(spark, "p"), "userId", 6, 2)
+    out = KeyedTable(
+        spark, scratch(spark, "o"), ["userId", "seen"], "userId string, seen bigint, v bigint", keep_all
+    )
+    body = state.count_window_body(
+        panes, out.write, "userId", "v", ["ts", "event_id"], 6, 2, limit, compact_every=2
     )
 
+    def twice(batch, batch_id):
+        body(batch, batch_id)
+        body(batch, batch_id)
+
+    each_batch(replay(df, time_slice(df, "ts", 5)), twice)
+    whole = counts.count_windows(df, "userId", "v", ["ts", "event_id"], 6, 2)
+    assert rows(out.read()) == rows(whole)
+    assert panes.read().groupBy("userId").count().where("count > 3").count() == 0
+
+
+def test_a_compacted_table_keeps_few_folders(spark):
+    table = KeyedTable(spark, scratch(spark, "many"), ["k"], "k string, v long", add_up)
+    for i in range(30):
+        table.write(frame(spark, [("a", 1), (f"k{i % 3}", 1)]), i)
+        if i % 5 == 4:
+            table.compact(i)
+    assert len(table._finished("log")) + len(table._finished("base")) <= 12
+    assert rows(table.read()) == [("a", 30), ("k0", 10), ("k1", 10), ("k2", 10)]
+
 
 def test_replay_delivers_slices_in_order(spark):
     df = spark.range(100).withColumn("ts", F.timestamp_seconds("id"))
@@ -284,3 +326,28 @@ def test_text_stream_and_ingest_time_windows(spark):
     )
     each_batch(w.bounds(sums), table.write, mode="update")
     assert rows(table.read().select("userId", "productNum")) == [("u1", 7), ("u2", 5)]
+
+
+def test_streams_over_three_months(spark, tmp_path):
+    """Slices follow the time axis, whatever months it spans; windows of all of them fire."""
+    from streamlytics.plans import streams
+
+    events = spark.range(900).selectExpr(
+        "id AS event_id",
+        "cast(timestamp'2024-01-20 00:00:00' + make_dt_interval(0, 0, 0, id * 9000) AS timestamp_ntz) AS ts",
+        "id % 7 + 1 AS user_id",
+        "element_at(array('click', 'error', 'purchase', 'signup', 'view'), cast(id % 5 + 1 AS int)) AS event_type",
+        "cast(id % 90 AS double) AS value",
+        "concat('{\"k\": ', id % 100, '}') AS props",
+    )
+    events.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    d = str(tmp_path)
+    for slices in (3, 10):
+        seen = []
+        each_batch(
+            streams.replayed(spark, d, slices), lambda b, i, s=seen: s.append(b.agg(F.min("ts"), F.max("ts")).first())
+        )
+        assert len(seen) == slices and all(a[1] < b[0] for a, b in zip(seen, seen[1:], strict=False))
+    total = streams.tumbling_sum_stream(spark, d).agg(F.sum("productNum")).first()[0]
+    assert total == events.where("event_type = 'purchase'").select(F.sum(F.col("event_id") % 100)).first()[0]
+    assert streams.count_tumbling_stream(spark, d).count() == 7 * (180 // 7 // 10)
