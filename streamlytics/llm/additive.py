@@ -20,6 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from streamlytics.llm.common import id_number, id_text
 from streamlytics.llm.shingles import _of_words, word_hashes
 
 SAMPLE = 20_000
@@ -276,6 +277,6 @@ def scored(docs: DataFrame, model: AdditiveModel) -> DataFrame:
     def run(batches):
         for pdf in batches:
             x = text_features(pdf["text"])
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "score": model.score(x)})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "score": model.score(x)})
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id bigint, score double")
+    return id_number(docs.select(id_text(), "text").mapInPandas(run, "doc_id string, score double"))

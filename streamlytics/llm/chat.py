@@ -22,7 +22,8 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from streamlytics.llm.common import id_number, id_text
 
 PIECE_CHARS = 1 << 20
 
@@ -135,17 +136,16 @@ class _Conversation:
         return rendered, np.array(encoded.ids, dtype=np.int64), mask
 
 
-_SUMMARY = """conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint,
+_SUMMARY = """conv_id string, n_turns bigint, turns_sha256 string, loss_chars bigint,
 loss_sha256 string, formatted_chars bigint, n_tokens bigint, n_loss_tokens bigint"""
-_PIECES = "conv_id bigint, piece int, text string, ids array<bigint>, loss array<boolean>"
+_PIECES = "conv_id string, piece int, text string, ids array<bigint>, loss array<boolean>"
 
 
 def _conversations(batches: Iterator[pd.DataFrame], tok) -> Iterator[tuple[_Conversation, int, tuple | None]]:
     """Pieces of conversations in order; a piece of None ends its conversation."""
     now, piece = None, 0
     for pdf in batches:
-        ids = pdf["conv_id"].astype(object).where(pdf["conv_id"].notna(), None)
-        for conv_id, role, text in zip(ids, pdf["role"], pdf["text"], strict=True):
+        for conv_id, role, text in zip(pdf["conv_id"], pdf["role"], pdf["text"], strict=True):
             if now is None or now.conv_id != conv_id:
                 if now is not None:
                     yield now, piece, now.flush(tok)
@@ -164,7 +164,9 @@ def _conversations(batches: Iterator[pd.DataFrame], tok) -> Iterator[tuple[_Conv
 def _in_order(conversations: DataFrame) -> DataFrame:
     rows = conversations.select("conv_id", "turn", "role", "text")
     width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(width, "conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    dealt = rows.repartition(width, "conv_id")
+    ordered = dealt.sortWithinPartitions("conv_id", "turn", "role", "text")
+    return ordered.select(id_text("conv_id"), "role", "text")
 
 
 def format_chats(conversations: DataFrame, definition: str) -> DataFrame:
@@ -182,11 +184,11 @@ def format_chats(conversations: DataFrame, definition: str) -> DataFrame:
             if out is not None:
                 text, ids, loss = out
                 yield pd.DataFrame(
-                    {"conv_id": pd.array([conv.conv_id], dtype="Int64"), "piece": [piece], "text": [text],
+                    {"conv_id": [conv.conv_id], "piece": [piece], "text": [text],
                      "ids": [ids], "loss": [loss]}
                 )
 
-    return _in_order(conversations).mapInPandas(run, _PIECES)
+    return id_number(_in_order(conversations).mapInPandas(run, _PIECES), "conv_id")
 
 
 def chat_summary(conversations: DataFrame, definition: str) -> DataFrame:
@@ -194,8 +196,7 @@ def chat_summary(conversations: DataFrame, definition: str) -> DataFrame:
     columns = [c.split()[0] for c in _SUMMARY.split(",")]
 
     def frame(rows):
-        out = pd.DataFrame(rows, columns=columns)
-        return out.assign(conv_id=pd.array(out["conv_id"], dtype="Int64"))
+        return pd.DataFrame(rows, columns=columns)
 
     def run(batches):
         tok, rows = load_tokenizer(definition), []
@@ -211,4 +212,4 @@ def chat_summary(conversations: DataFrame, definition: str) -> DataFrame:
         if rows:
             yield frame(rows)
 
-    return _in_order(conversations).mapInPandas(run, _SUMMARY)
+    return id_number(_in_order(conversations).mapInPandas(run, _SUMMARY), "conv_id")

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streamlytics.llm.common import written
+from streamlytics.llm.common import id_number, id_text, written
 from streamlytics.llm.components import components
 from streamlytics.llm.shingles import constants, mix, shingle_sets
 from streamlytics.session import pin
@@ -76,7 +76,7 @@ def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             signs.append((mix(least) >> _U(56)).astype(np.uint8).tobytes())
         yield pd.DataFrame(
             {
-                "doc_id": pdf["doc_id"].astype("Int64"),
+                "doc_id": pdf["doc_id"],
                 "text_key": pdf["text_key"],
                 "n": sizes,
                 "cls": classes,
@@ -88,11 +88,11 @@ def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def described(docs: DataFrame) -> DataFrame:
     """Per document its set size, class, root tokens and signature; written once."""
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")).mapInPandas(
+    rows = docs.select(id_text(), "text", F.xxhash64("text").alias("text_key")).mapInPandas(
         _describe,
-        "doc_id bigint, text_key bigint, n bigint, cls binary, roots array<bigint>, sign binary",
+        "doc_id string, text_key bigint, n bigint, cls binary, roots array<bigint>, sign binary",
     )
-    return written(rows, "chosen-path-rows")
+    return written(id_number(rows), "chosen-path-rows")
 
 
 def _small(counts: DataFrame) -> DataFrame:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from streamlytics.session import scratch, size_shuffles, tune
 
@@ -38,6 +39,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def id_text(name: str = "doc_id") -> Column:
+    """A number as text on its way through pandas, which would round it beside a null."""
+    return F.col(name).cast("string").alias(name)
+
+
+def id_number(df: DataFrame, name: str = "doc_id") -> DataFrame:
+    return df.withColumn(name, F.col(name).cast("bigint"))
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: computed once, and lineage cut."""
     spark = df.sparkSession

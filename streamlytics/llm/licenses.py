@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from streamlytics.llm.common import id_number, id_text
 from streamlytics.llm.words import batched, word_places
 
 COVERAGE = 0.8
@@ -207,7 +208,7 @@ def licenses(docs: DataFrame, templates: dict[str, str] | None = None, coverage:
             found = list(scan(pdf["text"], known, coverage))
             if not found:
                 continue
-            rows = pdf["doc_id"].astype("Int64").iloc[[f[0] for f in found]].reset_index(drop=True)
+            rows = pdf["doc_id"].iloc[[f[0] for f in found]].reset_index(drop=True)
             yield pd.DataFrame(
                 {
                     "doc_id": rows,
@@ -218,7 +219,8 @@ def licenses(docs: DataFrame, templates: dict[str, str] | None = None, coverage:
                 }
             )
 
-    return docs.select("doc_id", "text").mapInPandas(
+    found = docs.select(id_text(), "text").mapInPandas(
         run,
-        "doc_id bigint, license string, first_word bigint, last_word bigint, coverage double",
+        "doc_id string, license string, first_word bigint, last_word bigint, coverage double",
     )
+    return id_number(found)

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streamlytics.llm.common import written
+from streamlytics.llm.common import id_number, id_text, written
 from streamlytics.llm.shingles import constants, mix
 
 WINDOW = 64
@@ -181,7 +181,7 @@ def _edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-_ROW = """doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string,
+_ROW = """doc_id string, n_chars bigint, edited_sha256 string, fingerprint string,
 edited_fingerprint string, near_edited double, near_next double, part int, place string,
 text string"""
 
@@ -194,7 +194,7 @@ def _rows(ids, texts: list[str], prints: list[str], part: int) -> pd.DataFrame:
     n = len(edited)
     return pd.DataFrame(
         {
-            "doc_id": pd.array(ids[:n], dtype="Int64"),
+            "doc_id": ids[:n],
             "n_chars": [len(t) for t in texts[:n]],
             "edited_sha256": [hashlib.sha256(r).hexdigest() for r in raw],
             "fingerprint": prints[:n],
@@ -209,7 +209,7 @@ def _rows(ids, texts: list[str], prints: list[str], part: int) -> pd.DataFrame:
 
 
 def _border(doc_id, text: str, print_: str, part: int, place: str) -> pd.DataFrame:
-    row = {"doc_id": pd.array([doc_id], dtype="Int64"), "n_chars": [len(text)], "fingerprint": [print_]}
+    row = {"doc_id": [doc_id], "n_chars": [len(text)], "fingerprint": [print_]}
     rest = {"edited_sha256": None, "edited_fingerprint": None, "near_edited": None, "near_next": None}
     return pd.DataFrame({**row, **rest, "part": [part], "place": [place], "text": [text]})
 
@@ -225,7 +225,7 @@ def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     held = None
     for pdf in batches:
         texts = [t if isinstance(t, str) else "" for t in pdf["text"]]
-        ids = [None if pd.isna(i) else int(i) for i in pdf["doc_id"]]
+        ids = list(pdf["doc_id"])
         at = 0
         while at < len(texts):
             # Bounded pieces: a few long texts do not pile up.
@@ -254,7 +254,7 @@ def _join_borders(pdf: pd.DataFrame) -> pd.DataFrame:
     if not len(last):
         return pdf.iloc[:0]
     a, b = last.iloc[0], first.iloc[0]
-    out = _rows([None if pd.isna(a.doc_id) else int(a.doc_id), None], [a.text, b.text],
+    out = _rows([a.doc_id, None], [a.text, b.text],
                 [a.fingerprint, b.fingerprint], int(a.part))
     return out[_ORDER]
 
@@ -274,7 +274,7 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("key"), F.rand(1).alias("salt"))
     # The salt spreads rows that repeat one document.
     spread = rows.repartitionByRange(width, "doc_id", "key", "salt")
-    ordered = spread.sortWithinPartitions("doc_id", "key").select("doc_id", "text")
+    ordered = spread.sortWithinPartitions("doc_id", "key").select(id_text(), "text")
     walked = written(ordered.mapInPandas(_walk, _ROW), "rare-features")
     borders = walked.where("place IS NOT NULL")
     # One row per partition: which non-empty part follows which.
@@ -288,4 +288,4 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
         ends = borders.join(chain, "part").withColumn("owner", owner)
         ends = ends.groupBy("owner").applyInPandas(lambda pdf: _join_borders(pdf), _ROW)
         done = done.union(ends)
-    return done.drop("part", "place", "text")
+    return id_number(done.drop("part", "place", "text"))

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, key string, rank int"
+BIG = 2**62 + 1
 LONG = " ".join(f"word{i % 977} and{i % 31}" for i in range(20_000))
 ROWS = [
     (1, "The quick brown fox jumps over the lazy dog near the river bank.", "en", "a", 10, "k", 1),
@@ -16,7 +17,7 @@ ROWS = [
     (7, "another text under the same number", "en", "c", 7, "k", 3),
     (None, "a text without any number of its own", "en", None, 7, "k", 3),
     (None, "a text without any number of its own", "en", None, 7, "k", 4),
-    (8, "Straße ÄÖÜ 漢字 emoji 😀 end", "de", "c", 7, "k", 3),
+    (BIG, "a number that no float holds, Straße ÄÖÜ 漢字 emoji 😀 end", "de", "c", 7, "k", 3),
 ]
 
 

@@ -70,5 +70,5 @@ def test_awkward_rows(spark):
     assert sorted((r.doc_id or 0, r.n_chars) for r in got) == sorted((r[0] or 0, len(r[1] or "")) for r in nasty.ROWS)
     assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in got)
     assert fingerprinted(nasty.empty(spark)).count() == 0
-    one = fingerprinted(nasty.docs(spark).where("doc_id = 8")).collect()
+    one = fingerprinted(nasty.docs(spark).where(f"doc_id = {nasty.BIG}")).collect()
     assert len(one) == 1 and one[0].near_next == 1.0
