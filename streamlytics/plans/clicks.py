@@ -119,7 +119,7 @@ def ads_pipeline(spark, d):
     return daily_area_top(agg.date_area_city_ad_count(kept, "n", "dt"))
 
 
-def _trend_sql(minutes: int, slide: int) -> str:
+def trend_sql(minutes: int, slide: int) -> str:
     return f"""SELECT window_start, window_start + INTERVAL '{minutes} minutes' AS window_end,
     adid, '[' || string_agg('{{"' || hm || '":' || CAST(n AS VARCHAR) || '}}', ','
     ORDER BY hm) || ']' AS trend FROM (
@@ -142,12 +142,12 @@ def _trend(spark, d, size, slide):
     )
 
 
-@query("minute_trend", _trend_sql(3, 1), "ev ads_log")
+@query("minute_trend", trend_sql(3, 1), "ev ads_log")
 def minute_trend_3m(spark, d):
     return _trend(spark, d, "3 minutes", "1 minute")
 
 
-@query("minute_trend_hour", _trend_sql(60, 20), "ev ads_log")
+@query("minute_trend_hour", trend_sql(60, 20), "ev ads_log")
 def minute_trend_hour(spark, d):
     return _trend(spark, d, "1 hour", "20 minutes")
 

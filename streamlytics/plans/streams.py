@@ -8,7 +8,7 @@ from streamlytics.operators import alerts, enrich, route, topn
 from streamlytics.operators import windows as w
 from streamlytics.operators.aggregate import nan_min
 from streamlytics.plans import views as v
-from streamlytics.plans.clicks import QUERY_THRESHOLD, TOP3_SQL
+from streamlytics.plans.clicks import QUERY_THRESHOLD, TOP3_SQL, trend_sql
 from streamlytics.plans.keyed import BATCH_SQL, BATCHES, batch_of
 from streamlytics.plans.registry import query
 from streamlytics.plans.windows import (
@@ -323,6 +323,28 @@ def count_sliding_stream(spark, d):
     return _count_windows(spark, d, 10, 5)
 
 
+@query("minute_trend_stream", trend_sql(60, 20), "ev ads_log")
+def minute_trend_stream(spark, d):
+    """Every batch replaces the trends it changes."""
+    minutes = KeyedTable(
+        spark, scratch(spark, "minutes"), ["adid", "minute"], "adid string, minute bigint, n bigint", add_up
+    )
+    trends = KeyedTable(
+        spark, scratch(spark, "trends"), ["window_start", "adid"],
+        "window_start timestamp_ntz, window_end timestamp_ntz, adid string, trend string", keep_latest,
+    )
+
+    def store(rows, batch_id):
+        start, end = (plain(f"window.{x}").alias(f"window_{x}") for x in ("start", "end"))
+        trends.write(rows.select(start, end, "adid", "trend"), batch_id)
+
+    log = replayed(spark, d).select(
+        F.unix_millis("ts").alias("timestamp"), (F.col("k") % 6 + 1).cast("string").alias("adid")
+    )
+    each_batch(log, state.minute_trend_body(minutes, store, "1 hour", "20 minutes"))
+    return trends.read()
+
+
 @query("temp_rise_alert_stream", _alert_oracle())
 def temp_rise_alert_stream(spark, d):
     s = v.shape_sensor(replayed(spark, d)).withWatermark("ts", "0 seconds")

@@ -19,7 +19,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from streamlytics.operators.counts import windows_of
 from streamlytics.operators.ordered import running_count
-from streamlytics.operators.windows import duration_ms
+from streamlytics.operators.windows import duration_ms, minute_trend
 from streamlytics.streaming.keyed import KeyedTable, add_up
 
 # Ship the functions below by value, so workers need not have this package installed.
@@ -98,6 +98,32 @@ def ttl_counter_body(
     return body
 
 
+def minute_trend_body(
+    minutes: KeyedTable, emit: Callable[[DataFrame, int], None], size: str, slide: str
+) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` body on (timestamp, adid): the trends that a batch changes, anew.
+
+    ``minutes`` adds up (adid, minute, n). Only minutes that share a window with the batch are
+    read, so a batch costs its own time range and not the history.
+    """
+    reach = duration_ms(size)
+
+    def body(batch: DataFrame, batch_id: int) -> None:
+        minute = (F.col("timestamp") - F.pmod("timestamp", F.lit(60_000))).alias("minute")
+        new = batch.groupBy("adid", minute).agg(F.count(F.lit(1)).alias("n"))
+        minutes.write(new, batch_id)
+        low, high = minutes.batch(batch_id).agg(F.min("minute"), F.max("minute")).first()
+        if low is None:
+            return
+        near = F.col("minute").between(low - reach, high + reach)
+        rows = minutes.read(before=batch_id + 1, where=near).withColumnRenamed("minute", "timestamp")
+        trends = minute_trend(rows, size, slide, "n")
+        start, end = F.unix_millis("window.start"), F.unix_millis("window.end")
+        emit(trends.where((end > low) & (start <= high)), batch_id)
+
+    return body
+
+
 def keep_panes(spans: int):
     """A fold for (key, pane) sums: added up, and only each key's last ``spans`` panes kept."""
 
