@@ -49,9 +49,8 @@ def terms(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def described(texts, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sparse features: (text number, column, value). A term has a column for being there and,
-    ``len(vocabulary)`` further on, one for its share of the words."""
-    rows, columns, values = [], [], []
+    """Known terms: (text number, term number, share of the text's words), small numbers each."""
+    rows, columns, shares = [], [], []
     for at, batch in batched(texts):
         owner, found, counts = terms(batch)
         if not len(vocabulary) or not len(found):
@@ -61,40 +60,45 @@ def described(texts, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
         pair, n = np.unique(owner[known] * len(vocabulary) + place[known], return_counts=True)
         row, column = pair // len(vocabulary), pair % len(vocabulary)
         share = np.minimum(1.0, 20.0 * n / np.maximum(counts[row], 1))
-        rows += [at + row, at + row]
-        columns += [column, column + len(vocabulary)]
-        values += [np.ones(len(row)), share]
+        rows.append((at + row).astype(np.int32))
+        columns.append(column.astype(np.int32))
+        shares.append(share.astype(np.float32))
     if not rows:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-    return np.concatenate(rows), np.concatenate(columns), np.concatenate(values)
+        return np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.float32)
+    return np.concatenate(rows), np.concatenate(columns), np.concatenate(shares)
 
 
 @dataclass
 class Linear:
-    """A logistic model over sparse term features and a few dense ones."""
+    """A logistic model over terms and a few dense features.
+
+    ``weights`` has one for each term that is there, then one for each term's share.
+    """
 
     weights: np.ndarray
     dense: np.ndarray
     base: float
 
     def predict(self, sparse, dense: np.ndarray) -> np.ndarray:
-        row, column, value = sparse
-        margin = np.bincount(row, value * self.weights[column], len(dense))
+        row, term, share = sparse
+        there, part = np.split(self.weights, 2)
+        margin = np.bincount(row, there[term] + share * part[term], len(dense))
         return 1 / (1 + np.exp(-np.clip(margin + dense @ self.dense + self.base, -50, 50)))
 
 
 def fit_linear(sparse, dense: np.ndarray, y: np.ndarray, width: int, use: np.ndarray) -> Linear:
     """Logistic regression on the rows ``use`` by gradient steps of adapted length."""
-    row, column, value = sparse
-    keep = use[row]
-    row, column, value = row[keep], column[keep], value[keep]
+    row, term, share = sparse if use.all() else [v[use[sparse[0]]] for v in sparse]
+    half = width // 2
     weight = use.astype(np.float64) / max(1, use.sum())
     model = Linear(np.zeros(width), np.zeros(dense.shape[1]), 0.0)
     seen = [np.full(width, 1e-12), np.full(dense.shape[1], 1e-12), 1e-12]
     for _ in range(STEPS):
-        pull = (model.predict((row, column, value), dense) - y) * weight
+        pull = (model.predict((row, term, share), dense) - y) * weight
+        each = pull[row]
+        terms_pull = [np.bincount(term, each, half), np.bincount(term, share * each, half)]
         grads = (
-            np.bincount(column, value * pull[row], width) + PENALTY * model.weights,
+            np.concatenate(terms_pull) + PENALTY * model.weights,
             pull @ dense + PENALTY * model.dense,
             pull.sum(),
         )
@@ -205,22 +209,24 @@ def train(labelled: DataFrame, categories: list[str]) -> Chain:
                 {
                     "doc_id": pdf["doc_id"].astype("Int64"),
                     "y": pdf[categories].to_numpy().tolist(),
-                    "columns": np.split(column[order], cuts),
-                    "shares": np.split(value[order], cuts),
+                    "columns": [c.tobytes() for c in np.split(column[order], cuts)],
+                    "shares": [v.tobytes() for v in np.split(value[order], cuts)],
                 }
             )
 
-    schema = "doc_id bigint, y array<double>, columns array<bigint>, shares array<double>"
+    # Packed, as lists of numbers would take many times the driver's memory.
+    schema = "doc_id bigint, y array<double>, columns binary, shares binary"
     # A few known terms per sampled document.
     found = rows.mapInPandas(collect, schema).collect()
     found = sorted(found, key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["columns"]))
     y = np.array([r["y"] for r in found]).reshape(-1, len(categories))
-    lengths = [len(r["columns"]) for r in found]
+    lengths = [len(r["columns"]) // 4 for r in found]
     sparse = (
-        np.repeat(np.arange(len(found)), lengths),
-        np.array([c for r in found for c in r["columns"]], dtype=np.int64),
-        np.array([v for r in found for v in r["shares"]], dtype=np.float64),
+        np.repeat(np.arange(len(found), dtype=np.int32), lengths),
+        np.frombuffer(b"".join(r["columns"] for r in found), dtype=np.int32),
+        np.frombuffer(b"".join(r["shares"] for r in found), dtype=np.float32),
     )
+    del found
     return fit_chain(sparse, y, vocabulary, categories)
 
 
