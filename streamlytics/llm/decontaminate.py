@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streamlytics.llm.common import written
+from streamlytics.operators.enrich import broadcast_if_few
 
 WINDOW = 8
 #: Items with fewer tokens say too little to be recognised.
@@ -193,7 +194,7 @@ def _consistency(
     values = (
         docs.select("doc_id", "text")
         .alias("d")
-        .join(spots.alias("s"), same)
+        .join(broadcast_if_few(written(spots, "decontaminate-slots")).alias("s"), same)
         .select(
             *[f"s.{k}" for k in keys],
             "shift",
@@ -211,6 +212,7 @@ def _consistency(
 def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without the documents that leak an item, all columns as they were."""
     bad = leaks(docs, benchmark, **options).select("doc_id", "text_key").distinct()
+    bad = broadcast_if_few(written(bad, "decontaminate-bad"))
     same = F.col("d.doc_id").eqNullSafe(F.col("b.doc_id")) & (
         F.xxhash64("d.text") == F.col("b.text_key")
     )
