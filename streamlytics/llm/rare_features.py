@@ -4,7 +4,8 @@ Every window of ``WINDOW`` bytes has an entropy; windows whose entropy is rare i
 improbable. A window is selected if it is the most improbable in enough of the neighbourhoods of
 ``NEIGHBOURS`` windows around it, so selection is local and survives edits elsewhere. Selected windows are hashed
 into a chain of Bloom filters of ``FILTER_BITS`` bits with at most ``FILTER_FEATURES`` features
-each. Two fingerprints compare by the bits their filters share beyond what chance gives.
+each. Two fingerprints compare by the bits their filters share beyond what chance gives. Texts
+under ``WINDOW`` bytes have no such window: all their windows of ``NARROW`` bytes are features.
 
 Entropies come from running sums over all texts of a batch at once: a window differs from the one
 before by a byte gained and a byte lost, and how often a byte occurs among its neighbours is
@@ -26,6 +27,8 @@ from streamlytics.llm.common import id_number, id_text, written
 from streamlytics.llm.shingles import constants, mix
 
 WINDOW = 64
+#: Window of texts under WINDOW bytes.
+NARROW = 8
 #: A window must be the most improbable one of so many neighbourhoods of so many windows.
 NEIGHBOURS, POPULAR = 32, 8
 FILTER_BITS = 2048
@@ -87,7 +90,10 @@ def _ranks(entropy: np.ndarray) -> np.ndarray:
 
 
 def selected(ranks: np.ndarray) -> np.ndarray:
-    """Windows that are the first of the least rank in at least POPULAR neighbourhoods."""
+    """Windows that are the first of the least rank in at least POPULAR neighbourhoods.
+
+    Where none is, or only windows of nearly one byte are, the one that wins most often.
+    """
     n = len(ranks)
     if not n:
         return np.zeros(0, dtype=np.int64)
@@ -102,22 +108,26 @@ def selected(ranks: np.ndarray) -> np.ndarray:
     wins = np.diff(edges, append=len(winners))
     # A text shorter than two neighbourhoods has few of them.
     need = min(POPULAR, len(winners))
-    chosen = winners[edges[wins >= need]]
-    return chosen[ranks[chosen] < 2000]
+    firsts = winners[edges]
+    telling = ranks[firsts] < 2000
+    chosen = firsts[(wins >= need) & telling]
+    if len(chosen):
+        return chosen
+    return firsts[[np.argmax(np.where(telling, wins + len(winners), wins))]]
 
 
-def _feature_bits(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+def _feature_bits(data: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
     """HASHES bit positions per selected window."""
-    words = data[at[:, None] + np.arange(WINDOW)].view(_U)
-    h = mix((words * _SALT).sum(axis=1, dtype=_U))
+    words = data[at[:, None] + np.arange(width)].view(_U)
+    h = mix((words * _SALT[: width // 8]).sum(axis=1, dtype=_U))
     return np.stack([(h >> _U(11 * k)) & _U(FILTER_BITS - 1) for k in range(HASHES)], axis=1)
 
 
-def fingerprint(data: np.ndarray, at: np.ndarray) -> str:
+def fingerprint(data: np.ndarray, at: np.ndarray, width: int = WINDOW) -> str:
     """A count and a filter per FILTER_FEATURES features, as base64; '' without features."""
     if not len(at):
         return ""
-    bits = _feature_bits(data, at).astype(np.int64)
+    bits = _feature_bits(data, at, width).astype(np.int64)
     chain = np.arange(len(at)) // FILTER_FEATURES
     filters = np.zeros((chain[-1] + 1, FILTER_BITS), dtype=np.uint8)
     filters[np.repeat(chain, HASHES), bits.ravel()] = 1
@@ -137,8 +147,12 @@ def fingerprints(parts: list[bytes]) -> list[str]:
             at = 0
             for p in batch:
                 # Windows over a border are no text's, so each text takes its own only.
-                own = ranks[at : at + max(0, len(p) - WINDOW + 1)]
-                out.append(fingerprint(data[at : at + len(p)], selected(own)))
+                if len(p) < WINDOW:
+                    narrow = np.arange(max(0, len(p) - NARROW + 1))
+                    out.append(fingerprint(data[at : at + len(p)], narrow, NARROW))
+                else:
+                    own = ranks[at : at + len(p) - WINDOW + 1]
+                    out.append(fingerprint(data[at : at + len(p)], selected(own)))
                 at += len(p)
             batch, size = [], 0
         if part is not None:
@@ -155,7 +169,8 @@ def _unpacked(print_: str) -> tuple[np.ndarray, np.ndarray]:
 def likeness(a: str, b: str) -> float:
     """0 to 1: per filter of the smaller print its best normalised overlap, averaged by features.
 
-    Equal prints are fully alike, two empty ones too; an empty one is unlike any other.
+    Equal prints are fully alike, two empty ones too; an empty one is unlike any other. Prints of
+    texts under WINDOW bytes have other features than those of longer ones, see ``nearness``.
     """
     if a == b:
         return 1.0
@@ -176,6 +191,27 @@ def likeness(a: str, b: str) -> float:
     return total / float(n_a.sum())
 
 
+def _narrow_windows(raw: bytes) -> np.ndarray:
+    views = np.lib.stride_tricks.sliding_window_view(np.frombuffer(raw, dtype=np.uint8), NARROW)
+    return np.unique(np.ascontiguousarray(views).view(_U))
+
+
+def nearness(a: bytes, b: bytes, print_a: str, print_b: str) -> float:
+    """``likeness`` of two texts' prints, or what stands for it where these cannot be compared.
+
+    Texts of which one has less than a window: the share of the narrow windows of the shorter one
+    that the other one holds. Texts under NARROW bytes are fully alike if equal, else not at all.
+    """
+    if a == b:
+        return 1.0
+    if min(len(a), len(b)) < NARROW:
+        return 0.0
+    if (len(a) < WINDOW) == (len(b) < WINDOW):
+        return likeness(print_a, print_b)
+    few, many = (_narrow_windows(t) for t in sorted((a, b), key=len))
+    return float(np.isin(few, many).mean())
+
+
 def _edited(text: str, following: str) -> str:
     half = len(text) // 2
     return text[: len(text) - half] + following[:half]
@@ -189,6 +225,7 @@ text string"""
 def _rows(ids, texts: list[str], prints: list[str], part: int) -> pd.DataFrame:
     """Rows of all documents but the last, which is the next of the one before only."""
     edited = [_edited(t, n) for t, n in zip(texts, texts[1:], strict=False)]
+    own = [t.encode("utf-8", "surrogatepass") for t in texts]
     raw = [e.encode("utf-8", "surrogatepass") for e in edited]
     edited_prints = fingerprints(raw)
     n = len(edited)
@@ -199,8 +236,8 @@ def _rows(ids, texts: list[str], prints: list[str], part: int) -> pd.DataFrame:
             "edited_sha256": [hashlib.sha256(r).hexdigest() for r in raw],
             "fingerprint": prints[:n],
             "edited_fingerprint": edited_prints,
-            "near_edited": [likeness(a, b) for a, b in zip(prints, edited_prints, strict=False)],
-            "near_next": [likeness(a, b) for a, b in zip(prints, prints[1:], strict=False)],
+            "near_edited": [nearness(*x) for x in zip(own, raw, prints, edited_prints, strict=False)],
+            "near_next": [nearness(*x) for x in zip(own, own[1:], prints, prints[1:], strict=False)],
             "part": [part] * n,
             "place": [None] * n,
             "text": [None] * n,
@@ -265,8 +302,8 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
 
     The edited text is the text whose last floor(n_chars / 2) code points are replaced by the
     first as many of the next document's, in order of doc_id (null first), then text hash; after
-    the last comes the first. Defined cases: a null text is empty; a text shorter than a window,
-    or without any improbable window, has the fingerprint ''; equal texts have equal fingerprints;
+    the last comes the first. Defined cases: a null text is empty; a text under NARROW bytes
+    has the fingerprint '' and is fully alike equal texts only; equal texts have equal fingerprints;
     rows that repeat a doc_id follow each other; a single document is its own next; an empty table
     gives no rows; other columns are ignored.
     """

@@ -6,7 +6,7 @@ import nasty
 import numpy as np
 
 from streamlytics.llm import rare_features
-from streamlytics.llm.rare_features import WINDOW, entropies, fingerprinted, fingerprints, likeness
+from streamlytics.llm.rare_features import WINDOW, entropies, fingerprinted, fingerprints, likeness, nearness
 
 
 def plain_entropy(window: bytes) -> float:
@@ -72,3 +72,25 @@ def test_awkward_rows(spark):
     assert fingerprinted(nasty.empty(spark)).count() == 0
     one = fingerprinted(nasty.docs(spark).where(f"doc_id = {nasty.BIG}")).collect()
     assert len(one) == 1 and one[0].near_next == 1.0
+
+
+def test_short_texts_have_prints():
+    text = nasty.LONG.encode()
+    prints = fingerprints([text[i : i + n] for n in range(8, 140) for i in (0, 50)] + [b"a" * 200])
+    assert all(prints)
+
+    def near(a, b):
+        return nearness(a, b, *fingerprints([a, b]))
+
+    assert near(b"one two", b"one two") == near(b"", b"") == 1.0
+    assert near(b"one two", b"another") == near(b"", b"some text") == 0.0
+    a, b = b"The cat sat on the mat while it rained.", b"Invoices are due by the tenth of May!!"
+    assert near(a, b) < 0.1 and 0.3 < near(a, a[:20] + b[:19]) < 0.7
+    assert near(a, b * 3 + a + b) == 1.0 and near(a, b * 3) < 0.1
+
+
+def test_short_neighbours_are_not_alike(spark):
+    rows = [(1, "The cat sat on the mat."), (2, "Invoices are due by May."), (3, "tiny"), (4, "size")]
+    got = fingerprinted(spark.createDataFrame(rows, "doc_id bigint, text string")).orderBy("doc_id").collect()
+    assert all(r.near_next < 0.1 for r in got)
+    assert all(r.near_edited < 1 for r in got) and all(r.fingerprint for r in got[:2])
