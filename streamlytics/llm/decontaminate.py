@@ -6,6 +6,9 @@ and joined with those of the benchmark. That also finds questions whose numbers
 exchanged; a real one uses one new value for each old one, so along each alignment of document
 and item the slot values are checked for consistency.
 
+Which words are names is told in several views, each on both sides, and a leak in one is a leak:
+capitals inside sentences; all capitals, whatever stands before them.
+
 Both the tokens and their types come from whole-text regular expressions, and windows from shifted
 copies of the token array, so nothing leaves the JVM and no window is built before it is hashed.
 """
@@ -37,6 +40,12 @@ litres second seconds minute minutes hour hours day days week weeks month months
 dollar dollars euro euros cent cents percent degree degrees
 """.split()
 
+INNER, CAPITALS = range(2)
+# A capital after a small letter, a comma or a digit and one blank starts no sentence.
+NAMES = {
+    INNER: r"(?<=[\p{Ll}\d,;] )\p{Lu}[\p{L}\p{N}_]*",
+    CAPITALS: r"(?<![\p{L}\p{N}_])\p{Lu}[\p{L}\p{N}_]*",
+}
 NUMBER, NAME, UNIT = "<num>", "<name>", "<unit>"
 
 
@@ -47,11 +56,11 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(cleaned, " "), lambda t: t != "")
 
 
-def template(text: Column) -> Column:
+def template(text: Column, view: int = INNER) -> Column:
     """The same tokens in lower case, slots replaced by their type; as many as ``tokens``."""
     marked = F.regexp_replace(F.translate(text, "<>", "  "), r"(?<=\d)[.,](?=\d)", "_")
-    # A capital after a small letter, a comma or a digit and one blank starts no sentence.
-    marked = F.regexp_replace(marked, r"(?<=[\p{Ll}\d,;] )\p{Lu}[\p{L}\p{N}_]*", NAME)
+    if view in NAMES:
+        marked = F.regexp_replace(marked, NAMES[view], NAME)
     marked = F.regexp_replace(marked, r"(?<![\p{L}\p{N}_])\d[\d_]*(?![\p{L}\p{N}_])", NUMBER)
     units = "|".join(sorted(UNITS, key=len, reverse=True))
     marked = F.regexp_replace(
@@ -72,11 +81,16 @@ def _hashed(rows: DataFrame, keys: list[str], width: int) -> DataFrame:
     )
 
 
-def _items(benchmark: DataFrame) -> DataFrame:
-    rows = benchmark.select("item_id", "text", template(F.col("text")).alias("tokens"))
+def _items(benchmark: DataFrame, view: int) -> DataFrame:
+    rows = benchmark.select("item_id", "text", template(F.col("text"), view).alias("tokens"))
     return rows.where(F.size("tokens") >= LEAST_TOKENS)
 
 
+def _width(tokens: str = "tokens") -> Column:
+    """Tokens a window of an item has."""
+    return F.least(F.size(tokens), F.lit(WINDOW))
+
+
 def _is_slot(t: Column) -> Column:
     return t.isin(NUMBER, NAME, UNIT)
 
@@ -90,31 +104,50 @@ def leaks(
     """(doc_id, text_key, item_id, n_windows, matched, coverage, slots, consistency) of each leak.
 
     A document leaks an item if it holds at least ``coverage`` of the item's distinct template
-    windows and, where these have slots, at least ``consistency`` of the slot values follow one
-    replacement per alignment. Items shorter than a window are matched whole; items under
-    ``LEAST_TOKENS`` tokens never match. Defined cases: a null or empty text has no windows, on
-    either side; rows that repeat a doc_id or an item_id are told apart by their texts, and fully
-    equal rows give one result; empty tables give no rows; other columns are ignored.
+    windows and, where these have slots, at least ``consistency`` of the slot values follow one replacement per alignment.
+    The first view that finds a leak gives the
+    row. Items of up to a window are matched
+    whole; items under ``LEAST_TOKENS`` tokens never match. Defined cases: a null or empty text has
+    no windows, on either side; rows that repeat a doc_id or an item_id are told apart by their
+    texts, and fully equal rows give one result; empty tables give no rows; other columns are ignored.
     """
-    items = written(_items(benchmark), "decontaminate-items")
-    item = items.withColumn("item_key", F.xxhash64("item_id", "text"))
-    sizes = [
-        r[0]
-        for r in item.select(F.least(F.size("tokens"), F.lit(WINDOW))).distinct().collect()
-    ]  # at most WINDOW - LEAST_TOKENS + 1 values
-    size = F.least(F.size("tokens"), F.lit(WINDOW))
-    parts = [_hashed(item.where(size == w), ["item_key"], w) for w in sizes]
-    if not parts:
+    views = [INNER, CAPITALS]
+    found = [_leaks_in(view, docs, benchmark, coverage, consistency) for view in views]
+    found = [f.withColumn("view", F.lit(v)) for v, f in zip(views, found, strict=True) if f is not None]
+    if not found:
         return _no_leaks(docs, benchmark)
-    windows = written(
-        reduce(DataFrame.unionAll, parts).withColumnRenamed("pos", "item_pos"),
-        "decontaminate-windows",
+    values = ["n_windows", "matched", "coverage", "slots", "consistency"]
+    first = F.min(F.struct("view", *values)).alias("first")
+    rows = reduce(DataFrame.unionAll, found).groupBy("doc_id", "text_key", "item_key").agg(first)
+    names = benchmark.select(F.xxhash64("item_id", "text").alias("item_key"), "item_id").distinct()
+    return rows.join(names, "item_key").select(
+        "doc_id", "text_key", "item_id", *[F.col(f"first.{v}").alias(v) for v in values]
     )
+
+
+def _leaks_in(
+    view: int, docs: DataFrame, benchmark: DataFrame, coverage: float, consistency: float
+) -> DataFrame | None:
+    """Leaks by item_key in one view, None if the benchmark has no windows."""
+    items = written(_items(benchmark, view), "decontaminate-items")
+    item = items.withColumn("item_key", F.xxhash64("item_id", "text"))
+    width = _width()
+    sizes = [r[0] for r in item.select(width).distinct().collect()]  # at most WINDOW values
+    parts = [_hashed(item.where(width == w), ["item_key", "tokens"], w).withColumn("w", F.lit(w)) for w in sizes]
+    if not parts:
+        return None
+    windows = reduce(DataFrame.unionAll, parts).withColumnRenamed("pos", "item_pos")
+    if view == CAPITALS:
+        # A window of slots nearly alone says nothing: titles and shouting are all capitals.
+        slots = F.size(F.filter(F.slice("tokens", F.col("item_pos") + 1, F.col("w")), _is_slot))
+        windows = windows.where(2 * slots <= F.col("w"))
+    windows = windows.drop("tokens", "w")
+    windows = written(windows, "decontaminate-windows")
     needles = windows.select("hash").distinct()
     few = windows.count() <= BROADCAST_WINDOWS
     needles, side = (F.broadcast(needles), F.broadcast(windows)) if few else (needles, windows)
     rows = docs.select(
-        "doc_id", F.xxhash64("text").alias("text_key"), template(F.col("text")).alias("tokens")
+        "doc_id", F.xxhash64("text").alias("text_key"), template(F.col("text"), view).alias("tokens")
     )
     found = [_hashed(rows, ["doc_id", "text_key"], w).join(needles, "hash", "left_semi") for w in sizes]
     hits = written(reduce(DataFrame.unionAll, found).distinct(), "decontaminate-hits").join(side, "hash")
@@ -128,19 +161,21 @@ def leaks(
     )
     covered = written(covered, "decontaminate-covered")
     checked = _consistency(docs, item, hits, covered)
-    same = (
-        F.col("c.doc_id").eqNullSafe(F.col("s.doc_id"))
-        & (F.col("c.text_key") == F.col("s.text_key"))
-        & (F.col("c.item_key") == F.col("s.item_key"))
-    )
-    judged = covered.alias("c").join(checked.alias("s"), same, "left").select(
+    judged = covered.alias("c").join(checked.alias("s"), _same("c", "s"), "left").select(
         "c.*",
         F.coalesce("slots", F.lit(0)).cast("bigint").alias("slots"),
         F.coalesce("consistency", F.lit(1.0)).alias("consistency"),
     )
-    names = item.select("item_key", "item_id").distinct()
-    return judged.where(F.col("consistency") >= consistency).join(names, "item_key").select(
-        "doc_id", "text_key", "item_id", "n_windows", "matched", "coverage", "slots", "consistency"
+    return judged.where(F.col("consistency") >= consistency).select(
+        "doc_id", "text_key", "item_key", "n_windows", "matched", "coverage", "slots", "consistency"
+    )
+
+
+def _same(a: str, b: str) -> Column:
+    return (
+        F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id"))
+        & (F.col(f"{a}.text_key") == F.col(f"{b}.text_key"))
+        & (F.col(f"{a}.item_key") == F.col(f"{b}.item_key"))
     )
 
 
@@ -160,14 +195,8 @@ def _consistency(
 ) -> DataFrame:
     """Share of slot values that follow the commonest replacement, per document and item."""
     keys = ["doc_id", "text_key", "item_key"]
-    width = F.least(F.size("i.tokens"), F.lit(WINDOW))
-    window = F.slice("i.tokens", F.col("item_pos") + 1, width)
-    in_leak = (
-        F.col("h.doc_id").eqNullSafe(F.col("c.doc_id"))
-        & (F.col("h.text_key") == F.col("c.text_key"))
-        & (F.col("h.item_key") == F.col("c.item_key"))
-    )
-    kept = hits.alias("h").join(covered.select(*keys).alias("c"), in_leak, "left_semi")
+    window = F.slice("i.tokens", F.col("item_pos") + 1, _width("i.tokens"))
+    kept = hits.alias("h").join(covered.select(*keys).alias("c"), _same("h", "c"), "left_semi")
     slotted = (
         kept.alias("h")
         .join(item.alias("i"), "item_key")
@@ -177,7 +206,7 @@ def _consistency(
     same = F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (
         F.xxhash64("d.text") == F.col("s.text_key")
     )
-    index = F.explode(F.sequence(F.lit(0), F.least(F.size("tokens"), F.lit(WINDOW)) - 1))
+    index = F.explode(F.sequence(F.lit(0), _width() - 1))
     # Only positions leave the join; values are read from the two texts at those positions.
     spots = (
         slotted.withColumn("k", index)

@@ -77,3 +77,16 @@ def test_given_tables(spark):
     got = sorted((r.doc_id, r.item_id) for r in leaks(docs, items).collect())
     want = plain([(r.doc_id, r.text) for r in docs.collect()], [(r.item_id, r.text) for r in items.collect()])
     assert got == want and want
+
+
+def caught(spark, texts, items, **options):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    return sorted((r.doc_id, r.item_id) for r in leaks(docs, bench, **options).collect())
+
+
+def test_names_that_begin_sentences(spark):
+    apples = "Anna has 12 apples. Anna buys 5 more. How many apples does Anna have?"
+    texts = [FILL + apples.replace("Anna", "Bob"), "here is the question Name the five longest rivers.", "ALL CAPITALS " * 20]
+    items = [apples, "Name the five longest rivers.", "NO WORD OF THIS IS WRITTEN IN SMALL LETTERS"]
+    assert caught(spark, texts, items) == [(0, 0), (1, 1)]
