@@ -8,6 +8,7 @@ and item the slot values are checked for consistency.
 
 Which words are names is told in several views, each on both sides, and a leak in one is a leak:
 capitals inside sentences; all capitals, whatever stands before them.
+A leak holds enough of the item's windows, or of its tokens along one alignment, or a long run.
 
 Both the tokens and their types come from whole-text regular expressions, and windows from shifted
 copies of the token array, so nothing leaves the JVM and no window is built before it is hashed.
@@ -26,7 +27,11 @@ from streamlytics.operators.enrich import broadcast_if_few
 WINDOW = 8
 #: Items with fewer tokens say too little to be recognised.
 LEAST_TOKENS = 5
+#: Items under SHORT tokens are looked for by windows of SHORT_WINDOW, and need SHORT_MORE coverage.
+SHORT, SHORT_WINDOW, SHORT_MORE = 16, 4, 0.1
 COVERAGE = 0.5
+#: So many tokens along one alignment are a leak, however long the item is.
+RUN = 30
 CONSISTENCY = 0.8
 #: Rows of 16 bytes; beyond that the benchmark is shuffled instead.
 BROADCAST_WINDOWS = 1_000_000
@@ -88,7 +93,9 @@ def _items(benchmark: DataFrame, view: int) -> DataFrame:
 
 def _width(tokens: str = "tokens") -> Column:
     """Tokens a window of an item has."""
-    return F.least(F.size(tokens), F.lit(WINDOW))
+    n = F.size(tokens)
+    short = F.when(n < SHORT, SHORT_WINDOW).otherwise(WINDOW)
+    return F.when(n <= WINDOW, n).otherwise(short)
 
 
 def _is_slot(t: Column) -> Column:
@@ -100,19 +107,21 @@ def leaks(
     benchmark: DataFrame,
     coverage: float = COVERAGE,
     consistency: float = CONSISTENCY,
+    run: int = RUN,
 ) -> DataFrame:
     """(doc_id, text_key, item_id, n_windows, matched, coverage, slots, consistency) of each leak.
 
     A document leaks an item if it holds at least ``coverage`` of the item's distinct template
-    windows and, where these have slots, at least ``consistency`` of the slot values follow one replacement per alignment.
-    The first view that finds a leak gives the
+    windows, or of its tokens along one alignment, or ``run`` tokens along one, and, where these
+    have slots, at least ``consistency`` of the slot values follow one replacement per alignment.
+    ``coverage`` of a row is the larger of both shares; the first view that finds a leak gives the
     row. Items of up to a window are matched
     whole; items under ``LEAST_TOKENS`` tokens never match. Defined cases: a null or empty text has
     no windows, on either side; rows that repeat a doc_id or an item_id are told apart by their
     texts, and fully equal rows give one result; empty tables give no rows; other columns are ignored.
     """
     views = [INNER, CAPITALS]
-    found = [_leaks_in(view, docs, benchmark, coverage, consistency) for view in views]
+    found = [_leaks_in(view, docs, benchmark, coverage, consistency, run) for view in views]
     found = [f.withColumn("view", F.lit(v)) for v, f in zip(views, found, strict=True) if f is not None]
     if not found:
         return _no_leaks(docs, benchmark)
@@ -126,7 +135,7 @@ def leaks(
 
 
 def _leaks_in(
-    view: int, docs: DataFrame, benchmark: DataFrame, coverage: float, consistency: float
+    view: int, docs: DataFrame, benchmark: DataFrame, coverage: float, consistency: float, run: int
 ) -> DataFrame | None:
     """Leaks by item_key in one view, None if the benchmark has no windows."""
     items = written(_items(benchmark, view), "decontaminate-items")
@@ -141,7 +150,7 @@ def _leaks_in(
         # A window of slots nearly alone says nothing: titles and shouting are all capitals.
         slots = F.size(F.filter(F.slice("tokens", F.col("item_pos") + 1, F.col("w")), _is_slot))
         windows = windows.where(2 * slots <= F.col("w"))
-    windows = windows.drop("tokens", "w")
+    windows = windows.withColumn("n_tokens", F.size("tokens")).drop("tokens")
     windows = written(windows, "decontaminate-windows")
     needles = windows.select("hash").distinct()
     few = windows.count() <= BROADCAST_WINDOWS
@@ -152,12 +161,31 @@ def _leaks_in(
     found = [_hashed(rows, ["doc_id", "text_key"], w).join(needles, "hash", "left_semi") for w in sizes]
     hits = written(reduce(DataFrame.unionAll, found).distinct(), "decontaminate-hits").join(side, "hash")
     totals = windows.groupBy("item_key").agg(F.countDistinct("hash").alias("n_windows"))
+    matched = hits.groupBy("doc_id", "text_key", "item_key").agg(F.countDistinct("hash").alias("matched"))
+    # Along one alignment a window covers its tokens up to the next window's first.
+    at = F.array_sort(F.collect_set("item_pos"))
+    runs = hits.groupBy(
+        "doc_id", "text_key", "item_key", "w", "n_tokens", (F.col("pos") - F.col("item_pos")).alias("shift")
+    ).agg(at.alias("at"))
+    gaps = F.zip_with(
+        F.slice("at", 2, F.size("at")), F.slice("at", 1, F.size("at") - 1), lambda b, a: F.least(b - a, F.col("w"))
+    )
+    aligned = (
+        runs.withColumn("tokens", F.col("w") + F.aggregate(gaps, F.lit(0), lambda x, y: x + y))
+        .groupBy("doc_id", "text_key", "item_key", "w", "n_tokens")
+        .agg(F.max("tokens").alias("run"))
+    )
+    share = F.greatest(F.col("matched") / F.col("n_windows"), F.col("run") / F.col("n_tokens"))
+    short = (F.col("n_tokens") < SHORT) & (F.col("n_tokens") > WINDOW)
+    least = F.when(short, min(1.0, coverage + SHORT_MORE)).otherwise(coverage)
     covered = (
-        hits.groupBy("doc_id", "text_key", "item_key")
-        .agg(F.countDistinct("hash").alias("matched"))
+        matched.alias("m")
+        .join(aligned.alias("a"), _same("m", "a"))
+        .select("m.*", "w", "n_tokens", "run")
         .join(totals, "item_key")
-        .withColumn("coverage", F.col("matched") / F.col("n_windows"))
-        .where(F.col("coverage") >= coverage)
+        .withColumn("coverage", share)
+        .where((F.col("coverage") >= least) | (F.col("run") >= run))
+        .drop("w", "n_tokens", "run")
     )
     covered = written(covered, "decontaminate-covered")
     checked = _consistency(docs, item, hits, covered)

@@ -90,3 +90,15 @@ def test_names_that_begin_sentences(spark):
     texts = [FILL + apples.replace("Anna", "Bob"), "here is the question Name the five longest rivers.", "ALL CAPITALS " * 20]
     items = [apples, "Name the five longest rivers.", "NO WORD OF THIS IS WRITTEN IN SMALL LETTERS"]
     assert caught(spark, texts, items) == [(0, 0), (1, 1)]
+
+
+def test_one_changed_word_and_long_runs(spark):
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(200)]
+    texts, items, at = [], [], 0
+    for n in (9, 12, 16, 17, 22):
+        item, at = words[at : at + n], at + n
+        items.append(" ".join(item))
+        texts.append(FILL + " ".join([*item[: n // 2], "other", *item[n // 2 + 1 :]]) + " end")
+    long = [w.replace("w", "v") for w in words]
+    texts += [" ".join(long[60:140]), " ".join(long[60:80])]
+    assert caught(spark, texts, [*items, " ".join(long)]) == [(i, i) for i in range(6)]
