@@ -7,7 +7,7 @@ exchanged; a real one uses one new value for each old one, so along each alignme
 and item the slot values are checked for consistency.
 
 Which words are names is told in several views, each on both sides, and a leak in one is a leak:
-capitals inside sentences; all capitals, whatever stands before them.
+capitals inside sentences; all capitals, whatever stands before them; and, with ``any_case``, none.
 A leak holds enough of the item's windows, or of its tokens along one alignment, or a long run.
 
 Both the tokens and their types come from whole-text regular expressions, and windows from shifted
@@ -45,7 +45,7 @@ litres second seconds minute minutes hour hours day days week weeks month months
 dollar dollars euro euros cent cents percent degree degrees
 """.split()
 
-INNER, CAPITALS = range(2)
+INNER, CAPITALS, PLAIN = range(3)
 # A capital after a small letter, a comma or a digit and one blank starts no sentence.
 NAMES = {
     INNER: r"(?<=[\p{Ll}\d,;] )\p{Lu}[\p{L}\p{N}_]*",
@@ -108,6 +108,7 @@ def leaks(
     coverage: float = COVERAGE,
     consistency: float = CONSISTENCY,
     run: int = RUN,
+    any_case: bool = False,
 ) -> DataFrame:
     """(doc_id, text_key, item_id, n_windows, matched, coverage, slots, consistency) of each leak.
 
@@ -115,12 +116,12 @@ def leaks(
     windows, or of its tokens along one alignment, or ``run`` tokens along one, and, where these
     have slots, at least ``consistency`` of the slot values follow one replacement per alignment.
     ``coverage`` of a row is the larger of both shares; the first view that finds a leak gives the
-    row. Items of up to a window are matched
+    row. ``any_case`` also finds copies that differ in case. Items of up to a window are matched
     whole; items under ``LEAST_TOKENS`` tokens never match. Defined cases: a null or empty text has
     no windows, on either side; rows that repeat a doc_id or an item_id are told apart by their
     texts, and fully equal rows give one result; empty tables give no rows; other columns are ignored.
     """
-    views = [INNER, CAPITALS]
+    views = [INNER, CAPITALS, *[PLAIN] * any_case]
     found = [_leaks_in(view, docs, benchmark, coverage, consistency, run) for view in views]
     found = [f.withColumn("view", F.lit(v)) for v, f in zip(views, found, strict=True) if f is not None]
     if not found:

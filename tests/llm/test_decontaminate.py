@@ -102,3 +102,9 @@ def test_one_changed_word_and_long_runs(spark):
     long = [w.replace("w", "v") for w in words]
     texts += [" ".join(long[60:140]), " ".join(long[60:80])]
     assert caught(spark, texts, [*items, " ".join(long)]) == [(i, i) for i in range(6)]
+
+
+def test_copies_in_other_case(spark):
+    item = "The train from Paris to Rouen stops in Le Havre, then in Caen, before 12 km of Norman coast."
+    texts = [item.upper(), item.lower(), FILL]
+    assert caught(spark, texts, [item], any_case=True) == [(0, 0), (1, 0)]
