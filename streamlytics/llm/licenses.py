@@ -4,7 +4,8 @@ Only words that occur in some license template are kept of a text, with their pl
 is looked for where enough of its distinct words lie close together; that stretch is aligned with
 the template by patience: words that are unique on both sides are anchors, the longest increasing
 run of anchors is kept, and the gaps between them are aligned the same way. Coverage is the share
-of template words that were aligned.
+of template words that were aligned. A hit needs all words that tell its license from others, no
+word of another variant in between, and few other words; of rivals for one place the best stays.
 """
 
 from __future__ import annotations
@@ -63,8 +64,39 @@ TEMPLATES = {
     "MPL-2.0 header": """This Source Code Form is subject to the terms of the Mozilla Public
         License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain
         one at http://mozilla.org/MPL/2.0/.""",
+    "BSD notice": "Released under the BSD License.",
+    "CC-BY-4.0 short notice": "Licensed under CC BY 4.0.",
+    "CC-BY-SA-4.0 notice": "Licensed under CC BY-SA 4.0.",
+    "CC-BY-ND-4.0 notice": "Licensed under CC BY-ND 4.0.",
+    "CC-BY-NC-SA-4.0 notice": "Licensed under CC BY-NC-SA 4.0.",
+    "CC-BY-NC-ND-4.0 notice": "Licensed under CC BY-NC-ND 4.0.",
+    "GPL-2.0 notice": "This work is licensed under the GNU General Public License, version 2.",
+    "LGPL-3.0 notice": """This work is licensed under the GNU Lesser General Public License,
+        version 3.""",
+    "LGPL-2.1 notice": """This work is licensed under the GNU Lesser General Public License,
+        version 2.1.""",
+    "AGPL-3.0 notice": """This work is licensed under the GNU Affero General Public License,
+        version 3.""",
+    "GPL-2.0 header": """This program is free software; you can redistribute it and/or modify it
+        under the terms of the GNU General Public License as published by the Free Software
+        Foundation; either version 2 of the License, or (at your option) any later version.""",
+    "LGPL-3.0 header": """This library is free software: you can redistribute it and/or modify it
+        under the terms of the GNU Lesser General Public License as published by the Free Software
+        Foundation, either version 3 of the License, or (at your option) any later version.""",
+    "LGPL-2.1 header": """This library is free software; you can redistribute it and/or modify it
+        under the terms of the GNU Lesser General Public License as published by the Free Software
+        Foundation; either version 2.1 of the License, or (at your option) any later version.""",
+    "AGPL-3.0 header": """This program is free software: you can redistribute it and/or modify it
+        under the terms of the GNU Affero General Public License as published by the Free Software
+        Foundation, either version 3 of the License, or (at your option) any later version.""",
 }
 
+#: Words of a variant: a template without them is no match for a stretch that holds one.
+VARIANTS = """lesser affero nc sa nd noncommercial commercial sharealike alike noderivatives
+noderivs derivatives""".split()
+#: Words that tell licenses apart: those a template has must be aligned.
+TELLING = [*VARIANTS, *"mit bsd apache mozilla gnu cc creative 1 2 3 4".split()]
+
 
 def _increasing(values: list[int]) -> list[int]:
     """Places of a longest increasing run, by patience piles."""
@@ -127,6 +159,9 @@ class Templates:
         for k, words in enumerate(self.words):
             self.holds[k, np.searchsorted(self.vocabulary, words)] = True
         self.distinct = self.holds.sum(axis=1)
+        telling, variants = (word_places([" ".join(w).encode()])[0].tolist() for w in (TELLING, VARIANTS))
+        self.telling = [set(words) & set(telling) for words in self.words]
+        self.foreign = [set(variants) - set(words) for words in self.words]
 
 
 @cache
@@ -134,8 +169,21 @@ def _built_in() -> Templates:
     return Templates(TEMPLATES)
 
 
+def _score(places: list[int], pairs: list[tuple[int, int]], wanted: int) -> float:
+    """Aligned words on both sides, over all of the template and of the stretch."""
+    return 2 * len(pairs) / (wanted + places[pairs[-1][0]] - places[pairs[0][0]] + 1)
+
+
+def _trimmed(places: list[int], pairs: list[tuple[int, int]], wanted: int) -> list[tuple[int, int]]:
+    """Pairs without stray ones at the ends, which stretch more than they add."""
+    if not pairs:
+        return pairs
+    pairs = pairs[max(range(len(pairs)), key=lambda k: _score(places, pairs[k:], wanted)) :]
+    return pairs[: max(range(len(pairs), 0, -1), key=lambda k: _score(places, pairs[:k], wanted))]
+
+
 def _found(
-    places: list[int], words: list[int], wanted: list[int], need: int, coverage: float
+    places: list[int], words: list[int], wanted: list[int], need: int, coverage: float, telling: set[int]
 ) -> Iterator[tuple[int, int, float]]:
     """(first place, last place, coverage) of each time the template occurs.
 
@@ -154,6 +202,12 @@ def _found(
             end = bisect_left(places, places[start] + 2 * span)
             pairs = patience(words[start:end], wanted)
             if len(pairs) >= coverage * len(wanted):
+                pairs = _trimmed(places[start:end], pairs, len(wanted))
+            if (
+                len(pairs) >= coverage * len(wanted)
+                and _score(places[start:end], pairs, len(wanted)) >= coverage
+                and telling <= {wanted[j] for _, j in pairs}
+            ):
                 first, last = start + pairs[0][0], start + pairs[-1][0]
                 yield places[first], places[last], len(pairs) / len(wanted)
                 step = last + 1 - start
@@ -167,6 +221,25 @@ def _found(
         stop = max(start, stop)
 
 
+def _best(hits: list[tuple[int, int, int, float, float]]) -> Iterator[tuple[int, int, int, float]]:
+    """(template, first, last, coverage) of hits that no better one of another template rivals.
+
+    Rivals share more than half of the longer stretch, so a notice inside a header is none.
+    """
+    hits = sorted(hits, key=lambda h: h[1:3])
+    beaten = set()
+    for i, (k, first, last, _, score) in enumerate(hits):
+        for j in range(i + 1, len(hits)):
+            other, a, b, _, its = hits[j]
+            if a > last:
+                break
+            if other != k and 2 * (min(last, b) - a + 1) > max(last - first, b - a) + 1 and score != its:
+                beaten.add(i if score < its else j)
+    for i, hit in enumerate(hits):
+        if i not in beaten:
+            yield hit[:4]
+
+
 def scan(texts, templates: Templates, coverage: float = COVERAGE) -> Iterator[tuple[int, str, int, int, float]]:
     """(text number, license, first word, last word, coverage) of every license found."""
     for at, batch in batched(texts):
@@ -183,14 +256,22 @@ def scan(texts, templates: Templates, coverage: float = COVERAGE) -> Iterator[tu
         # A stretch cannot hold more distinct template words than its text does.
         need = np.ceil(coverage * templates.distinct * 0.999).astype(int)
         enough = present.astype(np.int32) @ templates.holds.T.astype(np.int32) >= need
+        hits: dict[int, list] = {}
         for text, k in np.argwhere(enough):
             lo, hi = np.searchsorted(own, [text, text + 1])
             mine = templates.holds[k, ids[lo:hi]]
             places = (kept[lo:hi][mine] - starts[text]).tolist()
             words = hashes[kept[lo:hi][mine]].tolist()
             wanted = templates.words[k]
-            for first, last, share in _found(places, words, wanted, int(need[k]), coverage):
-                yield at + int(text), templates.names[k], first, last, share
+            begin = starts[text]
+            for first, last, share in _found(places, words, wanted, int(need[k]), coverage, templates.telling[k]):
+                inner = hashes[begin + first : begin + last + 1].tolist()
+                if templates.foreign[k].isdisjoint(inner):
+                    score = 2 * share * len(wanted) / (len(wanted) + len(inner))
+                    hits.setdefault(int(text), []).append((int(k), first, last, share, score))
+        for text, own_hits in hits.items():
+            for k, first, last, share in _best(own_hits):
+                yield at + text, templates.names[k], first, last, share
 
 
 def licenses(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE) -> DataFrame:
@@ -198,7 +279,7 @@ def licenses(docs: DataFrame, templates: dict[str, str] | None = None, coverage:
 
     Words are runs of letters and digits, A-Z lower-cased, counted from 0. Defined cases: a null or
     empty text holds none; a license that is repeated is found each time; a short notice that is
-    part of a longer one is found as itself too; repeated rows give repeated results; an empty
+    part of a longer one is found as itself too; words of ``TELLING`` count in given templates too; repeated rows give repeated results; an empty
     table gives no rows; other columns are ignored.
     """
 

@@ -57,3 +57,19 @@ def test_awkward_rows(spark):
     note = docs.unionByName(spark.createDataFrame([(9, "x\nReleased under the MIT License.", "en", "a", 1, "k", 1)] * 2, nasty.SCHEMA))
     assert [tuple(r)[:4] for r in licenses(note.coalesce(1)).collect()] == [(9, "MIT notice", 1, 5)] * 2
     assert licenses(docs).count() == 0 and licenses(nasty.empty(spark)).count() == 0
+
+
+def test_neighbouring_licenses_and_prose():
+    want = {
+        "Released under the BSD License.": ["BSD notice"],
+        "It was released in May under the terms of a license.": [],
+        "Licensed under CC BY 4.0.": ["CC-BY-4.0 short notice"],
+        "Licensed under CC BY-NC-SA 4.0.": ["CC-BY-NC-SA-4.0 notice"],
+        "Licensed under CC BY-NC 3.0.": [],
+        TEMPLATES["GPL-3.0 notice"].replace("3", "2"): ["GPL-2.0 notice"],
+        "This work is licensed under the GNU Lesser General Public License.": [],
+        "Released softly under all of the many other words that are near MIT License": [],
+        **{TEMPLATES[n]: [n] for n in TEMPLATES if n not in ("Apache-2.0 header",)},
+    }
+    assert {t: [n for _, n in found([t])] for t in want} == want
+    assert sorted(n for _, n in found([TEMPLATES["Apache-2.0 header"]])) == ["Apache-2.0 header", "Apache-2.0 notice"]
