@@ -209,10 +209,11 @@ def _found(
                 and telling <= {wanted[j] for _, j in pairs}
             ):
                 first, last = start + pairs[0][0], start + pairs[-1][0]
+                # The alignment may have taken a later copy.
+                if first - start >= need:
+                    yield from _found(places[start:first], words[start:first], wanted, need, coverage, telling)
                 yield places[first], places[last], len(pairs) / len(wanted)
                 step = last + 1 - start
-            else:
-                step = max(1, (stop - start) // 4)
         for word in words[start : min(start + step, stop)]:
             inside[word] -= 1
             if not inside[word]:

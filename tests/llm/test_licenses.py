@@ -73,3 +73,9 @@ def test_neighbouring_licenses_and_prose():
     }
     assert {t: [n for _, n in found([t])] for t in want} == want
     assert sorted(n for _, n in found([TEMPLATES["Apache-2.0 header"]])) == ["Apache-2.0 header", "Apache-2.0 notice"]
+
+
+def test_copies_that_follow_each_other():
+    for name in ("MIT notice", "GPL-3.0 notice", "MIT"):
+        for n in (2, 3, 5):
+            assert found(["the " + " ".join([TEMPLATES[name]] * n)]) == [(0, name)] * n
