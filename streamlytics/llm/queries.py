@@ -8,6 +8,7 @@ from streamlytics.llm import (  # noqa: F401
     license_query,
     mixing_query,
     near_dup_query,
+    packing_query,
     rare_features_query,
     sharding_query,
     toxicity_query,
