@@ -4,6 +4,7 @@ from streamlytics.llm import (  # noqa: F401
     additive_query,
     chat_query,
     decontaminate_query,
+    divergence_query,
     fim_query,
     license_query,
     mixing_query,
