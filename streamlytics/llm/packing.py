@@ -16,6 +16,7 @@ ASCII blanks and drops them, which ``splits_at_blanks`` checks; else whole texts
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +33,7 @@ LENGTH = 2048
 END = 1
 #: Characters that are cut into words at a time, and words whose ids a task remembers.
 SLICE_CHARS = 4 << 20
-REMEMBERED = 400_000  # and as many from before
+REMEMBERED = 200_000  # and as many from before
 #: Partitions, or blocks of them, that one window adds up.
 BLOCK = 1024
 
@@ -41,6 +42,8 @@ _BLANKS = r"[ \t\n\v\f\r]+"
 _CLASSES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: ASCII signs, without ' and those that special tokens begin and end with.
 _SIGNS = r"[!-&(-/:;=?@\[-`{}~]"
+#: Small Latin letters: one character each, in no other form.
+_simple = re.compile("[a-zß-öø-ÿ]+").fullmatch
 _ID = np.dtype("<u4")
 #: Stands between words that are encoded together; a token that no tokenizer has.
 _CUT = "\ue000cut\ue000"
@@ -69,7 +72,26 @@ def _splits_at_signs(definition: str) -> bool:
     cuts = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
     steps = (spec.get("normalizer") or {}).get("normalizers") or []
     lower = any(s["type"] == "Lowercase" for s in steps)
-    return lower and (cuts[0].get("pattern") or {}).get("Regex") == _CLASSES
+    own = (cuts[0].get("pattern") or {}).get("Regex") == _CLASSES
+    signs = len(cuts) == 2 and cuts[1].get("type") == "ByteLevel" and not cuts[1].get("use_regex")
+    return lower and own and signs and bool(spec["model"].get("end_of_word_suffix"))
+
+
+def _light(definition: str):
+    """The same merges without the steps that change nothing in a simple word, and per id whether it
+    ends a word, which tells where the ids of one word end."""
+    from tokenizers import Tokenizer
+
+    spec = json.loads(definition)
+    spec["normalizer"], spec["added_tokens"] = None, []
+    bytes_as_signs = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+    spec["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, bytes_as_signs]}
+    ends_word = np.zeros(max(spec["model"]["vocab"].values()) + 1, dtype=bool)
+    for token, at in spec["model"]["vocab"].items():
+        ends_word[at] = token.endswith(spec["model"]["end_of_word_suffix"])
+    tok = Tokenizer.from_str(json.dumps(spec))
+    tok.no_truncation(), tok.no_padding()
+    return tok, ends_word
 
 
 def _gather(flat: np.ndarray, sizes: np.ndarray, codes: np.ndarray, offsets: np.ndarray):
@@ -88,8 +110,7 @@ class WordIds:
     def __init__(self, definition: str):
         from tokenizers import AddedToken, Tokenizer
 
-        self.plain = Tokenizer.from_str(definition)
-        self.plain.no_truncation(), self.plain.no_padding()
+        self.definition, self.plain = definition, None
         self.tok = Tokenizer.from_str(definition)
         self.tok.no_truncation(), self.tok.no_padding()
         self.tok.add_special_tokens([AddedToken(_CUT, normalized=False)])
@@ -97,6 +118,8 @@ class WordIds:
         self.by_blanks = splits_at_blanks(definition)
         self.by_signs = self.by_blanks and _splits_at_signs(definition)
         self.added = [t["content"] for t in json.loads(definition)["added_tokens"]]
+        if self.by_signs:
+            self.light, self.ends_word = _light(definition)
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -115,18 +138,33 @@ class WordIds:
         return [self.known[w] for w in words]
 
     def learn(self, words: list[str]) -> None:
-        """One call for many words: a call costs more than a word. ``_CUT`` stands between them."""
+        """One call for many words: a call costs more than a word."""
+        if self.by_signs:
+            simple = [w for w in words if _simple(w)]
+            packed = np.array(self.light.encode(" ".join(simple), add_special_tokens=False).ids, dtype=_ID)
+            ends = np.flatnonzero(self.ends_word[packed]) + 1
+            self._keep(simple, packed, [0, *ends.tolist()], ends.tolist())
+            words = [w for w in words if w not in self.known]
         for word in words:
             if _CUT[0] in word:
                 self.known[word] = self.ids(word)
         words = [w for w in words if _CUT[0] not in w]
         packed = np.array(self.tok.encode(_CUT.join(words), add_special_tokens=False).ids, dtype=_ID)
-        cuts = [-1, *np.flatnonzero(packed == self.cut).tolist(), len(packed)]
+        cuts = np.flatnonzero(packed == self.cut)
+        self._keep(words, packed, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(packed)])
+
+    def _keep(self, words: list[str], packed: np.ndarray, begin: list[int], end: list[int]) -> None:
         data, size = packed.tobytes(), _ID.itemsize
-        for word, a, b in zip(words, cuts[:-1], cuts[1:], strict=False):
-            self.known[word] = data[(a + 1) * size : b * size]
+        for word, a, b in zip(words, begin, end, strict=False):
+            self.known[word] = data[a * size : b * size]
 
     def ids(self, text: str) -> bytes:
+        """The ids of a text as it is."""
+        if self.plain is None:
+            from tokenizers import Tokenizer
+
+            self.plain = Tokenizer.from_str(self.definition)
+            self.plain.no_truncation(), self.plain.no_padding()
         return np.array(self.plain.encode(text, add_special_tokens=False).ids, dtype=_ID).tobytes()
 
     def _rows(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -28,7 +28,7 @@ def plain(text):
 def test_word_by_word_is_the_tokenizer():
     rng = random.Random(3)
     pool = ["don't", "it's ", " 's", "\t", "\n\n", "\v", "\f", "\r\n", "\x1c", "\x85", " ", " ", " ", "İ", "Σ", "ΑΣ", "é", "é", "́",
-            " ́", "漢字", "😀", "12.5", "word,", "Word", "WORD.", "(word)", "a,b;C", "<|ENDOFTEXT|>", "x@y.z", "_a_", "5%", "[INST]", "`", "<|endoftext|>", "<|startoftext|> ", "a<|endoftext|>b", "...", "!?", "x" * 50, "\ue000cut\ue000", "\ue000cut", "\ue000", "ﬁ", "A", "\x00", "Å", "q̣̇", ""]
+            " ́", "漢字", "😀", "12.5", "word,", "Word", "WORD.", "(word)", "a,b;C", "<|ENDOFTEXT|>", "größe", "straße", "éè", "ÿ", "À", "ö̂", "words", "x@y.z", "_a_", "5%", "[INST]", "`", "<|endoftext|>", "<|startoftext|> ", "a<|endoftext|>b", "...", "!?", "x" * 50, "\ue000cut\ue000", "\ue000cut", "\ue000", "ﬁ", "A", "\x00", "Å", "q̣̇", ""]
     texts = ["", " ", *("".join(rng.choice(pool) + rng.choice(["", " "]) for _ in range(rng.randrange(40))) for _ in range(900))]
     words, tok = WordIds(DEFINITION), Tokenizer.from_str(DEFINITION)
     assert words.by_blanks
