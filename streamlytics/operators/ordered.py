@@ -1,10 +1,11 @@
 """Running values per key that do not need a whole key in one task.
 
 A plain ``Window.partitionBy(key)`` sends every row of a key to one task. Here the rows are
-first counted per key, which combines before the shuffle and returns one row. If no key is
-larger than the limit, the plain window is used. Otherwise the rows are range partitioned by
-(key, order), so a hot key spreads over many slices of even size; windows run inside a slice,
-and each slice gets what came before it from a table that has at most one row per slice.
+first counted per key, which combines before the shuffle. Rows of keys up to the limit take the
+plain window. Only rows of the keys beyond it, of which there are at most rows / limit, are range
+partitioned by (key, order) and written, so a hot key spreads over many slices of even size;
+windows run inside a slice, and each slice gets what came before it from a table that has at most
+one row per slice. Both parts are put together again by a union.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from streamlytics.operators.enrich import broadcast_if_few
 from streamlytics.session import max_group_rows, pin
 
 
@@ -70,30 +72,45 @@ class Slices:
 
 def slices(
     df: DataFrame, keys: list[str], order: list[str], limit: int | None = None
-) -> Slices:
+) -> list[Slices]:
+    """The rows of ordinary keys, and those of hot keys in slices if there are any."""
     spark = df.sparkSession
     limit = max_group_rows(spark) if limit is None else limit
-    largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    if largest <= limit:
-        return Slices(df, keys, order, False)
+    hot = pin(df.groupBy(*keys).count().where(F.col("count") > limit).select(*keys))
+    if hot.isEmpty():
+        return [Slices(df, keys, order, False)]
+    left, right = df.alias("l"), broadcast_if_few(hot).alias("r")
+    same = reduce(lambda a, b: a & b, [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys])
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spread = df.repartitionByRange(width, *keys, *order)
+    spread = left.join(right, same, "left_semi").repartitionByRange(width, *keys, *order)
     # Range borders come from a sample, so they are fixed by writing the sliced rows once.
-    return Slices(pin(spread.withColumn("_slice", F.spark_partition_id())), keys, order, True)
+    sliced = pin(spread.withColumn("_slice", F.spark_partition_id()))
+    return [
+        Slices(left.join(right, same, "left_anti"), keys, order, False),
+        Slices(sliced, keys, order, True),
+    ]
+
+
+def _each(df: DataFrame, keys: list[str], order: list[str], limit: int | None, fn) -> DataFrame:
+    """``fn`` of the ordinary and of the hot rows, together."""
+    return reduce(DataFrame.unionByName, [fn(s) for s in slices(df, keys, order, limit)])
 
 
 def running_count(
     df: DataFrame, keys: list[str], order: list[str], name: str = "rn", limit: int | None = None
 ) -> DataFrame:
     """Position of each row inside its key, from 1."""
-    s = slices(df, keys, order, limit)
-    within = F.row_number().over(s.window()).cast("bigint")
-    if not s.split:
-        return s.rows.withColumn(name, within)
-    rows = s.carry({"_n": F.count(F.lit(1))}, {"_n": F.sum("_n")})
-    return rows.withColumn(name, within + F.coalesce("_n", F.lit(0))).drop(
-        "_slice", "_n", "_carried"
-    )
+
+    def count(s: Slices) -> DataFrame:
+        within = F.row_number().over(s.window()).cast("bigint")
+        if not s.split:
+            return s.rows.withColumn(name, within)
+        rows = s.carry({"_n": F.count(F.lit(1))}, {"_n": F.sum("_n")})
+        return rows.withColumn(name, within + F.coalesce("_n", F.lit(0))).drop(
+            "_slice", "_n", "_carried"
+        )
+
+    return _each(df, keys, order, limit, count)
 
 
 def running_sum_first(
@@ -105,27 +122,30 @@ def running_sum_first(
     limit: int | None = None,
 ) -> DataFrame:
     """Rolling reduce: ``sums`` becomes its running total, ``firsts`` the key's first value."""
-    s = slices(df, keys, order, limit)
-    total, first = F.sum(sums).over(s.running()), F.first(firsts).over(s.running())
-    if not s.split:
-        rows = s.rows
-    else:
-        position = F.struct(*order)
-        rows = s.carry(
-            {"_sum": F.sum(sums), "_first": F.min_by(firsts, position)},
-            {"_sum": F.sum("_sum"), "_first": F.first("_first")},
-        )
-        # A sum is null only as long as no value was seen, in this slice or before it.
-        total = F.when(total.isNull(), F.col("_sum")).otherwise(
-            total + F.coalesce("_sum", F.lit(0))
+
+    def add(s: Slices) -> DataFrame:
+        total, first = F.sum(sums).over(s.running()), F.first(firsts).over(s.running())
+        if not s.split:
+            rows = s.rows
+        else:
+            position = F.struct(*order)
+            rows = s.carry(
+                {"_sum": F.sum(sums), "_first": F.min_by(firsts, position)},
+                {"_sum": F.sum("_sum"), "_first": F.first("_first")},
+            )
+            # A sum is null only as long as no value was seen, in this slice or before it.
+            total = F.when(total.isNull(), F.col("_sum")).otherwise(
+                total + F.coalesce("_sum", F.lit(0))
+            )
+            first = F.when(F.col("_carried"), F.col("_first")).otherwise(first)
+        return rows.withColumns({"_t": total, "_f": first}).select(
+            *[
+                F.col("_t").alias(c) if c == sums else F.col("_f").alias(c) if c == firsts else c
+                for c in df.columns
+            ]
         )
-        first = F.when(F.col("_carried"), F.col("_first")).otherwise(first)
-    return rows.withColumns({"_t": total, "_f": first}).select(
-        *[
-            F.col("_t").alias(c) if c == sums else F.col("_f").alias(c) if c == firsts else c
-            for c in df.columns
-        ]
-    )
+
+    return _each(df, keys, order, limit, add)
 
 
 def previous_value(
@@ -137,12 +157,16 @@ def previous_value(
     limit: int | None = None,
 ) -> DataFrame:
     """The value of the row before, inside the key; null for the first row."""
-    s = slices(df, keys, order, limit)
-    before = F.lag(value).over(s.window())
-    if not s.split:
-        return s.rows.withColumn(name, before)
-    rows = s.carry({"_last": F.max_by(value, F.struct(*order))}, {"_last": F.last("_last")})
-    first_of_slice = F.row_number().over(s.window()) == 1
-    return rows.withColumn(name, F.when(first_of_slice, F.col("_last")).otherwise(before)).drop(
-        "_slice", "_last", "_carried"
-    )
+
+    def look_back(s: Slices) -> DataFrame:
+        before = F.lag(value).over(s.window())
+        if not s.split:
+            return s.rows.withColumn(name, before)
+        rows = s.carry(
+            {"_last": F.max_by(value, F.struct(*order))}, {"_last": F.last("_last")}
+        )
+        first_of_slice = F.row_number().over(s.window()) == 1
+        carried = F.when(first_of_slice, F.col("_last")).otherwise(before)
+        return rows.withColumn(name, carried).drop("_slice", "_last", "_carried")
+
+    return _each(df, keys, order, limit, look_back)

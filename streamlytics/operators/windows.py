@@ -1,6 +1,6 @@
-"""Event-time windows. The ``window_*`` forms take batch and streaming frames alike; the
-``paned_*`` and ``sessions`` forms are for batch and cut the rows down before they multiply
-or move them."""
+"""Event-time windows. The ``window_*`` forms take batch and streaming frames alike;
+``paned_aggregate`` and ``sessions`` are for batch, ``paned_stream`` for streams, and cut the rows
+down before they multiply or move them."""
 
 from __future__ import annotations
 
@@ -40,6 +40,27 @@ def bounds(df: DataFrame) -> DataFrame:
     )
 
 
+def paned_stream(
+    df: DataFrame,
+    keys: list[str],
+    partial: dict[str, Column],
+    merge: dict[str, Column],
+    size: str,
+    slide: str,
+) -> DataFrame:
+    """``paned_aggregate`` for an append-mode stream: two chained stateful aggregates.
+
+    The first counts each row once, into its pane of one slide. A pane that the watermark has passed
+    goes on, by the time of its window, into the size/slide windows of the second aggregate; the same
+    watermark then closes those. A row that comes after its pane has closed is late.
+    """
+    if duration_ms(size) % duration_ms(slide):
+        raise ValueError("the window size must be a multiple of the slide")
+    panes = window_aggregate(df, keys, [c.alias(n) for n, c in partial.items()], slide)
+    panes = panes.select(F.window_time("window").alias("ts"), *keys, *partial)
+    return window_aggregate(panes, keys, [c.alias(n) for n, c in merge.items()], size, slide)
+
+
 def paned_aggregate(
     df: DataFrame,
     keys: list[str],

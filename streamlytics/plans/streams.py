@@ -125,9 +125,9 @@ def session_sum_stream(spark, d):
 def _item_counts(spark, d):
     views = v.shape_behavior(replayed(spark, d, close=True).where("event_type = 'view'"))
     views = views.where("behavior = 'pv'")
-    n = F.count(F.lit(1)).alias("count")
-    return w.window_aggregate(
-        views.withWatermark("ts", "0 seconds"), ["itemId"], [n], "1 hour", "5 minutes"
+    count, total = {"count": F.count(F.lit(1))}, {"count": F.sum("count")}
+    return w.paned_stream(
+        views.withWatermark("ts", "0 seconds"), ["itemId"], count, total, "1 hour", "5 minutes"
     ).select("itemId", F.unix_millis(F.col("window.end")).alias("windowEnd"), "count")
 
 
@@ -138,8 +138,8 @@ def sliding_item_count_stream(spark, d):
 
 @query("hot_items_stream", TOP_SQL, "ev user_behavior")
 def hot_items_stream(spark, d):
-    """A window's counts leave the aggregate in one batch, when the watermark passes it, so
-    ranking each batch ranks whole windows."""
+    """A window's counts leave the second aggregate in one batch, when the watermark passes it, so
+    ranking each batch ranks whole windows; every task sends on at most three rows of a window."""
     table = KeyedTable(
         spark, scratch(spark, "hot"), ["windowEnd", "rank"],
         "windowEnd bigint, rank int, itemId bigint, count bigint", keep_all,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamlytics.session import scratch
@@ -57,9 +57,10 @@ def replay(
     """A streaming frame that delivers one slice of ``df`` per micro-batch.
 
     The file source takes files by modification time, so slices are written one after the
-    other. Every slice is spread over the same number of files, written in parallel, and a
-    trigger takes exactly that many. ``order`` replays the slices in another sequence;
-    ``closing`` is delivered after all of them (see ``closing_rows``).
+    other and their files are then given times a second apart. A trigger takes a fixed number of
+    files; a slice that got fewer is filled up with empty ones, so no trigger ever takes rows of
+    two slices. ``order`` replays the slices in another sequence; ``closing`` is delivered after
+    all of them (see ``closing_rows``).
     """
     spark = df.sparkSession
     path = path or scratch(spark, "replay")
@@ -68,13 +69,48 @@ def replay(
     counts = {r["_slice"]: r["count"] for r in numbered.groupBy("_slice").count().collect()}
     width = files_per_slice or int(spark.conf.get("spark.sql.shuffle.partitions"))
     width = max(1, min([width, *counts.values()]))
-    for n in order or sorted(counts):
-        if n in counts:
-            part = numbered.where(F.col("_slice") == n).drop("_slice")
-            part.repartition(width).write.mode("append").parquet(path)
-            time.sleep(0.02)
+    parts = [
+        numbered.where(F.col("_slice") == n).drop("_slice").repartition(width)
+        for n in order or sorted(counts)
+        if n in counts
+    ]
     if closing is not None:
-        closing.select(*df.columns).coalesce(1).write.mode("append").parquet(path)
+        parts.append(closing.select(*df.columns).coalesce(1))
+    folder = _Folder(spark, path)
+    for at, part in enumerate(parts):
+        folder.add(part, width, last=at == len(parts) - 1)
     return (
         spark.readStream.schema(df.schema).option("maxFilesPerTrigger", width).parquet(path)
     )
+
+
+class _Folder:
+    """Files of a replay, in the order in which they are to be delivered."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.path = spark._jvm.org.apache.hadoop.fs.Path(path)
+        self.fs = self.path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        self.fs.mkdirs(self.path)
+        self.known = set(self._files())
+        # In the past, so that no time is still to come when the stream starts.
+        self.time = int(time.time()) * 1000 - DAY_US // 1000
+
+    def _files(self) -> list[str]:
+        names = [f.getPath().getName() for f in self.fs.listStatus(self.path)]
+        return sorted(n for n in names if n[0] not in "_.")
+
+    def add(self, part: DataFrame, width: int, last: bool) -> None:
+        """Exactly ``width`` files: a partition without rows writes none. The last part may have
+        fewer, as the last trigger takes what is left."""
+        target = self.path.toString()
+        part.write.mode("append").parquet(target)
+        new = [n for n in self._files() if n not in self.known]
+        for _ in range(0 if last else width - len(new)):
+            part.limit(0).coalesce(1).write.mode("append").parquet(target)
+        new = [n for n in self._files() if n not in self.known]
+        if not last and len(new) != width:
+            raise RuntimeError(f"a slice of the replay has {len(new)} files instead of {width}")
+        self.time += 1000
+        for name in new:
+            self.fs.setTimes(self.path.suffix(f"/{name}"), self.time, -1)
+        self.known.update(new)

@@ -39,6 +39,16 @@ def test_running_count(skewed, limit):
     assert rows(got) == rows(want)
 
 
+def test_only_hot_rows_are_sliced(skewed):
+    cold, hot = ordered.slices(skewed, ["key"], ORDER, limit=1000)
+    assert {r.key for r in hot.rows.select("key").distinct().collect()} == {"hot"} and hot.split
+    assert not cold.split and cold.rows.where("key = 'hot'").count() == 0
+    assert cold.rows.count() + hot.rows.count() == skewed.count()
+    assert hot.rows.select("_slice").distinct().count() > 1
+    (whole,) = ordered.slices(skewed, ["key"], ORDER, limit=10**9)
+    assert whole.rows is skewed and not whole.split
+
+
 @pytest.mark.parametrize("limit", [10, 10**9])
 def test_previous_value(skewed, limit):
     got = ordered.previous_value(skewed, ["key"], ORDER, "v", "p", limit=limit)
@@ -78,12 +88,12 @@ def test_nulls_give_the_same_sliced_or_not(spark, values, key):
         # As text, so that NaN equals itself.
         return [[repr(r) for r in rows(x)] for x in (sums, firsts, before, count)]
 
-    assert ordered.slices(df, ["key"], ORDER, 1).split
+    assert ordered.slices(df, ["key"], ORDER, 1)[-1].split
     assert all_of(1) == all_of(10**9)
 
 
 def test_a_hot_key_is_spread(skewed):
-    s = ordered.slices(skewed, ["key"], ORDER, limit=10)
+    s = ordered.slices(skewed, ["key"], ORDER, limit=10)[-1]
     per_slice = [r["count"] for r in s.rows.groupBy("_slice").count().collect()]
     assert s.split and len(per_slice) == 4
     assert max(per_slice) < 1.5 * 3002 / 4
