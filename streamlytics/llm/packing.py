@@ -32,8 +32,8 @@ from streamlytics.operators.enrich import broadcast_if_few
 LENGTH = 2048
 END = 1
 #: Characters that are cut into words at a time, and words whose ids a task remembers.
-SLICE_CHARS = 4 << 20
-REMEMBERED = 200_000  # and as many from before
+SLICE_CHARS = 2 << 20
+REMEMBERED = 120_000  # and as many from before
 #: Partitions, or blocks of them, that one window adds up.
 BLOCK = 1024
 
@@ -242,6 +242,8 @@ def tokenised(docs: DataFrame, definition: str, end: int = END) -> DataFrame:
                     names=["doc_id", "ids", "n", "part", "before"],
                 )
                 total = int(after[-1])
+                # The pool keeps what the kernels used for a slice, beside the words remembered.
+                pa.default_memory_pool().release_unused()
 
     return written(rows.mapInArrow(run, schema), "packing-ids")
 
