@@ -27,8 +27,13 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return host, F.regexp_extract(rest, parts, 2)
 
 
+def _joined(host: Column, path: Column) -> Column:
+    """One text per pair of host and path: the length tells a.co + m/ from a.com + /."""
+    return F.concat(F.length(host).cast("string"), F.lit(":"), host, path)
+
+
 def _expressions(lengths: list[int]) -> Column:
-    """Host suffixes times path prefixes, as one array of strings."""
+    """Host suffixes times path prefixes, as one array of strings that say where the host ends."""
     labels = F.split("host", r"\.")
     suffixes = F.transform(
         F.sequence(F.lit(1), F.size(labels)),
@@ -38,7 +43,7 @@ def _expressions(lengths: list[int]) -> Column:
         F.filter(F.array(*map(F.lit, lengths)), lambda n: n <= F.length("path")),
         lambda n: F.substring(F.col("path"), F.lit(1), n),
     )
-    return F.flatten(F.transform(suffixes, lambda s: F.transform(prefixes, lambda p: F.concat(s, p))))
+    return F.flatten(F.transform(suffixes, lambda s: F.transform(prefixes, lambda p: _joined(s, p))))
 
 
 def judge_urls(
@@ -57,14 +62,15 @@ def judge_urls(
     own = [c for c in pages.columns if c not in added]
     known = rules.where("host <> ''").select(
         F.concat("host", F.coalesce("path", F.lit(""))).alias("rule"),
+        _joined(F.col("host"), F.coalesce("path", F.lit(""))).alias("joined"),
         F.length(F.coalesce("path", F.lit(""))).alias("n_path"),
         "action",
     )
     # As many as rule paths have lengths, however many rules there are.
     lengths = sorted(r[0] for r in known.select("n_path").distinct().collect())
     known = known.select(
-        F.sha2("rule", 256).alias("digest"),
-        F.substring(F.sha2("rule", 256), 1, SHORT_HEX).alias("short"),
+        F.sha2("joined", 256).alias("digest"),
+        F.substring(F.sha2("joined", 256), 1, SHORT_HEX).alias("short"),
         F.struct(F.length("rule").alias("size"), "action", "rule").alias("hit"),
     )
     rows = pages.select(

@@ -38,3 +38,10 @@ def test_empty_tables(spark, rules):
     pages = spark.createDataFrame([(1, "http://a.net/")], "page_id bigint, url string")
     assert judge_urls(pages.limit(0), rules).count() == 0
     assert [r.verdict for r in judge_urls(pages, rules.limit(0), default="block").collect()] == ["block"]
+
+
+def test_host_and_path_do_not_run_together(spark):
+    pages = spark.createDataFrame([(1, "http://a.com/"), (2, "http://a.com/zz"), (3, "http://a.co/x")], "page_id int, url string")
+    rules = spark.createDataFrame([("a.co", "m/", "block"), ("a.co", "/x", "block")], "host string, path string, action string")
+    got = {r.page_id: (r.verdict, r.rule) for r in judge_urls(pages, rules).collect()}
+    assert got == {1: ("allow", None), 2: ("allow", None), 3: ("block", "a.co/x")}
