@@ -3,7 +3,8 @@
 Only words that occur in some license template are kept of a text, with their places. A template
 is looked for where enough of its distinct words lie close together; that stretch is aligned with
 the template by patience: words that are unique on both sides are anchors, the longest increasing
-run of anchors is kept, and the gaps between them are aligned the same way. Coverage is the share
+run of anchors is kept, and the gaps between them are aligned the same way; a small gap without an
+anchor gives its longest common run of words. Coverage is the share
 of template words that were aligned. A hit needs all words that tell its license from others, no
 word of another variant in between, and few other words; of rivals for one place the best stays.
 """
@@ -26,6 +27,8 @@ from streamlytics.llm.words import batched, word_places
 COVERAGE = 0.8
 #: A template may be stretched over this many times its words.
 STRETCH = 1.5
+#: A gap without anchors is aligned word by word up to this product of its two lengths.
+GAP_CELLS = 1024
 
 # Notices and texts of public licenses.
 TEMPLATES = {
@@ -56,6 +59,28 @@ TEMPLATES = {
         conditions and the following disclaimer. Redistributions in binary form must reproduce the
         above copyright notice, this list of conditions and the following disclaimer in the
         documentation and/or other materials provided with the distribution.""",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without
+        modification, are permitted provided that the following conditions are met:
+        Redistributions of source code must retain the above copyright notice, this list of
+        conditions and the following disclaimer. Redistributions in binary form must reproduce the
+        above copyright notice, this list of conditions and the following disclaimer in the
+        documentation and/or other materials provided with the distribution. Neither the name of
+        the copyright holder nor the names of its contributors may be used to endorse or promote
+        products derived from this software without specific prior written permission.""",
+    "Unlicense": """This is free and unencumbered software released into the public domain. Anyone is
+        free to copy, modify, publish, use, compile, sell, or distribute this software, either in
+        source code form or as a compiled binary, for any purpose, commercial or non-commercial,
+        and by any means.""",
+    "BSL-1.0": """Permission is hereby granted, free of charge, to any person or organization
+        obtaining a copy of the software and accompanying documentation covered by this license
+        (the "Software") to use, reproduce, display, distribute, execute, and transmit the
+        Software, and to prepare derivative works of the Software, and to permit third-parties to
+        whom the Software is furnished to do so, all subject to the following:""",
+    "Zlib": """This software is provided 'as-is', without any express or implied warranty. In no event
+        will the authors be held liable for any damages arising from the use of this software.
+        Permission is granted to anyone to use this software for any purpose, including commercial
+        applications, and to alter it and redistribute it freely, subject to the following
+        restrictions:""",
     "GPL-3.0 header": """This program is free software: you can redistribute it and/or modify it
         under the terms of the GNU General Public License as published by the Free Software
         Foundation, either version 3 of the License, or (at your option) any later version.""",
@@ -117,6 +142,24 @@ def _increasing(values: list[int]) -> list[int]:
     return run[::-1]
 
 
+def _common(a: list, b: list) -> list[tuple[int, int]]:
+    """Places of a longest common subsequence."""
+    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i in range(len(a) - 1, -1, -1):
+        for j in range(len(b) - 1, -1, -1):
+            best[i][j] = best[i + 1][j + 1] + 1 if a[i] == b[j] else max(best[i + 1][j], best[i][j + 1])
+    pairs, i, j = [], 0, 0
+    while i < len(a) and j < len(b):
+        if a[i] == b[j]:
+            pairs.append((i, j))
+            i, j = i + 1, j + 1
+        elif best[i + 1][j] >= best[i][j + 1]:
+            i += 1
+        else:
+            j += 1
+    return pairs
+
+
 def patience(a: list, b: list) -> list[tuple[int, int]]:
     """Aligned places of two word lists, increasing on both sides."""
     found: list[tuple[int, int]] = []
@@ -142,6 +185,8 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
             todo += [
                 (i + 1, i2, j + 1, j2) for (i, j), (i2, j2) in zip(edges, edges[1:], strict=False)
             ]
+        elif (a1 - a0) * (b1 - b0) <= GAP_CELLS:
+            found += [(a0 + i, b0 + j) for i, j in _common(a[a0:a1], b[b0:b1])]
     return sorted(found)
 
 
@@ -159,6 +204,7 @@ class Templates:
         for k, words in enumerate(self.words):
             self.holds[k, np.searchsorted(self.vocabulary, words)] = True
         self.distinct = self.holds.sum(axis=1)
+        self.lengths = counts
         telling, variants = (word_places([" ".join(w).encode()])[0].tolist() for w in (TELLING, VARIANTS))
         self.telling = [set(words) & set(telling) for words in self.words]
         self.foreign = [set(variants) - set(words) for words in self.words]
@@ -222,10 +268,14 @@ def _found(
         stop = max(start, stop)
 
 
-def _best(hits: list[tuple[int, int, int, float, float]]) -> Iterator[tuple[int, int, int, float]]:
+def _best(
+    hits: list[tuple[int, int, int, float, tuple[int, float]]],
+) -> Iterator[tuple[int, int, int, float]]:
     """(template, first, last, coverage) of hits that no better one of another template rivals.
 
-    Rivals share more than half of the longer stretch, so a notice inside a header is none.
+    Rivals share more than half of the longer stretch, so a notice inside a header is none. The one
+    with more aligned words is better, then the one with the higher score; where both are equal,
+    both stay.
     """
     hits = sorted(hits, key=lambda h: h[1:3])
     beaten = set()
@@ -254,8 +304,9 @@ def scan(texts, templates: Templates, coverage: float = COVERAGE) -> Iterator[tu
         own, ids = owner[kept], place[kept]
         present = np.zeros((len(batch), len(vocab)), dtype=bool)
         present[own, ids] = True
-        # A stretch cannot hold more distinct template words than its text does.
-        need = np.ceil(coverage * templates.distinct * 0.999).astype(int)
+        # Each aligned word that may be missing takes at most one distinct word with it.
+        missing = np.floor((1 - coverage) * templates.lengths + 1e-9)
+        need = np.maximum(1, templates.distinct - missing).astype(int)
         enough = present.astype(np.int32) @ templates.holds.T.astype(np.int32) >= need
         hits: dict[int, list] = {}
         for text, k in np.argwhere(enough):
@@ -269,7 +320,8 @@ def scan(texts, templates: Templates, coverage: float = COVERAGE) -> Iterator[tu
                 inner = hashes[begin + first : begin + last + 1].tolist()
                 if templates.foreign[k].isdisjoint(inner):
                     score = 2 * share * len(wanted) / (len(wanted) + len(inner))
-                    hits.setdefault(int(text), []).append((int(k), first, last, share, score))
+                    rated = (round(share * len(wanted)), score)
+                    hits.setdefault(int(text), []).append((int(k), first, last, share, rated))
         for text, own_hits in hits.items():
             for k, first, last, share in _best(own_hits):
                 yield at + text, templates.names[k], first, last, share
