@@ -24,6 +24,9 @@ from pyspark.sql import functions as F
 from streamlytics.llm.common import WORD, written
 from streamlytics.operators.ordered import running_count
 
+#: Most elements of one array that repeats a row.
+RUN = 1 << 16
+
 WEIGHTS = (1, 2, 3)
 MOST_COPIES = 3
 FAN_IN = 256
@@ -182,17 +185,8 @@ def _rounded(split: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionAll, parts)
 
 
-def copies(
-    docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES
-) -> DataFrame:
-    """How often the mix takes each document.
-
-    Columns: doc_id, text_key, source, n_rows, size, source_size, target, copies. Rows with the
-    same doc_id, text and source are one unit of ``n_rows`` rows, each of which is taken
-    ``copies`` times. A null text has size 0; a document without words is taken 0 times if its
-    fraction is not whole, and counts for nothing; a null source is a source of its own, the
-    last; an empty table gives no rows; other columns are ignored.
-    """
+def _plan(docs: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
+    """Per unit of ``n_rows`` equal rows: each is taken ``whole`` times, ``more`` of them once more."""
     rows = docs.select(
         "doc_id",
         "source",
@@ -209,16 +203,18 @@ def copies(
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     # A rate a hair under a whole number is that number.
     whole = F.least(F.floor(rate + 1e-9), F.lit(most))
-    mass = F.col("size") * F.col("n_rows")
+    # Of n equal rows, the whole part of n * part is certain; one row carries the rest.
+    due = F.greatest(rate - whole, F.lit(0.0)) * F.col("n_rows")
+    certain = F.least(F.floor(due + 1e-9), F.col("n_rows"))
     rank = reduce(
-        lambda found, k: F.when(mass > F.col("target") * CLASSES[k], k).otherwise(found),
+        lambda found, k: F.when(F.col("size") > F.col("target") * CLASSES[k], k).otherwise(found),
         reversed(range(len(CLASSES))),
         F.lit(len(CLASSES)),
     )
     same = F.col("u.source").eqNullSafe(F.col("s.source"))
     split = units.alias("u").join(targets.alias("s"), same).select(
-        "u.*", "source_size", "target", whole.alias("whole"), mass.alias("mass"), rank.alias("rank"),
-        F.greatest(rate - whole, F.lit(0.0)).alias("part"),
+        "u.*", "source_size", "target", whole.alias("whole"), F.col("size").alias("mass"), rank.alias("rank"),
+        certain.cast("bigint").alias("certain"), F.greatest(due - certain, F.lit(0.0)).alias("part"),
     )
     extra = _rounded(split.where((F.col("part") > 1e-9) & (F.col("mass") > 0)))
     same = (
@@ -227,30 +223,75 @@ def copies(
         & (F.col("a.text_key") == F.col("b.text_key"))
     )
     return split.alias("a").join(extra.alias("b"), same, "left").select(
-        "a.doc_id", "a.text_key", "a.source", "n_rows", "size", "source_size", "target",
-        (F.col("whole") + F.coalesce("extra", F.lit(0))).alias("copies"),
+        "a.doc_id", "a.text_key", "a.source", "n_rows", "size", "source_size", "target", "whole",
+        (F.col("certain") + F.coalesce("extra", F.lit(0))).alias("more"),
     )
 
 
+def copies(
+    docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES
+) -> DataFrame:
+    """How often the mix takes each document.
+
+    Columns: doc_id, text_key, source, n_rows, size, source_size, target, copies: ``n_rows`` rows
+    with this doc_id, text and source are taken ``copies`` times each. Of rows that repeat all
+    three, as many as their rate says for certain are taken once more than the others, and only
+    what is left of one row is rounded; such rows give two results, one for each number of
+    copies. A null text has size 0; a document without words is taken 0 times if its
+    fraction is not whole, and counts for nothing; a null source is a source of its own, the
+    last; an empty table gives no rows; other columns are ignored.
+    """
+    groups = F.array(
+        F.struct(F.col("more").alias("n_rows"), (F.col("whole") + 1).alias("copies")),
+        F.struct((F.col("n_rows") - F.col("more")).alias("n_rows"), F.col("whole").alias("copies")),
+    )
+    parts = _plan(docs, weights, most).withColumn(
+        "part", F.explode(F.filter(groups, lambda g: g["n_rows"] > 0))
+    )
+    return parts.select(
+        "doc_id", "text_key", "source", "part.n_rows", "size", "source_size", "target", "part.copies"
+    )
+
+
 def mix_report(docs: DataFrame, **options) -> DataFrame:
     """Per row of ``docs``: doc_id, size, source_size, target, taken (its words in the mix)."""
     taken = (F.col("size") * F.col("copies")).alias("taken")
-    rows = copies(docs, **options).withColumn(
-        "row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n_rows")))
+    # In runs, so that no array grows with the number of equal rows.
+    runs = copies(docs, **options).withColumn(
+        "run", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(n_rows - 1) div {RUN}")))
     )
+    here = F.least(F.lit(RUN).cast("bigint"), F.col("n_rows") - F.col("run") * RUN)
+    rows = runs.withColumn("row", F.explode(F.sequence(F.lit(1).cast("bigint"), here)))
     return rows.select("doc_id", "size", "source_size", "target", taken)
 
 
-def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: each row of ``docs`` as often as it is taken, with the same columns."""
-    plan = copies(docs, **options).where("copies > 0")
-    texts = docs.withColumn("text_key", F.xxhash64("text"))
-    same = (
-        F.col("p.source").eqNullSafe(F.col("d.source"))
-        & F.col("p.doc_id").eqNullSafe(F.col("d.doc_id"))
-        & (F.col("p.text_key") == F.col("d.text_key"))
-    )
-    kept = texts.alias("d").join(plan.alias("p"), same)
-    kept = kept.select(*[F.col(f"d.{c}").alias(c) for c in docs.columns], F.col("p.copies"))
+def mixed(
+    docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES
+) -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as it is taken, with the same columns.
+
+    Own columns may have any names. Where only some of the rows with one doc_id, text and source
+    are taken once more, these are the first by a hash of the whole row.
+    """
+    unit = ["source", "doc_id", "text_key"]
+    plan = written(_plan(docs, weights, most).where("whole > 0 OR more > 0"), "mixing-plan")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    texts = docs.select(row, "source", "doc_id", F.xxhash64("text").alias("text_key"))
+    same = reduce(lambda a, b: a & b, [F.col(f"d.{c}").eqNullSafe(F.col(f"p.{c}")) for c in unit])
+    uneven = (F.col("more") > 0) & (F.col("more") < F.col("n_rows"))
+
+    def taken(units: DataFrame, *more: str) -> DataFrame:
+        return texts.alias("d").join(units.alias("p"), same).select("d.row", *more, "whole", "more")
+
+    each = F.col("whole") + (F.col("more") > 0).cast("bigint")
+    kept = taken(plan.where(~uneven)).select("row", each.alias("copies"))
+    some = plan.where(uneven)
+    if not some.isEmpty():
+        rows = taken(some, *[f"d.{c}" for c in unit])
+        # Equal rows may swap their places, so any order among them will do.
+        rows = rows.withColumns({"by": F.xxhash64("row"), "tie": F.monotonically_increasing_id()})
+        rows = running_count(rows, unit, ["by", "tie"])
+        each = F.col("whole") + (F.col("rn") <= F.col("more")).cast("bigint")
+        kept = kept.unionAll(rows.select("row", each.alias("copies")).where("copies > 0"))
     repeat = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))
-    return kept.select(*docs.columns, repeat.alias("copy")).drop("copy")
+    return kept.select("row", repeat.alias("copy")).select("row.*")

@@ -71,3 +71,27 @@ def test_awkward_rows(spark):
     taken = sum(r.taken for r in rows)
     assert out.select(F.sum(F.regexp_count("text", F.lit(WORD)))).first()[0] == taken
     assert mix_report(nasty.empty(spark)).count() == 0 and mixed(nasty.empty(spark)).count() == 0
+
+
+def test_equal_rows_are_rounded_one_by_one(spark):
+    """A source of one row, 400 times, is taken within one row of its target."""
+    rows = [(1, "ten words of text that say the same each time", "a", i) for i in range(400)]
+    rows += [(2 + i, "w " * 10, "b", 0) for i in range(267)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, extra int")
+    report = [r for r in mix_report(docs).collect() if r.doc_id == 1]
+    assert len(report) == 400
+    assert abs(sum(r.taken for r in report) - report[0].target) <= report[0]["size"]
+    out = mixed(docs).where("doc_id = 1").collect()
+    assert len(out) * report[0]["size"] == sum(r.taken for r in report)
+    # Every row is taken as often as the rate says, rounded down or up.
+    rate = report[0].target / (400 * report[0]["size"])
+    per = [sum(r.extra == i for r in out) for i in range(400)]
+    assert set(per) <= {int(rate), int(rate) + 1}
+
+
+def test_own_columns_keep_their_names_and_values(spark):
+    names = ["copy", "copies", "text_key", "row", "whole", "more", "rn", "n_rows", "a.b"]
+    docs = nasty.docs(spark).withColumns({n: F.col("rank") for n in names if n != "a.b"}).withColumn("a.b", F.col("rank"))
+    out = mixed(docs)
+    assert out.columns == docs.columns
+    assert all(r[n] == r["rank"] for r in out.collect() for n in names)
