@@ -332,7 +332,7 @@ def without_near_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` with one row left of each component, all columns as they were.
 
     The row with the least doc_id stays (a null id last, then the least text hash), also where
-    rows repeat a doc_id. Documents without words are linked with nothing and all stay.
+    rows repeat a doc_id. Own columns may have any names. Documents without words are linked with nothing and all stay.
     """
     rows = judged(docs)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key"))
@@ -345,10 +345,11 @@ def without_near_duplicates(docs: DataFrame) -> DataFrame:
     )
     blank = rows.where("root IS NULL").select("doc_id", "text_key").distinct()
     once = winners.where("n_rows = 1").select("doc_id", "text_key").union(blank)
-    texts = docs.withColumn("text_key", F.xxhash64("text"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    texts = docs.select(row, "doc_id", F.xxhash64("text").alias("text_key"))
     stay = texts.alias("t").join(once.alias("w"), _same_text(), "left_semi")
     again = winners.where("n_rows > 1")
     if not again.isEmpty():
         repeated = texts.alias("t").join(again.alias("w"), _same_text(), "left_semi")
         stay = stay.union(repeated.dropDuplicates(["doc_id", "text_key"]))
-    return stay.select(*docs.columns)
+    return stay.select("row.*")

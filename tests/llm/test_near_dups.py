@@ -2,6 +2,7 @@ import random
 
 import nasty
 import numpy as np
+from pyspark.sql import functions as F
 
 from streamlytics.llm import chosen_path
 from streamlytics.llm.chosen_path import linked, near_duplicates, without_near_duplicates
@@ -131,3 +132,11 @@ def test_components_of_a_long_chain(spark):
     df = spark.createDataFrame(pairs, "u bigint, v bigint")
     roots = {r.node: r.root for r in components(df).collect()}
     assert roots == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
+
+
+def test_own_columns_keep_their_names_and_values(spark):
+    names = ["text_key", "row", "root", "n_rows", "cls"]
+    docs = nasty.docs(spark).withColumns({n: F.col("rank") for n in names})
+    out = without_near_duplicates(docs)
+    assert out.columns == docs.columns
+    assert all(r[n] == r["rank"] for r in out.collect() for n in names)
