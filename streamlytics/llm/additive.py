@@ -242,11 +242,12 @@ def fit(x: np.ndarray, y: np.ndarray) -> AdditiveModel:
 
 def _feature_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        yield pd.DataFrame({"label": pdf["label"], "x": list(text_features(pdf["text"]))})
+        x = list(text_features(pdf["text"]))
+        yield pd.DataFrame({"doc_id": pdf["doc_id"], "text_key": pdf["text_key"], "label": pdf["label"], "x": x})
 
 
 def sampled(docs: DataFrame, labels: DataFrame, label: str, sample: int = SAMPLE) -> DataFrame:
-    """(text, label) of at most ``sample`` labelled documents, by a hash of their id."""
+    """(doc_id, text_key, text, label) of the documents of ``sample`` labels at most, by a hash of their id."""
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
     chosen = (
         known.select("doc_id", F.col(label).cast("double").alias("label"))
@@ -254,13 +255,17 @@ def sampled(docs: DataFrame, labels: DataFrame, label: str, sample: int = SAMPLE
         .limit(sample)
     )
     # At most ``sample`` rows of two numbers.
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "label")
+    texts = docs.select(F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("text_key"), "text")
+    return texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text_key", "text", "label")
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE) -> AdditiveModel:
+    """The model of at most ``sample`` rows. Rows that repeat a doc_id count towards that bound."""
     rows = sampled(docs, labels, label, sample).mapInPandas(
-        _feature_rows, "label double, x array<double>"
+        _feature_rows, "doc_id bigint, text_key bigint, label double, x array<double>"
     )
+    # An id may be repeated by any number of rows, so the bound is put on rows once more.
+    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "text_key", "label").limit(sample)
     # Some 20 numbers per sampled document; sorted, so that sums are added in one order.
     found = sorted((list(r["x"]), r["label"]) for r in rows.collect())
     x = np.array([f for f, _ in found]).reshape(-1, len(FEATURES))

@@ -190,14 +190,23 @@ def sampled_labels(labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     return known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
 
 
-def train(labelled: DataFrame, categories: list[str]) -> Chain:
+def train(labelled: DataFrame, categories: list[str], sample: int = SAMPLE) -> Chain:
     """Fit the chain. ``labelled`` has doc_id, text and a 0/1 column per category, in chain order.
 
-    It is a bounded sample (see ``sampled_labels``): a few numbers of each row reach the driver.
+    It is a bounded sample (see ``sampled_labels``): a few numbers of each row reach the driver. Where
+    rows that repeat a doc_id make it more than ``sample`` rows, rows equal in doc_id and text count
+    once, and at most ``sample`` stay, by a hash of both.
     """
     rows = labelled.select("doc_id", "text", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in categories])
     rows = rows.withColumn("any", F.greatest(*categories) if len(categories) > 1 else F.col(categories[0]))
-    rows = written(rows, "toxicity-sample")
+    rows = written(rows.withColumn("text_key", F.xxhash64("text")), "toxicity-sample")
+    if rows.count() > sample:
+        pair = ["doc_id", "text_key"]
+        kept = rows.select(*pair).distinct().orderBy(F.xxhash64(*pair), *pair).limit(sample)
+        same = F.col("r.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("r.text_key") == F.col("k.text_key"))
+        # At most ``sample`` rows of two numbers.
+        rows = rows.alias("r").join(F.broadcast(kept).alias("k"), same, "left_semi").dropDuplicates(pair)
+        rows = written(rows, "toxicity-sample")
     vocabulary = choose_terms(rows)
 
     def collect(batches):

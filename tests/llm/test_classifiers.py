@@ -82,3 +82,15 @@ def test_toxicity_of_awkward_rows(spark):
     assert {r.p_bad for r in toxicity.judged(docs, none).collect()} == {0.5}
     assert toxicity.judged(nasty.empty(spark), chain).count() == 0
     assert toxicity.without_toxic(docs, chain).columns == docs.columns
+
+
+def test_repeated_numbers_count_towards_the_sample(spark, monkeypatch):
+    """One doc_id under many rows does not bring more rows to the driver than the bound says."""
+    docs = spark.range(300).select(F.lit(1).cast("bigint").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id bigint, quality int")
+    seen = []
+    monkeypatch.setattr(additive, "fit", lambda x, y: seen.append(len(y)))
+    additive.train(docs, labels, sample=20)
+    monkeypatch.setattr(toxicity, "fit_chain", lambda sparse, y, *_: seen.append(len(y)))
+    toxicity.train(docs.withColumn("bad", F.lit(1)), ["bad"], sample=20)
+    assert seen == [20, 20]
