@@ -12,7 +12,7 @@ from streamlytics.llm.chosen_path import without_near_duplicates
 from streamlytics.llm.common import table, written
 from streamlytics.llm.decontaminate import without_leaks
 from streamlytics.llm.mixing import mixed
-from streamlytics.llm.sharding import sharded
+from streamlytics.llm.sharding import with_shards
 from streamlytics.llm.toxicity import without_toxic
 from streamlytics.llm.toxicity_query import fitted
 from streamlytics.session import size_shuffles, tune
@@ -39,8 +39,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The shard of every document (copy)."""
-    return sharded(docs).drop("key")
+    """Every document (copy), whole, with its shard."""
+    return with_shards(docs)
 
 
 STAGES = [

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streamlytics.llm.common import written
+from streamlytics.operators.ordered import running_count
 
 KEY_BITS = 60
 ROUND_BITS = 12
@@ -131,12 +132,31 @@ def sharded(docs: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
     return placed.where(~heavy).select(*columns).union(spread)
 
 
+def with_shards(docs: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
+    """The rows of ``docs`` with their ``shard``, which takes the place of an own column of that name.
+
+    Copies of one row that are dealt into parts are numbered, so that every part holds as many as fit.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "shard"]).alias("row")
+    rows = docs.select(row, _key().alias("key"))
+    first = F.split_part("shard", F.lit("."), F.lit(1))
+    homes = sharded(docs, limit).groupBy("key").agg(
+        F.min(first).alias("prefix"),
+        F.max("n_bytes").alias("n_bytes"),
+        F.max(F.contains("shard", F.lit("."))).alias("dealt"),
+    )
+    homes = written(homes, "sharding-homes")
+    placed = rows.join(homes.where("NOT dealt"), "key").select("row.*", F.col("prefix").alias("shard"))
+    dealt = homes.where("dealt")
+    if dealt.isEmpty():
+        return placed
+    some = rows.join(dealt, "key").withColumn("at", F.monotonically_increasing_id())
+    per = F.greatest(F.lit(1).cast("bigint"), F.floor(F.lit(limit) / F.col("n_bytes")))
+    part = F.floor((F.col("rn") - 1) / per)
+    some = running_count(some, ["key"], ["at"])
+    return placed.union(some.select("row.*", F.concat_ws(".", "prefix", part).alias("shard")))
+
+
 def write_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES) -> None:
     """Write the rows of ``docs`` as Parquet, one folder per shard; an own column ``shard`` goes."""
-    own = [c for c in docs.columns if c != "shard"]
-    homes = sharded(docs, limit).groupBy("key").agg(F.sort_array(F.collect_set("shard")).alias("in"))
-    rows = docs.select(F.struct(*own).alias("row"), _key().alias("key"))
-    # Only copies of one row have more than one shard; they are dealt among these.
-    deal = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.size("in")).cast("int")
-    placed = rows.join(homes, "key").select("row.*", F.get("in", deal).alias("shard"))
-    placed.repartition("shard").write.partitionBy("shard").parquet(path)
+    with_shards(docs, limit).repartition("shard").write.partitionBy("shard").parquet(path)

@@ -62,7 +62,9 @@ def test_copies_follow_the_mix(kept):
 
 
 def test_every_copy_has_a_shard(kept):
+    assert kept["shard"].columns == [*kept["documents"].columns, "shard"]
     assert ids(kept["shard"]) == ids(kept["mix"])
+    assert sorted(map(str, pairs(kept["shard"]))) == sorted(map(str, pairs(kept["mix"])))
 
 
 def test_run_gives_the_last_stage(spark, kept):

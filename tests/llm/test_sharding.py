@@ -1,7 +1,7 @@
 import nasty
 from pyspark.sql import functions as F
 
-from streamlytics.llm.sharding import KEY_BITS, sharded, write_shards
+from streamlytics.llm.sharding import KEY_BITS, sharded, with_shards, write_shards
 
 
 def check(rows, limit):
@@ -53,3 +53,21 @@ def test_awkward_rows(spark, tmp_path):
     write_shards(docs, f"{tmp_path}/out", 200)
     back = spark.read.parquet(f"{tmp_path}/out")
     assert back.count() == len(nasty.ROWS) and set(docs.columns) < set(back.columns)
+
+
+def test_whole_rows_with_their_shards(spark):
+    """Rows stay as they were; each shard holds what ``sharded`` says, copies dealt among parts."""
+    docs = nasty.docs(spark).unionByName(
+        spark.createDataFrame([(90, "z" * 40, "en", "a", 40, "own", 7)] * 30, nasty.SCHEMA)
+    )
+    docs = docs.withColumns({"n_bytes": F.col("rank"), "shard": F.lit("mine")})
+    for limit in (1, 100, 10**9):
+        out = with_shards(docs, limit)
+        assert sorted(out.columns) == sorted(docs.columns)
+        rows = lambda df: sorted(str(r) for r in df.drop("shard").collect())
+        assert rows(out) == rows(docs.select(*out.columns))
+        sizes = lambda df: sorted(tuple(r) for r in df.collect())
+        n_bytes = F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).alias("n")
+        want = sharded(docs, limit).groupBy("shard").agg(F.count("*"), F.sum("n_bytes"))
+        assert sizes(out.groupBy("shard").agg(F.count("*"), n_bytes)) == sizes(want)
+    assert with_shards(nasty.empty(spark)).count() == 0
