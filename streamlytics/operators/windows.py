@@ -6,11 +6,12 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streamlytics.functions.times import from_millis, plain
 from streamlytics.operators.aggregate import minute_lists, row_count, trend_json
+from streamlytics.operators.ordered import runs
 
 _UNIT_MS = {"millisecond": 1, "second": 1_000, "minute": 60_000, "hour": 3_600_000, "day": 86_400_000}
 
@@ -100,12 +101,14 @@ def item_view_counts(behavior: DataFrame, size: str, slide: str) -> DataFrame:
     )
 
 
-def sessions(df: DataFrame, key: str, value: str, gap: str) -> DataFrame:
+def sessions(
+    df: DataFrame, key: str, value: str, gap: str, limit: int | None = None
+) -> DataFrame:
     """Session windows: a pause of more than ``gap`` ends a session, one of exactly ``gap`` not.
 
     Rows of a key inside one gap-wide cell are at most a gap apart, so they always share a
-    session. The cells are built first and combine before the shuffle; the ordered pass over a
-    key then sees at most one row per cell, however many rows the key has.
+    session. The cells are built first and combine before the shuffle. A key with more than
+    ``limit`` cells is cut into slices, whose summaries are merged (see ``ordered.runs``).
     """
     gap_us = duration_ms(gap) * 1000
     us = F.unix_micros("ts")
@@ -114,16 +117,14 @@ def sessions(df: DataFrame, key: str, value: str, gap: str) -> DataFrame:
     cells = df.groupBy(key, F.expr(cell).alias("_cell")).agg(
         F.min(us).alias("_lo"), F.max(us).alias("_hi"), F.sum(value).alias("_v")
     )
-    order = Window.partitionBy(key).orderBy("_cell")
-    opens = F.col("_lo") - F.lag("_hi").over(order) > gap_us
-    numbered = cells.withColumn("_new", F.coalesce(opens, F.lit(True)).cast("int")).withColumn(
-        "_session", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    numbered = runs(
+        cells, [key], ["_cell"], "_hi", lambda p: F.col("_lo") - p > gap_us, "_v", "_so_far", limit
     )
-    return numbered.groupBy(key, "_session").agg(
+    return numbered.groupBy(key, "_run").agg(
         plain(F.timestamp_micros(F.min("_lo"))).alias("session_start"),
         plain(F.timestamp_micros(F.max("_hi") + F.lit(gap_us))).alias("session_end"),
         F.sum("_v").alias(value),
-    ).drop("_session")
+    ).drop("_run")
 
 
 def session_stream(df: DataFrame, key: str, value: str, gap: str) -> DataFrame:

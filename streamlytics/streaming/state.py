@@ -13,12 +13,12 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from streamlytics.operators.counts import windows_of
-from streamlytics.operators.ordered import running_count
+from streamlytics.operators.ordered import running_count, runs
 from streamlytics.operators.windows import duration_ms, minute_trend
 from streamlytics.streaming.keyed import KeyedTable, add_up
 
@@ -46,25 +46,24 @@ def key_updates(df: DataFrame, every: str = UPDATE_EVERY) -> DataFrame:
     return counts.select("key", F.col("_w.end").alias("at"), "n")
 
 
-def _running_by_ttl(updates: DataFrame, expiry: str) -> DataFrame:
+def _running_by_ttl(updates: DataFrame, expiry: str, limit: int | None = None) -> DataFrame:
     """Add ``count``: the sum of ``n`` since the last pause of ``expiry`` or more.
 
-    The ordered pass over a key sees one row per interval of the time range, not per event.
+    A key has one row per interval of the time range, not per event; one with more than
+    ``limit`` of them is cut into slices, whose summaries are merged (see ``ordered.runs``).
     """
-    order = Window.partitionBy("key").orderBy("at")
-    pause = F.unix_millis("at") - F.unix_millis(F.lag("at").over(order))
-    fresh = F.coalesce(pause >= duration_ms(expiry), F.lit(True)).cast("int")
-    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    runs = updates.withColumn("_fresh", fresh).withColumn("_run", F.sum("_fresh").over(so_far))
-    in_run = Window.partitionBy("key", "_run").orderBy("at").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    return runs.withColumn("count", F.sum("n").over(in_run)).drop("_fresh", "_run")
+
+    def pause(before):
+        return F.unix_millis("at") - F.unix_millis(before) >= duration_ms(expiry)
+
+    return runs(updates, ["key"], ["at"], "at", pause, "n", "count", limit).drop("_run")
 
 
-def ttl_counts(df: DataFrame, expiry: str = EXPIRY, every: str = UPDATE_EVERY) -> DataFrame:
+def ttl_counts(
+    df: DataFrame, expiry: str = EXPIRY, every: str = UPDATE_EVERY, limit: int | None = None
+) -> DataFrame:
     """(key, at, count) after each update; a counter not updated for ``expiry`` starts again."""
-    return _running_by_ttl(key_updates(df, every), expiry).select("key", "at", "count")
+    return _running_by_ttl(key_updates(df, every), expiry, limit).select("key", "at", "count")
 
 
 def ttl_counter_body(

@@ -99,6 +99,43 @@ def test_a_hot_key_is_spread(skewed):
     assert max(per_slice) < 1.5 * 3002 / 4
 
 
+@pytest.mark.parametrize("limit", [10, 10**9])
+def test_last_seen(skewed, limit):
+    some = skewed.withColumn("x", F.when(F.col("v") > 6, F.col("seq")))
+    got = ordered.last_seen(some, ["key"], ORDER, "x", "y", limit=limit)
+    before = plain().rowsBetween(Window.unboundedPreceding, -1)
+    assert rows(got) == rows(some.withColumn("y", F.last("x", ignorenulls=True).over(before)))
+
+
+def runs_by_loop(data, gap):
+    out, state = [], {}
+    for key, t, seq, v in sorted(data, key=lambda r: (r[0] or "", r[1], r[2])):
+        last, run, total = state.get(key, (None, 0, None))
+        if last is None or t - last > gap:
+            run, total = run + 1, None
+        if v is not None:
+            total = v + (total or 0)
+        state[key] = (t, run, total)
+        out.append((key, t, seq, v, run, total))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("gap", [0, 3, 40, 10**6])
+@pytest.mark.parametrize("limit", [1, 50, 10**9])
+def test_runs_equal_the_loop(spark, gap, limit):
+    """Runs inside a slice, over one border, and over all slices; values with nulls."""
+    rnd = random.Random(gap + 1)
+    times = {"hot": 0, "a": 0, None: 0}
+    data = []
+    for i in range(600):
+        key = "hot" if rnd.random() < 0.7 else rnd.choice(["a", None])
+        times[key] += rnd.choice([0, 1, 1, 2, 5, 60])
+        data.append((key, times[key], i, rnd.choice([None, 1, 2, 7])))
+    df = spark.createDataFrame(data, "key string, t int, seq int, v long").repartition(5)
+    got = ordered.runs(df, ["key"], ORDER, "t", lambda p: F.col("t") - p > gap, "v", "s", limit)
+    assert rows(got.select("key", "t", "seq", "v", "_run", "s")) == runs_by_loop(data, gap)
+
+
 def fired(values, size, slide):
     out = []
     for i in range(slide, len(values) + 1, slide):

@@ -183,6 +183,7 @@ def test_ttl_counter_stream_equals_batch(spark):
     )
     each_batch(replay(df, time_slice(df, "ts", 4)), state.ttl_counter_body(counters, out.write))
     assert rows(out.read()) == rows(state.ttl_counts(df))
+    assert rows(out.read()) == rows(state.ttl_counts(df, limit=7))
 
 
 def test_per_record_counts_start_from_a_seed(spark):

@@ -30,13 +30,14 @@ def test_session_gap_of_exactly_the_limit_merges(spark):
     ]
 
 
+@pytest.mark.parametrize("limit", [5, None])
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_sessions_equal_the_built_in_ones(spark, seed):
+def test_sessions_equal_the_built_in_ones(spark, seed, limit):
     rnd = random.Random(seed)
     data = [(BASE + rnd.randrange(4000) / 2, rnd.choice("ab"), rnd.randrange(9)) for _ in range(300)]
     df = timed(spark, data, ["userId", "productNum"])
     want = w.session_stream(df, "userId", "productNum", "7 seconds")
-    got = w.sessions(df, "userId", "productNum", "7 seconds").select(*want.columns)
+    got = w.sessions(df, "userId", "productNum", "7 seconds", limit).select(*want.columns)
     assert rows(got) == rows(want)
 
 
