@@ -8,16 +8,15 @@ not arm. A timer at the end of the data fires only if the data reaches its due t
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streamlytics.operators.ordered import previous_value
+from streamlytics.operators.ordered import last_seen, previous_value
 
 HOLD_SECONDS = 5
+BLOCK_CELLS = 4096
 
 
 def turning_seconds(sensor: DataFrame, order: list[str], limit: int | None = None) -> DataFrame:
@@ -51,54 +50,115 @@ def turning_seconds(sensor: DataFrame, order: list[str], limit: int | None = Non
     )
 
 
-def rises_by_run(seconds: DataFrame) -> DataFrame:
+def rises_by_run(seconds: DataFrame, limit: int | None = None) -> DataFrame:
     """Rising seconds with the run (stretch between drops) they belong to and the run's end.
 
-    One sensor has at most one row per second of the time range here.
+    One sensor has at most one row per second of the time range here; one with more than
+    ``limit`` of them is looked through in slices.
     """
-    back = Window.partitionBy("id").orderBy(F.desc("t")).rowsBetween(Window.unboundedPreceding, -1)
-    until = F.last(F.when(F.col("dropped"), F.col("t")), ignorenulls=True).over(back)
-    return seconds.select("id", "t", "rising", until.alias("until")).where("rising").drop("rising")
+    marked = seconds.withColumns(
+        {"_back": -F.col("t"), "_drop": F.when(F.col("dropped"), F.col("t"))}
+    )
+    found = last_seen(marked, ["id"], ["_back"], "_drop", "until", limit)
+    return found.where("rising").select("id", "t", "until")
+
+
+def _cells(runs: DataFrame, hold: int) -> DataFrame:
+    """(id, until, cell, offsets): the rises of a run by stretches of ``hold`` + 1 seconds.
+
+    Timers arm more than ``hold`` seconds apart, so a cell arms at most one. It depends only on
+    the first offset at which arming is allowed: the first rise from there on arms, and its offset is
+    the first allowed one of the next cell. A cell that arms none leaves the next one free.
+    """
+    width = hold + 1
+    cell = F.expr(f"(t - pmod(t, {width})) div {width}").alias("cell")
+    return runs.groupBy("id", "until", cell).agg(
+        F.sort_array(F.collect_set(F.pmod("t", F.lit(width)).cast("int"))).alias("offsets")
+    )
+
+
+def _arms(offsets: Column, entry: Column) -> Column:
+    """The offset that arms a timer, if arming is allowed from ``entry`` on; -1 if none does."""
+    return F.coalesce(F.array_min(F.filter(offsets, lambda o: o >= entry)), F.lit(-1))
+
+
+def _step(last: Column, place: Column, leave: Callable[[Column], Column]) -> Column:
+    """(place, entry, exit) after one more place: what was left behind counts next door only."""
+    entry = F.greatest(F.when(place == last["place"] + 1, last["exit"]).otherwise(0), F.lit(0))
+    return F.struct(place.alias("place"), entry.alias("entry"), leave(entry).alias("exit"))
 
 
-def _arming(hold: int):
-    """Keep the rises that arm a timer, of whole runs sorted by (id, until, t).
+def _walk(places: Column, start: Column, place: str, leave) -> Column:
+    """The steps over ``places`` in order, after a first entry that is ``start``."""
+    return F.aggregate(
+        places,
+        F.array(start),
+        lambda done, p: F.concat(
+            done, F.array(_step(F.element_at(done, -1), p[place], lambda e: leave(p, e)))
+        ),
+    )
+
+
+def _before(place: Column, exit_: Column) -> Column:
+    return F.struct(
+        place.cast("bigint").alias("place"), F.lit(0).alias("entry"), exit_.cast("int").alias("exit")
+    )
+
 
-    The first rise of a run always arms. Rises within ``hold`` of it never do, so only those
-    beyond are looked at one by one. The open run is carried from batch to batch.
+def armed_rises(runs: DataFrame, hold: int, block: int = BLOCK_CELLS) -> DataFrame:
+    """Keep the rises that arm a timer: the first of a run, then the first beyond each timer.
+
+    Cells are gathered into blocks of ``block`` cells. A block is summed up by what it leaves for
+    each of the ``hold`` + 1 offsets at which it may be entered; one row per run puts those
+    tables in order and finds the real entries, and each block then arms its own rises. So a run of
+    any length is spread over its blocks. A run's row holds ``hold`` + 1 numbers per block, that is
+    per ``block`` * (``hold`` + 1) seconds of the time range.
     """
+    number = F.expr(f"(cell - pmod(cell, {block})) div {block}").alias("block")
+    run = ["id", "until"]
+    blocks = _cells(runs, hold).groupBy(*run, number).agg(
+        F.sort_array(F.collect_list(F.struct("cell", "offsets"))).alias("cells")
+    )
+    end = (F.col("block") + 1) * block
 
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        run, due = None, 0
-        for pdf in batches:
-            t = pdf["t"].to_numpy("int64")
-            runs = pd.MultiIndex.from_arrays([pdf["id"], pdf["until"].fillna(-1)])
-            code = runs.factorize()[0]
-            keep = np.concatenate([[runs[0] != run], code[1:] != code[:-1]])
-            starts = np.flatnonzero(keep)
-            dues = t[starts] + hold
-            if not keep[0]:
-                starts, dues = np.concatenate([[0], starts]), np.concatenate([[due], dues])
-            member = np.searchsorted(starts, np.arange(len(t)), side="right") - 1
-            for i in np.flatnonzero(t > dues[member]):
-                if t[i] > dues[member[i]]:
-                    keep[i], dues[member[i]] = True, t[i] + hold
-            run, due = runs[-1], dues[-1]
-            yield pdf[keep]
-
-    return walk
+    def through(entry: Column) -> Column:
+        last = F.aggregate(
+            "cells",
+            _before(F.col("block") * block - 1, entry),
+            lambda s, c: _step(s, c["cell"], lambda e: _arms(c["offsets"], e)),
+        )
+        return F.when(last["place"] == end - 1, last["exit"]).otherwise(-1)
+
+    exits = F.transform(F.sequence(F.lit(0), F.lit(hold)), through).alias("exits")
+    ordered = F.sort_array(F.collect_list(F.struct("block", exits)))
+    lines = blocks.groupBy(*run).agg(ordered.alias("blocks"))
+    # Before the first block there is none, so that one is entered freely.
+    nowhere = _before(F.lit(None), F.lit(0))
+    walked = _walk(F.col("blocks"), nowhere, "block", lambda b, e: F.get(b["exits"], e))
+    entries = lines.select(*run, F.inline(F.slice(walked, F.lit(2), F.size("blocks")))).where("entry > 0")
+    b, e = blocks.alias("b"), entries.alias("e")
+    same = (
+        F.col("b.id").eqNullSafe(F.col("e.id"))
+        & F.col("b.until").eqNullSafe(F.col("e.until"))
+        & (F.col("b.block") == F.col("e.place"))
+    )
+    entered = b.join(e, same, "left").select("b.*", F.coalesce("e.entry", F.lit(0)).alias("entry"))
+    start = _before(F.col("block") * block - 1, F.col("entry"))
+    steps = _walk(F.col("cells"), start, "cell", lambda c, x: _arms(c["offsets"], x))
+    armed = entered.select(*run, F.inline(F.slice(steps, F.lit(2), F.size("cells"))))
+    t = F.col("place") * (hold + 1) + F.col("exit")
+    return armed.where("exit >= 0").select("id", t.alias("t"), "until")
 
 
 def temp_rise_alerts(
-    sensor: DataFrame, order: list[str], hold: int = HOLD_SECONDS, limit: int | None = None
+    sensor: DataFrame,
+    order: list[str],
+    hold: int = HOLD_SECONDS,
+    limit: int | None = None,
+    block: int = BLOCK_CELLS,
 ) -> DataFrame:
     """(id, fired_at) for every timer that fires."""
-    runs = rises_by_run(turning_seconds(sensor, order, limit))
-    armed = (
-        runs.repartition("id", "until")
-        .sortWithinPartitions("id", "until", "t")
-        .mapInPandas(_arming(hold), runs.schema)
-    )
+    armed = armed_rises(rises_by_run(turning_seconds(sensor, order, limit), limit), hold, block)
     last = sensor.agg(F.max("timestamp").alias("m")).select("m").scalar()
     due = F.col("t") + hold
     fires = F.when(F.col("until").isNotNull(), F.col("until") > due).otherwise(due <= last)

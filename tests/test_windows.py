@@ -151,14 +151,40 @@ def test_alerts_equal_the_loop(spark, seed, limit):
     assert alerts_of(spark, readings, limit=limit) == alerts_by_loop(readings)
 
 
-def test_runs_that_cross_arrow_batches(spark):
+@pytest.mark.parametrize("block", [1, 2, 7, 4096])
+def test_runs_that_cross_blocks(spark, block):
     readings = [("s", t, t) for t in range(200)] + [("r", t, -t if t % 50 == 0 else t) for t in range(200)]
+    readings += [("q", t, t) for t in (0, 3, 5, 9, 10, 11, 12, 17, 23, 24, 25, 30, 90, 91, 97, 150)]
     readings.sort(key=lambda r: r[1])
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
-    try:
-        assert alerts_of(spark, readings) == alerts_by_loop(readings)
-    finally:
-        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert alerts_of(spark, readings, block=block) == alerts_by_loop(readings)
+
+
+@pytest.mark.parametrize("hold", [1, 5, 9])
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_one_run_without_a_drop(spark, seed, hold):
+    """100,000 rises of one sensor that never falls: no second is skipped, in many blocks."""
+    rnd = random.Random(seed)
+    t, times = -70_000, []
+    for _ in range(100_000):
+        t += rnd.choice([1, 1, 1, 2, 3, hold, hold + 1, 40])
+        times.append(t)
+    want, due = [], None
+    for t in times:
+        if due is None or t > due:
+            want.append(t)
+            due = t + hold
+    df = spark.createDataFrame([("s", x, None) for x in times], "id string, t bigint, until bigint")
+    armed = alerts.armed_rises(df, hold, block=64)
+    assert sorted(r.t for r in armed.collect()) == want
+
+
+def test_alerts_take_no_python(spark):
+    readings = [("s", t, t) for t in range(3000)]
+    df = sensor_frame(spark, readings)
+    got = alerts.temp_rise_alerts(df, ["timestamp", "event_id"], block=16)
+    assert got.count() == 499
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan
 
 
 def test_a_session_gap_across_1970(spark):
