@@ -1,5 +1,8 @@
 """Streams run to the end of the given tables, each with the batch result as its SQL."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from streamlytics.functions.times import plain
@@ -20,7 +23,7 @@ from streamlytics.sources.replay import DAY_US, closing_rows, replay, time_slice
 from streamlytics.streaming import state
 from streamlytics.streaming.clicks_app import ClicksApp
 from streamlytics.streaming.keyed import KeyedTable, add_up, keep_all, keep_latest
-from streamlytics.streaming.run import each_batch, fan_out, to_files
+from streamlytics.streaming.run import each_batch, fan_out, read_state, to_files
 
 def replayed(spark, d, slices=BATCHES, order=None, close=False):
     """The events in equal parts of their time range, shaped.
@@ -364,6 +367,14 @@ def kv_ttl_count_stream(spark, d):
     return out.read().withColumn("at", plain("at"))
 
 
+@query("kv_ttl_state_stream", ttl_sql(1800))
+def kv_ttl_state_stream(spark, d):
+    """The counters as streaming state with timers, instead of a keyed table."""
+    e = replayed(spark, d, close=True).select(F.col("event_type").alias("key"), "ts")
+    counts = state.ttl_counts_stream(e.withWatermark("ts", "0 seconds"), "30 minutes")
+    return to_files(counts).withColumn("at", plain("at"))
+
+
 # The app's feedback with a third of the time range as batch instead of a day.
 _APP_SQL = f"""batched AS (SELECT *, {BATCH_SQL} AS batch FROM ads_log),
     listed AS (SELECT userid, min(batch) AS listed_in FROM (SELECT batch, dt, userid, adid
@@ -418,6 +429,31 @@ def checkpoint_recovery(spark, d):
     return table.read()
 
 
+@query(
+    "state_read_back",
+    f"""SELECT CAST(as_of AS INTEGER) AS as_of, event_type, count(*) AS count FROM
+    (SELECT event_type, {BATCH_SQL} AS batch FROM ev), range(0, {BATCHES}) r(as_of)
+    WHERE batch <= as_of GROUP BY ALL""",
+    "ev",
+)
+def state_read_back(spark, d):
+    """Counters read out of the checkpoint, as of every batch, with a stop before the last one."""
+    raw, path, checkpoint = v.table(spark, d, "events"), scratch(spark, "input"), scratch(spark, "ck")
+    *first, last = range(BATCHES)
+    for order in (first, [last]):
+        e = v.shape_events(replay(raw, batch_of(spark, d), path=path, order=order))
+        counts = e.groupBy("event_type").agg(F.count(F.lit(1)).alias("count"))
+        each_batch(counts, lambda b, i: b.write.format("noop").mode("append").save(),
+                   mode="update", checkpoint=checkpoint)
+    found = [
+        read_state(spark, checkpoint, n).select(
+            F.lit(n).alias("as_of"), "key.event_type", "value.count"
+        )
+        for n in range(BATCHES)
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 @query(
     "sink_exactly_once",
     "SELECT CAST(user_id AS VARCHAR) AS userid, count(*) AS clicks FROM ev GROUP BY 1",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from streamlytics.session import scratch
 
@@ -44,6 +44,32 @@ def to_files(df: DataFrame, path: str | None = None, checkpoint: str | None = No
     return spark.read.schema(df.schema).parquet(path)
 
 
+def read_state(
+    spark: SparkSession,
+    checkpoint: str,
+    batch_id: int | None = None,
+    operator: int = 0,
+    variable: str | None = None,
+) -> DataFrame:
+    """(key, value, partition_id): what a stateful operator had in its state after ``batch_id``
+    (default: the last finished batch), read from the checkpoint without starting the stream.
+
+    ``operator`` counts the stateful operators as ``state_operators`` lists them; ``variable`` names
+    one state of an operator that has several.
+    """
+    reader = spark.read.format("statestore").option("operatorId", operator)
+    if batch_id is not None:
+        reader = reader.option("batchId", batch_id)
+    if variable is not None:
+        reader = reader.option("stateVarName", variable)
+    return reader.load(checkpoint)
+
+
+def state_operators(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The stateful operators of a checkpoint, with the batches whose state can be read."""
+    return spark.read.format("state-metadata").load(checkpoint)
+
+
 def fan_out(*bodies: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
     """One ``foreachBatch`` body with several outputs; the batch is computed once."""
 

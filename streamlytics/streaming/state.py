@@ -1,8 +1,9 @@
 """Keyed state: counters that expire, count windows, per-record counts and alerts.
 
-Counts are carried in keyed tables and rows are numbered by window functions. Only the alerts use
-a ``GroupState``, which sorts one sensor's rows of one micro-batch inside a task; there the
-trigger's intake limit (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``) bounds what a task holds.
+Counts are carried in keyed tables and rows are numbered by window functions. Only the alerts and
+the counters with timers run Python per key. The alerts sort one sensor's rows of one micro-batch
+inside a task; there the trigger's intake limit (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``)
+bounds what a task holds. The counters get one row per key and interval.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from streamlytics.operators.counts import windows_of
 from streamlytics.operators.ordered import running_count, runs
@@ -97,6 +99,64 @@ def ttl_counter_body(
     return body
 
 
+class ExpiringCounter(StatefulProcessor):
+    """One counter per key as (at, count); a timer removes it ``expiry_ms`` after its last update.
+
+    A call gets one key's updates of a micro-batch, at most one per update interval.
+    """
+
+    COUNTER = "counter"
+
+    def __init__(self, expiry_ms: int):
+        self.expiry = expiry_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.counter = handle.getValueState(self.COUNTER, "at bigint, count bigint")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
+        at, n = _sorted(rows, ["at"], "at", "n")
+        last, count = self.counter.get() if self.counter.exists() else (None, 0)
+        if last is not None:
+            self.handle.deleteTimer(last + self.expiry)
+        counts = []
+        for when, more in zip(at.tolist(), n.tolist(), strict=True):
+            count = more if last is None or when - last >= self.expiry else count + more
+            counts.append(count)
+            last = when
+        self.counter.update((last, count))
+        self.handle.registerTimer(last + self.expiry)
+        yield pd.DataFrame({"key": key[0], "at": at, "count": counts})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.counter.clear()
+        yield pd.DataFrame({"key": [], "at": [], "count": []}).astype(
+            {"key": "str", "at": "int64", "count": "int64"}
+        )
+
+    def close(self) -> None:
+        pass
+
+
+def ttl_counts_stream(
+    df: DataFrame, expiry: str = EXPIRY, every: str = UPDATE_EVERY
+) -> DataFrame:
+    """``ttl_counts`` of a watermarked stream of (key, ts), in append mode.
+
+    A first aggregate makes one update per key and interval, when the watermark has passed that; a
+    second operator holds the counters. Its state is one row per key that was updated within the
+    expiry, and falls when the watermark passes that.
+    """
+    counts = df.groupBy("key", F.window("ts", every).alias("_w")).agg(F.count(F.lit(1)).alias("n"))
+    end = F.unix_millis(F.col("_w.end")).alias("at")
+    updates = counts.select("key", end, "n", F.window_time("_w").alias("ts"))
+    out = updates.groupBy("key").transformWithStateInPandas(
+        ExpiringCounter(duration_ms(expiry)), "key string, at bigint, count bigint",
+        "Append", "EventTime",
+    )
+    return out.withColumn("at", F.timestamp_millis("at"))
+
+
 def minute_trend_body(
     minutes: KeyedTable, emit: Callable[[DataFrame, int], None], size: str, slide: str
 ) -> Callable[[DataFrame, int], None]:

@@ -17,7 +17,7 @@ from streamlytics.sources.replay import replay, time_slice
 from streamlytics.streaming import sinks, state
 from streamlytics.streaming.clicks_app import ClicksApp
 from streamlytics.streaming.keyed import KeyedTable, add_up, collect_members, keep_all, keep_latest
-from streamlytics.streaming.run import each_batch, to_files
+from streamlytics.streaming.run import each_batch, read_state, state_operators, to_files
 
 
 def frame(spark, data):
@@ -372,3 +372,33 @@ def test_chained_windows_equal_plain_ones(spark):
     chained = w.paned_stream(stream, ["key"], {"n": F.count("id")}, {"n": F.sum("n")}, "1 hour", "5 minutes")
     plain = w.window_aggregate(df, ["key"], [F.count("id").alias("n")], "1 hour", "5 minutes")
     assert rows(to_files(chained)) == rows(plain)
+
+
+def test_state_of_expired_counters_falls(spark):
+    """Key k<i> is seen in minutes 10 i to 10 i + 9 only, so few counters live at a time."""
+    data = [(m * 60 + s, f"k{m // 10}") for m in range(120) for s in (0, 7, 30)]
+    df = seconds(spark, data, ["key"]).select("key", "ts")
+    far = seconds(spark, [(100 * 86400, "far")], ["key"]).select("key", "ts")
+    stream = replay(df, time_slice(df, "ts", 6), closing=far).withWatermark("ts", "0 seconds")
+    checkpoint = scratch(spark, "ck")
+    got = to_files(state.ttl_counts_stream(stream, "2 minutes"), checkpoint=checkpoint)
+    assert rows(got) == rows(state.ttl_counts(df, "2 minutes"))
+    names = [r.operatorName for r in state_operators(spark, checkpoint).collect()]
+    counters = names.index("transformWithStateInPandasExec")
+    live = [
+        read_state(spark, checkpoint, b, counters, state.ExpiringCounter.COUNTER).count()
+        for b in range(1, 6)
+    ]
+    assert max(live) <= 2
+
+
+def test_state_is_read_between_batches(spark):
+    df = spark.createDataFrame([(i, f"k{i % 5}") for i in range(60)], "id int, k string")
+    checkpoint = scratch(spark, "ck")
+    stream = replay(df, F.floor(F.col("id") / 20).cast("int"))
+    seen = []
+    counts = stream.groupBy("k").agg(F.count("id").alias("n"))
+    each_batch(counts, lambda b, i: seen.append(rows(b)), mode="complete", checkpoint=checkpoint)
+    for b, want in enumerate(seen):
+        assert rows(read_state(spark, checkpoint, b).select("key.k", "value.count")) == want
+    assert rows(read_state(spark, checkpoint).select("key.k", "value.count")) == seen[-1]
