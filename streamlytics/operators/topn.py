@@ -27,6 +27,21 @@ def daily_area_top(city_counts: DataFrame, n: int = 3) -> DataFrame:
     ).select("dt", "area", "adid", "click_count", "rank")
 
 
+def merged_daily_top(stored: DataFrame, changed: DataFrame, n: int = 3) -> DataFrame:
+    """``daily_area_top`` after some ads' totals grew: (dt, area, adid, click_count, rank).
+
+    ``stored`` is the top list from before, of the (dt, area) groups that hold a changed ad;
+    ``changed`` has the new totals of the changed ads only. An ad that is in neither was behind n
+    others whose totals have not become smaller, so it is still behind them.
+    """
+    groups, ads = ["dt", "area"], ["dt", "area", "adid"]
+    both = stored.select(*ads, "click_count").unionByName(changed.select(*ads, "click_count"))
+    # An ad in both has its new total in ``changed``, and totals only grow.
+    newest = both.groupBy(*ads).agg(F.max("click_count").alias("click_count"))
+    ranked = top_per_group(newest, groups, [F.desc("click_count"), F.asc("adid")], n)
+    return ranked.select(*ads, "click_count", "rank")
+
+
 def hot_items(item_counts: DataFrame, n: int = 3) -> DataFrame:
     """The ``n`` most viewed items per window; equal counts rank by item id."""
     return top_per_group(

@@ -391,9 +391,14 @@ def _app_sql(body: str) -> str:
 
 
 def _run_app(spark, d) -> ClicksApp:
-    log = v.ads_log(spark, d).select("timestamp", "area", "city", "userid", "adid", "ts")
+    """The events are streamed as they are; places join a batch's counts, not its rows."""
     app = ClicksApp(spark, scratch(spark, "app"), QUERY_THRESHOLD, compact_every=2)
-    each_batch(replay(log, batch_of(spark, d)), app)
+
+    def count(batch, batch_id):
+        cells = v.shape_cells(batch, spark, d)
+        app.add(cells.select("dt", "area", "city", "userid", "adid", "n"), batch_id)
+
+    each_batch(replayed(spark, d), count)
     return app
 
 

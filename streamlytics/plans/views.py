@@ -65,6 +65,11 @@ def ads_cells(spark: SparkSession, sf_dir: str, only: str | None = None) -> Data
     e = events(spark, sf_dir)
     if only:
         e = e.where(F.col("event_type") == only)
+    return shape_cells(e, spark, sf_dir)
+
+
+def shape_cells(e: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of any events, such as one batch of them."""
     cells = e.groupBy(
         day_of(F.unix_millis("ts")).alias("dt"), "user_id", (F.col("k") % 6 + 1).alias("ad")
     ).agg(F.count(F.lit(1)).alias("n"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from streamlytics.operators import aggregate as agg
 from streamlytics.operators.blacklist import THRESHOLD, drop_blacklisted
-from streamlytics.operators.topn import daily_area_top
+from streamlytics.operators.topn import merged_daily_top
 from streamlytics.streaming.keyed import KeyedTable, add_up, collect_members, keep_latest
 
 
@@ -34,43 +34,56 @@ class ClicksApp:
             "dt string, area string, city string, adid string, click_count bigint", add_up,
             ("dt",),
         )
+        self.area_counts = KeyedTable(
+            spark, f"{root}/area_counts", ["dt", "area", "adid"],
+            "dt string, area string, adid string, click_count bigint", add_up, ("dt",),
+        )
         self.top3 = KeyedTable(
             spark, f"{root}/top3", ["dt", "area", "rank"],
             "dt string, area string, adid string, click_count bigint, rank int", keep_latest,
         )
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        """A batch of single clicks."""
         # Counted per user first: the filter then joins a few rows per user, and both outputs
         # reuse the result.
         cells = agg.with_day(batch).groupBy("dt", "area", "city", "userid", "adid").agg(
             agg.row_count().alias("n")
         )
+        self.add(cells, batch_id)
+
+    def add(self, cells: DataFrame, batch_id: int) -> None:
+        """A batch of clicks counted (``n``) per day, place, user and ad."""
         kept = drop_blacklisted(cells, self.blacklist.read(before=batch_id)).persist()
         try:
-            # The stored counters are kept by day, and a batch holds few distinct days.
-            dates = [r["dt"] for r in kept.select("dt").distinct().collect()]
-            if not dates:
+            # The stored counters are kept by day; the range prunes days, the keys decide.
+            first, last = kept.agg(F.min("dt"), F.max("dt")).first()
+            if first is None:
                 return
-            days = F.col("dt").isin(dates)
+            days = F.col("dt").between(first, last)
             self._count(kept, batch_id, days)
             self._extend_blacklist(kept, batch_id, days)
         finally:
             kept.unpersist()
         if (batch_id + 1) % self.compact_every == 0:
-            for table in (self.counters, self.blacklist, self.city_counts, self.top3):
+            for table in (
+                self.counters, self.blacklist, self.city_counts, self.area_counts, self.top3,
+            ):
                 table.compact(batch_id)
 
     def _count(self, kept: DataFrame, batch_id: int, days: Column) -> None:
         self.city_counts.write(agg.date_area_city_ad_count(kept, "n", "dt"), batch_id)
-        changed = self.city_counts.read(before=batch_id + 1, where=days)
-        self.top3.write(daily_area_top(changed), batch_id)
+        self.area_counts.write(agg.area_ad_rollup(self.city_counts.batch(batch_id)), batch_id)
+        # Only what the batch touches: the new totals of its ads, the top lists of its groups.
+        ads = self.area_counts.batch(batch_id).select("dt", "area", "adid")
+        changed = self.area_counts.read(before=batch_id + 1, where=days, only=ads)
+        groups = ads.select("dt", "area").distinct()
+        stored = self.top3.read(before=batch_id, where=days, only=groups)
+        self.top3.write(merged_daily_top(stored, changed), batch_id)
 
     def _extend_blacklist(self, kept: DataFrame, batch_id: int, days: Column) -> None:
-        now = agg.daily_user_ad_clicks(kept, "n", "dt")
-        self.counters.write(now, batch_id)
-        stored = self.counters.read(before=batch_id, where=days).withColumnRenamed(
-            "click_count", "_stored"
-        )
-        total = F.col("click_count") + F.coalesce("_stored", F.lit(0))
-        reached = now.join(stored, ["dt", "userid", "adid"], "left").where(total >= self.threshold)
+        self.counters.write(agg.daily_user_ad_clicks(kept, "n", "dt"), batch_id)
+        now = self.counters.batch(batch_id).select("dt", "userid", "adid")
+        total = self.counters.read(before=batch_id + 1, where=days, only=now)
+        reached = total.where(F.col("click_count") >= self.threshold)
         self.blacklist.write(reached.select("userid").distinct(), batch_id)

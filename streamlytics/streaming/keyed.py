@@ -42,6 +42,13 @@ def keep_all(rows: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     return rows
 
 
+def same(columns: list[str], left: str, right: str) -> Column:
+    """Equal in all ``columns``, nulls included, between two aliased frames."""
+    return reduce(
+        lambda a, b: a & b, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns]
+    )
+
+
 class KeyedTable:
     def __init__(
         self,
@@ -110,12 +117,20 @@ class KeyedTable:
             return self.spark.range(0).select(*nulls)
         return reduce(DataFrame.unionByName, found)
 
-    def read(self, before: int | None = None, where: Column | None = None) -> DataFrame:
+    def read(
+        self,
+        before: int | None = None,
+        where: Column | None = None,
+        only: DataFrame | None = None,
+    ) -> DataFrame:
         """The content, or what it was before batch ``before`` – which makes that batch
-        repeatable. ``where`` is a condition on keys, applied to the scan."""
+        repeatable. ``where`` is a condition on keys, applied to the scan; ``only`` holds values of
+        some keys, and rows without a match in it are left out before anything is folded."""
         rows = self._rows(before)
         if where is not None:
             rows = rows.where(where)
+        if only is not None:
+            rows = rows.alias("s").join(only.alias("o"), same(only.columns, "s", "o"), "left_semi")
         if self.fold is not None:
             rows = self.fold(rows, self.keys, self.values)
         return rows.select(*self.columns)
@@ -124,8 +139,9 @@ class KeyedTable:
         """What one batch wrote."""
         return self._load("log", [f"batch={batch_id}"]).select(*self.columns)
 
-    def compact(self, upto: int) -> None:
-        """Fold everything up to batch ``upto`` into a base.
+    def compact(self, upto: int, keep: Callable[[DataFrame], DataFrame] | None = None) -> None:
+        """Fold everything up to batch ``upto`` into a base. ``keep`` leaves out rows of it that no
+        later batch can need.
 
         What the base before it covers is removed. The folders since then stay, for a batch
         that is repeated and for readers that still hold a file list.
@@ -134,6 +150,8 @@ class KeyedTable:
             return
         old = [b for b in self._finished("base") if b < upto]
         folded = self.fold(self._rows(upto + 1), self.keys, self.values)
+        if keep is not None:
+            folded = keep(folded)
         self._save(folded, f"base/upto={upto}")
         if old:
             covered = [f"log/batch={b}" for b in self._finished("log") if b <= old[-1]]

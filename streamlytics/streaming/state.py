@@ -73,17 +73,23 @@ def ttl_counter_body(
     emit: Callable[[DataFrame, int], None],
     expiry: str = EXPIRY,
     every: str = UPDATE_EVERY,
+    compact_every: int = 10,
 ) -> Callable[[DataFrame, int], None]:
     """The same as a ``foreachBatch`` body on (key, ts) in event order.
 
     ``counters`` (key, at, n) holds each counter's value and when it was set. A stored value
     enters the batch as one more update, so it is continued or, after the expiry, left behind.
+    A compaction drops the counters that no later row can continue, as rows come in event order.
     """
 
+    def alive(stored: DataFrame) -> DataFrame:
+        newest = stored.select(F.max("at")).scalar()
+        return stored.where(F.unix_millis(newest) - F.unix_millis("at") < duration_ms(expiry))
+
     def body(batch: DataFrame, batch_id: int) -> None:
         updates = key_updates(batch, every).withColumn("stored", F.lit(False))
-        stored = counters.read(before=batch_id).withColumn("stored", F.lit(True))
-        known = stored.join(updates.select("key").distinct(), "key", "left_semi")
+        touched = updates.select("key").distinct()
+        known = counters.read(before=batch_id, only=touched).withColumn("stored", F.lit(True))
         # An interval that began in the batch before is one update.
         merged = updates.unionByName(known).groupBy("key", "at").agg(
             F.sum("n").alias("n"), F.min("stored").alias("stored")
@@ -95,6 +101,8 @@ def ttl_counter_body(
             counters.write(newest, batch_id)
         finally:
             running.unpersist()
+        if (batch_id + 1) % compact_every == 0:
+            counters.compact(batch_id, alive)
 
     return body
 
@@ -158,7 +166,11 @@ def ttl_counts_stream(
 
 
 def minute_trend_body(
-    minutes: KeyedTable, emit: Callable[[DataFrame, int], None], size: str, slide: str
+    minutes: KeyedTable,
+    emit: Callable[[DataFrame, int], None],
+    size: str,
+    slide: str,
+    compact_every: int = 10,
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` body on (timestamp, adid): the trends that a batch changes, anew.
 
@@ -171,6 +183,8 @@ def minute_trend_body(
         minute = (F.col("timestamp") - F.pmod("timestamp", F.lit(60_000))).alias("minute")
         new = batch.groupBy("adid", minute).agg(F.count(F.lit(1)).alias("n"))
         minutes.write(new, batch_id)
+        if (batch_id + 1) % compact_every == 0:
+            minutes.compact(batch_id)
         low, high = minutes.batch(batch_id).agg(F.min("minute"), F.max("minute")).first()
         if low is None:
             return

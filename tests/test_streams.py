@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from streamlytics import schemas
 from streamlytics.functions import parse
 from streamlytics.operators import blacklist as bl
-from streamlytics.operators import counts
+from streamlytics.operators import counts, topn
 from streamlytics.operators import windows as w
 from streamlytics.session import scratch, shared_dir
 from streamlytics.sources.replay import replay, time_slice
@@ -154,6 +154,52 @@ def test_a_repeated_batch_changes_nothing(spark, click_data):
     ).first()[0]
 
 
+@pytest.mark.parametrize("parts", [1, 5])
+def test_merged_top_equals_ranking_everything(spark, parts):
+    """Batches that raise some ads, with ties, groups of fewer than three and null names."""
+    rnd = random.Random(parts)
+    total, top = defaultdict(int), spark.createDataFrame([], topn_schema())
+    names = [f"a{i}" for i in range(6)] + [None]
+    for _ in range(6):
+        cells = [(rnd.choice("de"), rnd.choice(["n", "s", None]), rnd.choice(names)) for _ in range(5)]
+        for c in cells:
+            total[c] += rnd.randrange(1, 3)
+        changed = spark.createDataFrame([(*c, total[c]) for c in set(cells)], topn_schema(rank=False))
+        groups = {c[:2] for c in cells}
+        stored = spark.createDataFrame(
+            [r for r in map(tuple, top.collect()) if r[:2] in groups], topn_schema()
+        )
+        others = [r for r in map(tuple, top.collect()) if r[:2] not in groups]
+        merged = topn.merged_daily_top(stored, changed.repartition(parts))
+        top = spark.createDataFrame(others + [tuple(r) for r in merged.collect()], topn_schema())
+    everything = spark.createDataFrame([(*c, n) for c, n in total.items()], topn_schema(rank=False))
+    want = topn.daily_area_top(everything.withColumn("city", F.lit("c")))
+    assert rows(top) == rows(want)
+
+
+def topn_schema(rank=True):
+    return "dt string, area string, adid string, click_count bigint" + ", rank int" * rank
+
+
+def test_a_batch_folds_only_keys_it_touches(spark):
+    table = filled(spark, add_up, BATCHES)
+    assert rows(table.read(only=spark.createDataFrame([("a",), ("x",)], "k string"))) == [("a", 6)]
+    table.write(frame(spark, [(None, 4)]), 3)
+    assert rows(table.read(only=spark.createDataFrame([(None,)], "k string"))) == [(None, 4)]
+
+
+def test_dead_counters_leave_the_table(spark):
+    """Compaction drops a counter once the newest one is the expiry further on."""
+    data = [(m * 60 + s, f"k{m}") for m in range(12) for s in (0, 7)]
+    df = seconds(spark, data, ["key"]).select("key", "ts")
+    counters = KeyedTable(spark, scratch(spark, "t"), ["key"], "key string, at timestamp, n bigint")
+    out = KeyedTable(spark, scratch(spark, "o"), ["key", "at"], "key string, at timestamp, count bigint")
+    body = state.ttl_counter_body(counters, out.write, "90 seconds", compact_every=1)
+    each_batch(replay(df, time_slice(df, "ts", 4)), body)
+    assert rows(out.read()) == rows(state.ttl_counts(df, "90 seconds"))
+    assert counters.read().count() == 2
+
+
 def seconds(spark, data, columns):
     df = spark.createDataFrame(data, ["s", *columns])
     return df.withColumn("ts", F.timestamp_seconds("s")).drop("s")
