@@ -34,11 +34,12 @@ def union_all(first: DataFrame, *others: DataFrame) -> DataFrame:
 def co_map(tagged: DataFrame) -> DataFrame:
     """Two differently shaped outputs in one frame: high rows as (id, temperature, text), low
     rows as (id, text)."""
-    warning = select_tags(tagged, "high").select(
-        "id", "temperature", F.lit(HIGH_TEXT).alias("message")
+    high = F.col("tag") == "high"
+    return tagged.where(F.col("tag").isin("high", "low")).select(
+        "id",
+        F.when(high, F.col("temperature")).alias("temperature"),
+        F.when(high, HIGH_TEXT).otherwise(LOW_TEXT).alias("message"),
     )
-    healthy = select_tags(tagged, "low").select("id", F.lit(LOW_TEXT).alias("message"))
-    return warning.unionByName(healthy, allowMissingColumns=True)
 
 
 def freezing_alerts(sensor: DataFrame, limit: float = FREEZING_BELOW) -> tuple[DataFrame, DataFrame]:

@@ -38,6 +38,11 @@ def _fill(spark, d, name, rows, keys, schema, fold, per_batch):
     return table.read()
 
 
+def _cells(spark, d):
+    """Clicks counted before their places are joined; batches are whole days, so a day has one."""
+    return v.ads_cells(spark, d).withColumn("ts", F.to_timestamp("dt"))
+
+
 @query(
     "upsert_latest",
     """SELECT "userId", arg_max("productNum", event_id) AS "productNum" FROM pay_info
@@ -65,13 +70,13 @@ def kv_put_all(spark, d):
     """Counts put as text under their composite key; the running count overwrites."""
 
     def as_text(part):
-        counts = agg.date_area_city_ad_count(part)
+        counts = agg.date_area_city_ad_count(part, "n", "dt")
         return counts.select(
             F.concat_ws(":", *CITY_KEY).alias("key"), F.col("click_count").cast("string").alias("value")
         )
 
     return _fill(
-        spark, d, "put", v.ads_log(spark, d), ["key"], "key string, value string", keep_latest, as_text
+        spark, d, "put", _cells(spark, d), ["key"], "key string, value string", keep_latest, as_text
     )
 
 
@@ -101,11 +106,11 @@ def kv_increment(spark, d):
 )
 def kv_set_add(spark, d):
     def over(part):
-        many = agg.daily_user_ad_clicks(part).where(F.col("click_count") >= QUERY_THRESHOLD)
+        many = agg.daily_user_ad_clicks(part, "n", "dt").where(F.col("click_count") >= QUERY_THRESHOLD)
         return many.select("userid").distinct()
 
     return _fill(
-        spark, d, "set", v.ads_log(spark, d), ["userid"], "userid string", collect_members, over
+        spark, d, "set", _cells(spark, d), ["userid"], "userid string", collect_members, over
     )
 
 

@@ -316,13 +316,14 @@ def fn_number_format(spark, d):
 @query(
     "latest_value",
     """SELECT coalesce((SELECT value FROM events WHERE ts > TIMESTAMP '2024-01-10'
-    ORDER BY ts DESC LIMIT 1), 0.0) AS wqi""",
+    ORDER BY ts DESC, event_id DESC LIMIT 1), 0.0) AS wqi""",
 )
 def latest_value(spark, d):
     e = v.table(spark, d, "events").select(
-        F.col("ts").alias("record_time"), F.col("value").cast("string").alias("wqi")
+        F.col("ts").alias("record_time"), F.col("value").cast("string").alias("wqi"), "event_id"
     )
-    return tables.latest_value(e, F.lit("2024-01-10 00:00:00").cast("timestamp_ntz"))
+    since = F.lit("2024-01-10 00:00:00").cast("timestamp_ntz")
+    return tables.latest_value(e, since, then="event_id")
 
 
 @query(

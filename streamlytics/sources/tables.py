@@ -66,8 +66,17 @@ def read_wide_column(cells: DataFrame, family: str, qualifiers: list[str]) -> Da
 
 
 def latest_value(
-    df: DataFrame, since, time: str = "record_time", value: str = "wqi", default: float = 0.0
+    df: DataFrame,
+    since,
+    time: str = "record_time",
+    value: str = "wqi",
+    default: float = 0.0,
+    then: str | None = None,
 ) -> DataFrame:
-    """The newest value after ``since`` as a double, or the default where there is none."""
-    newest = df.where(F.col(time) > F.lit(since)).agg(F.max_by(value, time).alias("_v"))
+    """The newest value after ``since`` as a double, or the default where there is none.
+
+    Of rows with the newest time the one with the greatest ``then`` counts (default: the value).
+    """
+    place = F.struct(time, then or value)
+    newest = df.where(F.col(time) > F.lit(since)).agg(F.max_by(value, place).alias("_v"))
     return newest.select(F.coalesce(F.col("_v").cast("double"), F.lit(default)).alias(value))

@@ -243,3 +243,14 @@ def test_kafka_projection(spark):
         "topic": "t", "key": "1", "value": "x",
     }
     assert sinks.kafka_records(df, "t", "v").columns == ["topic", "value"]
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_latest_value_breaks_ties(spark, parts):
+    from streamlytics.sources.tables import latest_value
+
+    data = [(5, "2.5", i) for i in range(20)] + [(5, "1.5", 99), (4, "9.0", 100)]
+    df = spark.createDataFrame(data, "record_time long, wqi string, n int").repartition(parts)
+    assert latest_value(df, 0).first()["wqi"] == 2.5
+    assert latest_value(df, 0, then="n").first()["wqi"] == 1.5
+    assert latest_value(df, 5).first()["wqi"] == 0.0
