@@ -277,48 +277,24 @@ def placed(tokens: DataFrame) -> DataFrame:
     return tokens.join(broadcast_if_few(bases), "part").select("doc_id", "ids", "n", place)
 
 
-def _cuts(place: np.ndarray, n: np.ndarray, length: int):
-    """Row, first token, end and window of every piece of documents that begin at ``place``."""
-    first, last = place // length, (place + n - 1) // length
-    count = last - first + 1
-    row = np.repeat(np.arange(len(n)), count)
-    window = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + first[row]
-    start = np.maximum(window * length, place[row])
-    end = np.minimum((window + 1) * length, (place + n)[row])
-    return row, start, end, window
-
-
 def pieces(tokens: DataFrame, length: int = LENGTH) -> DataFrame:
     """(doc_id, start, length, ids, doc_tokens, sequence_id, offset) of each piece of a document.
 
     ``tokens`` is a table made by ``tokenised``. Every id of every document lies in exactly one piece,
     and the pieces of a sequence fill it from 0 without gaps.
     """
-    rows = placed(tokens)
-    id_type = tokens.schema["doc_id"].dataType.simpleString()
-    schema = (
-        f"doc_id {id_type}, start bigint, length bigint, ids binary, doc_tokens bigint, "
-        "sequence_id bigint, offset bigint"
-    )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            place, n = batch["place"].to_numpy(), batch["n"].to_numpy()
-            row, start, end, window = _cuts(place, n, length)
-            own = (start - place[row], end - place[row])
-            packed = [batch["ids"][int(r)].as_buffer() for r in range(batch.num_rows)]
-            size = _ID.itemsize
-            ids = [memoryview(packed[r])[a * size : b * size] for r, a, b in zip(row, *own, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"].take(pa.array(row)), pa.array(own[0]), pa.array(end - start),
-                 pa.array(ids, pa.binary()), pa.array(n[row]), pa.array(window),
-                 pa.array(start - window * length)],
-                names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"],
-            )
-
-    return rows.mapInArrow(run, schema)
+    size = _ID.itemsize
+    windows = F.sequence(F.expr(f"place div {length}"), F.expr(f"(place + n - 1) div {length}"))
+    cut = placed(tokens).withColumn("sequence_id", F.explode(windows))
+    begin = F.greatest(F.col("sequence_id") * length, F.col("place"))
+    end = F.least((F.col("sequence_id") + 1) * length, F.col("place") + F.col("n"))
+    start, took = begin - F.col("place"), end - begin
+    # A document's ids stay where they are; a piece copies its own part of them only.
+    ids = F.substring("ids", (start * size + 1).cast("int"), (took * size).cast("int"))
+    return cut.select(
+        "doc_id", start.alias("start"), took.alias("length"), ids.alias("ids"), F.col("n").alias("doc_tokens"),
+        "sequence_id", (begin - F.col("sequence_id") * length).alias("offset"),
+    )
 
 
 _SEQUENCE = "sequence_id bigint, offset bigint, n bigint, ids binary, ends array<int>"

@@ -100,6 +100,14 @@ def test_empty_table(spark):
     assert pieces(tokens).count() == 0 and sequences(tokens).count() == 0
 
 
+def test_pieces_are_cut_without_python_workers(spark, capsys):
+    """Workers and their batches beside a grown heap took an executor over its memory."""
+    tokens = tokenised(nasty.docs(spark), DEFINITION)
+    pieces(tokens).explain()
+    plan = capsys.readouterr().out
+    assert "Generate" in plan and not any(word in plan for word in ("Arrow", "Pandas", "Python"))
+
+
 def test_prefix_sums_in_blocks(spark):
     rng = random.Random(1)
     rows = [(k, rng.randrange(1 << 40)) for k in range(0, 300, 2)]
