@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from streamlytics.llm.common import id_number, id_text, written
 from streamlytics.llm.components import components
+from streamlytics.llm.key_filter import marked
 from streamlytics.llm.shingles import constants, mix, shingle_sets
 from streamlytics.session import pin
 
@@ -277,8 +278,9 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
         )
         key = F.xxhash64("cell", F.least("block", "other"), F.greatest("block", "other"))
         wanted = whole.union(cut.select(key.alias("cell"), "cls", "rep"))
-    wanted = wanted.select("cell", "cls", "rep.doc_id", "rep.text_key")
+    wanted = written(wanted.select("cell", "cls", "rep.doc_id", "rep.text_key"), "chosen-path-wanted")
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    texts = marked(texts, wanted, ["doc_id", "text_key"]).where("maybe")
     found = wanted.alias("w").join(texts.alias("t"), _same_text()).select("w.cell", "w.cls", "t.text")
     sets = found.mapInPandas(_sets, "cell bigint, cls binary, shingles binary")
     return sets.groupBy("cell").applyInPandas(_confirm, "u binary, v binary")
@@ -339,17 +341,23 @@ def without_near_duplicates(docs: DataFrame) -> DataFrame:
     worded = rows.where("root IS NOT NULL")
     winners = worded.groupBy("root").agg(first.alias("w")).select("w.doc_id", "w.text_key")
     copies = worded.groupBy("doc_id", "text_key").agg(F.count("*").alias("n_rows"))
-    winners = written(
-        winners.alias("w").join(copies.alias("t"), _same_text()).select("w.*", "n_rows"),
-        "chosen-path-winners",
+    wins = F.col("w.text_key").isNotNull()
+    others = written(
+        copies.alias("t")
+        .join(winners.alias("w"), _same_text(), "left")
+        .where(~wins | (F.col("n_rows") > 1))
+        .select("t.doc_id", "t.text_key", wins.alias("one_stays")),
+        "chosen-path-others",
     )
-    blank = rows.where("root IS NULL").select("doc_id", "text_key").distinct()
-    once = winners.where("n_rows = 1").select("doc_id", "text_key").union(blank)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     texts = docs.select(row, "doc_id", F.xxhash64("text").alias("text_key"))
-    stay = texts.alias("t").join(once.alias("w"), _same_text(), "left_semi")
-    again = winners.where("n_rows > 1")
+    # Most rows are no copies, so they are told apart without a shuffle.
+    texts = marked(texts, others, ["doc_id", "text_key"])
+    checked = texts.where("maybe").alias("t")
+    stay = texts.where("NOT maybe").drop("maybe")
+    stay = stay.union(checked.join(others.alias("w"), _same_text(), "left_anti").drop("maybe"))
+    again = others.where("one_stays")
     if not again.isEmpty():
-        repeated = texts.alias("t").join(again.alias("w"), _same_text(), "left_semi")
+        repeated = checked.join(again.alias("w"), _same_text(), "left_semi").drop("maybe")
         stay = stay.union(repeated.dropDuplicates(["doc_id", "text_key"]))
     return stay.select("row.*")

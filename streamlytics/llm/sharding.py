@@ -22,6 +22,8 @@ KEY_BITS = 60
 ROUND_BITS = 12
 #: Small, so that small tables split as well; files of a large corpus would take 256 MiB.
 SHARD_BYTES = 1 << 20
+#: Leaves that may be sent to every executor, some 48 bytes each.
+FEW_LEAVES = 1 << 19
 
 
 def _key() -> Column:
@@ -65,6 +67,43 @@ def _round(rows: DataFrame, base: int, limit: int) -> tuple[DataFrame, DataFrame
     return leaves.drop("splits", "parent"), nodes.where(F.col("splits") & (F.col("depth") == deep))
 
 
+def _split(rows: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
+    """``rows`` with their leaf, and the leaves: (depth, prefix, shard_bytes, single)."""
+    found, ends, left = [], [], rows
+    for base in range(0, KEY_BITS, ROUND_BITS):
+        deep = base + ROUND_BITS
+        leaves, large = _round(left, base, limit)
+        leaves = leaves.select(
+            "depth", "prefix", "shard_bytes", (F.col("low") == F.col("high")).alias("single")
+        )
+        ends.append(leaves)
+        # Leaves are fewer than cells, and cells at most one per row: map cells, then rows.
+        cell = F.shiftright("key", KEY_BITS - deep).alias("cell")
+        cells = left.select(cell).distinct()
+        spots = cells.withColumn("depth", F.explode(F.sequence(F.lit(base), F.lit(deep)))).withColumn(
+            "prefix", F.expr(f"shiftright(cell, {deep} - depth)")
+        )
+        homes = spots.join(leaves, ["depth", "prefix"]).select(
+            "cell", "depth", "prefix", "shard_bytes", "single"
+        )
+        found.append(left.withColumn("cell", cell).join(homes, "cell").drop("cell"))
+        if large.isEmpty():
+            break
+        below = large.select(F.col("prefix").alias("cell"))
+        left = written(
+            left.withColumn("cell", cell).join(below, "cell", "left_semi").drop("cell"),
+            "sharding-left",
+        )
+    return reduce(DataFrame.unionAll, found), reduce(DataFrame.unionAll, ends)
+
+
+def _bits() -> Column:
+    """The name of a leaf: its prefix as binary digits."""
+    return F.when(F.col("depth") == 0, F.lit("")).otherwise(
+        F.lpad(F.conv(F.col("prefix").cast("string"), 10, 2), F.col("depth"), F.lit("0"))
+    )
+
+
 def _spread_copies(rows: DataFrame, limit: int) -> DataFrame:
     """Split shards that hold too many copies of one row: no bit tells those apart."""
     per = F.greatest(F.lit(1).cast("bigint"), F.floor(F.lit(limit) / F.col("n_bytes")))
@@ -98,31 +137,7 @@ def sharded(docs: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
     rows; other columns are ignored.
     """
     rows = written(_keys(docs), "sharding-keys")
-    found, left = [], rows
-    for base in range(0, KEY_BITS, ROUND_BITS):
-        deep = base + ROUND_BITS
-        leaves, large = _round(left, base, limit)
-        # Leaves are fewer than cells, and cells at most one per row: map cells, then rows.
-        cell = F.shiftright("key", KEY_BITS - deep).alias("cell")
-        cells = left.select(cell).distinct()
-        spots = cells.withColumn("depth", F.explode(F.sequence(F.lit(base), F.lit(deep)))).withColumn(
-            "prefix", F.expr(f"shiftright(cell, {deep} - depth)")
-        )
-        homes = spots.join(leaves, ["depth", "prefix"]).select(
-            "cell", "depth", "prefix", "shard_bytes", (F.col("low") == F.col("high")).alias("single")
-        )
-        found.append(left.withColumn("cell", cell).join(homes, "cell").drop("cell"))
-        if large.isEmpty():
-            break
-        below = large.select(F.col("prefix").alias("cell"))
-        left = written(
-            left.withColumn("cell", cell).join(below, "cell", "left_semi").drop("cell"),
-            "sharding-left",
-        )
-    bits = F.when(F.col("depth") == 0, F.lit("")).otherwise(
-        F.lpad(F.conv(F.col("prefix").cast("string"), 10, 2), F.col("depth"), F.lit("0"))
-    )
-    placed = reduce(DataFrame.unionAll, found).withColumn("shard", bits).drop("prefix")
+    placed = _split(rows, limit)[0].withColumn("shard", _bits()).drop("prefix")
     heavy = (F.col("shard_bytes") > limit) & F.col("single") & (F.col("n_bytes") < F.col("shard_bytes"))
     columns = ["doc_id", "n_bytes", "key", "shard", "depth", "shard_bytes"]
     crowded = placed.where(heavy)
@@ -138,23 +153,30 @@ def with_shards(docs: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
     Copies of one row that are dealt into parts are numbered, so that every part holds as many as fit.
     """
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "shard"]).alias("row")
-    rows = docs.select(row, _key().alias("key"))
-    first = F.split_part("shard", F.lit("."), F.lit(1))
-    homes = sharded(docs, limit).groupBy("key").agg(
-        F.min(first).alias("prefix"),
-        F.max("n_bytes").alias("n_bytes"),
-        F.max(F.contains("shard", F.lit("."))).alias("dealt"),
-    )
-    homes = written(homes, "sharding-homes")
-    placed = rows.join(homes.where("NOT dealt"), "key").select("row.*", F.col("prefix").alias("shard"))
-    dealt = homes.where("dealt")
-    if dealt.isEmpty():
+    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes")
+    rows = docs.select(row, _key().alias("key"), n_bytes)
+    keys = written(_keys(docs), "sharding-keys")
+    homes, leaves = _split(keys, limit)
+    leaves = written(leaves, "sharding-leaves")
+    if leaves.limit(FEW_LEAVES + 1).count() > FEW_LEAVES:
+        homes = homes.select("key", "depth", "prefix", "shard_bytes", "single").distinct()
+        at_home = rows.join(homes, "key")
+    else:
+        # Texts stay where they are: a row meets its leaf at one of the few depths there are.
+        depths = [F.lit(r["depth"]) for r in leaves.select("depth").distinct().collect()]
+        spots = rows.withColumn("depth", F.explode(F.array(*depths).cast("array<int>")))
+        spots = spots.withColumn("prefix", F.expr(f"shiftright(key, {KEY_BITS} - depth)"))
+        at_home = spots.join(F.broadcast(leaves), ["depth", "prefix"])
+    large = (F.col("shard_bytes") > limit) & F.col("single")
+    dealt = large & (F.col("n_bytes") < F.col("shard_bytes"))
+    placed = at_home.where(~dealt).select("row.*", _bits().alias("shard"))
+    if leaves.where(large).isEmpty():
         return placed
-    some = rows.join(dealt, "key").withColumn("at", F.monotonically_increasing_id())
+    some = at_home.where(dealt).withColumn("at", F.monotonically_increasing_id())
     per = F.greatest(F.lit(1).cast("bigint"), F.floor(F.lit(limit) / F.col("n_bytes")))
     part = F.floor((F.col("rn") - 1) / per)
     some = running_count(some, ["key"], ["at"])
-    return placed.union(some.select("row.*", F.concat_ws(".", "prefix", part).alias("shard")))
+    return placed.union(some.select("row.*", F.concat_ws(".", _bits(), part).alias("shard")))
 
 
 def write_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES) -> None:

@@ -5,7 +5,8 @@ from __future__ import annotations
 import numpy as np
 
 SHINGLE = 5
-_CHUNK_BYTES = 4 << 20
+#: Text hashed at a time; its arrays take some fifty times as much and stay with the worker.
+_CHUNK_BYTES = 1 << 20
 
 _U = np.uint64
 

@@ -18,6 +18,11 @@ _STORES = "org.apache.spark.sql.execution.streaming.state"
 _HEAP_STATE_STORE = f"{_STORES}.HDFSBackedStateStoreProvider"
 _DISK_STATE_STORE = f"{_STORES}.RocksDBStateStoreProvider"
 
+ARROW_BYTES_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+_SPARK_ARROW_BYTES = "67108864b"
+#: Bytes of rows that go to a Python worker at once; a longer row goes alone.
+ARROW_BYTES = 4 << 20
+
 _local_dir: str | None = None
 
 
@@ -50,6 +55,9 @@ def tune(spark: SparkSession) -> SparkSession:
         spark.conf.set(
             "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true"
         )
+    if spark.conf.get(ARROW_BYTES_CONF) == _SPARK_ARROW_BYTES:
+        # Batches stand several times in the memory of a worker and of its executor.
+        spark.conf.set(ARROW_BYTES_CONF, str(ARROW_BYTES))
     sc = spark.sparkContext
     if sc.master.startswith("local") and not sc.getConf().contains("spark.sql.shuffle.partitions"):
         spark.conf.set("spark.sql.shuffle.partitions", str(sc.defaultParallelism))

@@ -4,7 +4,7 @@ import nasty
 import numpy as np
 from pyspark.sql import functions as F
 
-from streamlytics.llm import chosen_path
+from streamlytics.llm import chosen_path, key_filter
 from streamlytics.llm.chosen_path import linked, near_duplicates, without_near_duplicates
 from streamlytics.llm.components import components
 from streamlytics.llm.shingles import shingle_sets
@@ -140,3 +140,27 @@ def test_own_columns_keep_their_names_and_values(spark):
     out = without_near_duplicates(docs)
     assert out.columns == docs.columns
     assert all(r[n] == r["rank"] for r in out.collect() for n in names)
+
+
+def test_rows_that_have_no_key_for_sure(spark):
+    """No row with a key is passed over, and few others are doubtful."""
+    df = spark.range(3000).select(F.when(F.col("id") > 0, F.col("id")).alias("doc_id"), F.xxhash64("id").alias("text_key"))
+    keys = df.where("doc_id IS NULL OR doc_id % 10 = 0")
+    found = key_filter.marked(df, keys, ["doc_id", "text_key"])
+    assert found.columns == [*df.columns, "maybe"] and found.count() == 3000
+    assert found.where("maybe AND (doc_id IS NULL OR doc_id % 10 = 0)").count() == keys.count()
+    assert found.where("maybe").count() < keys.count() + 30
+    assert found.where("maybe IS NULL").isEmpty()
+    assert key_filter.marked(df, keys.limit(0), ["doc_id", "text_key"]).where("maybe").isEmpty()
+
+
+def test_only_doubtful_rows_are_joined(spark, monkeypatch, capsys):
+    """Also where every row is doubtful, the same rows stay."""
+    docs = nasty.docs(spark).unionByName(nasty.docs(spark).where("doc_id % 2 = 0"))
+    rows = lambda df: sorted(str(r) for r in df.collect())
+    kept = without_near_duplicates(docs)
+    kept.explain()
+    assert "bit_or" in capsys.readouterr().out
+    some = rows(kept)
+    monkeypatch.setattr(key_filter, "WORDS", 1)
+    assert rows(without_near_duplicates(docs)) == some

@@ -1,6 +1,7 @@
 import nasty
 from pyspark.sql import functions as F
 
+from streamlytics.llm import sharding
 from streamlytics.llm.sharding import KEY_BITS, sharded, with_shards, write_shards
 
 
@@ -71,3 +72,18 @@ def test_whole_rows_with_their_shards(spark):
         want = sharded(docs, limit).groupBy("shard").agg(F.count("*"), F.sum("n_bytes"))
         assert sizes(out.groupBy("shard").agg(F.count("*"), n_bytes)) == sizes(want)
     assert with_shards(nasty.empty(spark)).count() == 0
+
+
+def test_texts_stay_where_they_are(spark, monkeypatch, capsys):
+    """Rows meet their leaf without a shuffle, and the same one where leaves are too many to send."""
+    docs = nasty.docs(spark)
+    out = with_shards(docs, 10**9)
+    out.explain()
+    assert "Exchange hashpartitioning" not in capsys.readouterr().out
+    rows = lambda df: sorted(str(r) for r in df.collect())
+    for limit in (1, 200):
+        want = rows(with_shards(docs, limit).withColumn("shard", F.split_part("shard", F.lit("."), F.lit(1))))
+        with monkeypatch.context() as m:
+            m.setattr(sharding, "FEW_LEAVES", 0)
+            got = with_shards(docs, limit).withColumn("shard", F.split_part("shard", F.lit("."), F.lit(1)))
+            assert rows(got) == want
