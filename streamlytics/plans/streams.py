@@ -391,14 +391,16 @@ def _app_sql(body: str) -> str:
 
 
 def _run_app(spark, d) -> ClicksApp:
-    """The events are streamed as they are; places join a batch's counts, not its rows."""
+    """The events are streamed with the columns the app reads; places join a batch's counts, not its rows."""
     app = ClicksApp(spark, scratch(spark, "app"), QUERY_THRESHOLD, compact_every=2)
 
     def count(batch, batch_id):
         cells = v.shape_cells(batch, spark, d)
         app.add(cells.select("dt", "area", "city", "userid", "adid", "n"), batch_id)
 
-    each_batch(replayed(spark, d), count)
+    raw = v.table(spark, d, "events").select("ts", "user_id", "props")
+    clicks = replay(raw, batch_of(spark, d)).select(v.event_time(), "user_id", v.event_k())
+    each_batch(clicks, count)
     return app
 
 

@@ -5,7 +5,7 @@ Zone-free timestamps become instants here and nowhere else.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamlytics.functions.text import text_map, words_of
@@ -17,12 +17,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def event_time() -> Column:
+    return F.col("ts").cast("timestamp").alias("ts")
+
+
+def event_k() -> Column:
+    return F.get_json_object("props", "$.k").cast("int").alias("k")
+
+
 def shape_events(events: DataFrame) -> DataFrame:
     """Works on the stream of the events table too."""
-    k = F.get_json_object("props", "$.k").cast("int")
     return events.select(
-        "event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type",
-        "value", k.alias("k"), "props",
+        "event_id", event_time(), "user_id", "event_type", "value", event_k(), "props"
     )
 
 

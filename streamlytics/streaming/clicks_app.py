@@ -83,7 +83,9 @@ class ClicksApp:
 
     def _extend_blacklist(self, kept: DataFrame, batch_id: int, days: Column) -> None:
         self.counters.write(agg.daily_user_ad_clicks(kept, "n", "dt"), batch_id)
-        now = self.counters.batch(batch_id).select("dt", "userid", "adid")
-        total = self.counters.read(before=batch_id + 1, where=days, only=now)
+        new, keys = self.counters.batch(batch_id), ["dt", "userid", "adid"]
+        # The batch's own counters need no look for their keys; only older ones do.
+        old = self.counters.read(before=batch_id, where=days, only=new.select(*keys))
+        total = new.unionByName(old).groupBy(*keys).agg(F.sum("click_count").alias("click_count"))
         reached = total.where(F.col("click_count") >= self.threshold)
         self.blacklist.write(reached.select("userid").distinct(), batch_id)

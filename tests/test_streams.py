@@ -4,7 +4,7 @@ import random
 from collections import defaultdict
 
 import pytest
-from conftest import rows
+from conftest import SF, rows
 from pyspark.sql import functions as F
 
 from streamlytics import schemas
@@ -12,6 +12,7 @@ from streamlytics.functions import parse
 from streamlytics.operators import blacklist as bl
 from streamlytics.operators import counts, topn
 from streamlytics.operators import windows as w
+from streamlytics.plans import streams
 from streamlytics.session import scratch, shared_dir
 from streamlytics.sources.replay import replay, time_slice
 from streamlytics.streaming import sinks, state
@@ -448,3 +449,15 @@ def test_state_is_read_between_batches(spark):
     for b, want in enumerate(seen):
         assert rows(read_state(spark, checkpoint, b).select("key.k", "value.count")) == want
     assert rows(read_state(spark, checkpoint).select("key.k", "value.count")) == seen[-1]
+
+
+def test_the_app_streams_only_columns_it_reads(spark, monkeypatch):
+    seen, real = [], streams.replay
+
+    def watched(df, *args, **options):
+        seen.append(df.columns)
+        return real(df, *args, **options)
+
+    monkeypatch.setattr(streams, "replay", watched)
+    streams._run_app(spark, SF)
+    assert seen == [["ts", "user_id", "props"]]
