@@ -8,7 +8,8 @@ import numpy as np
 
 from streamlytics.llm.shingles import _BYTE, _LOWER, _U, _steps, mix
 
-BATCH_BYTES = 4 << 20
+#: Text hashed at a time; its arrays take some thirty times as much, in each Python worker.
+BATCH_BYTES = 1 << 20
 
 # Any byte of a character beyond ASCII counts as a letter.
 _SPLITS = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])

@@ -1,3 +1,5 @@
+import tracemalloc
+
 import nasty
 import numpy as np
 from conftest import SF
@@ -57,6 +59,17 @@ def test_terms_are_whole_words_and_their_beginnings():
     assert b < a and len(a) == 2 + len(toxicity.PREFIXES)
 
 
+def test_terms_take_bounded_memory():
+    """Two workers beside a grown heap took an executor over its memory."""
+    texts = ["some more words of a longer text " * 120] * 2000
+    vocabulary = np.unique(toxicity.terms([texts[0].encode()])[1])
+    tracemalloc.start()
+    row, _, _ = toxicity.described(texts, vocabulary)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 96 << 20 and np.array_equal(np.unique(row), np.arange(2000))
+
+
 def test_toxicity_on_held_out_documents(spark):
     docs, labels = (spark.read.parquet(f"{MORE}/{t}.parquet") for t in ("documents", "labels"))
     held = F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0
