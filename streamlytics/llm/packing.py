@@ -16,8 +16,10 @@ ASCII blanks and drops them, which ``splits_at_blanks`` checks; else whole texts
 from __future__ import annotations
 
 import json
+import os
 import re
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -32,16 +34,17 @@ from streamlytics.operators.enrich import broadcast_if_few
 LENGTH = 2048
 END = 1
 #: Characters that are cut into words at a time, and words whose ids a task remembers.
-SLICE_CHARS = 2 << 20
-REMEMBERED = 120_000  # and as many from before
+SLICE_CHARS = 5 << 20
+REMEMBERED = 250_000  # and as many from before
 #: Partitions, or blocks of them, that one window adds up.
 BLOCK = 1024
 
-_BLANKS = r"[ \t\n\v\f\r]+"
 # Fixed value: a split of letters, digits and signs, with the English endings that may begin by '.
 _CLASSES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: ASCII signs, without ' and those that special tokens begin and end with.
 _SIGNS = r"[!-&(-/:;=?@\[-`{}~]"
+#: Small Latin letters and digits.
+_LETTER = "[a-z0-9ß-öø-ÿ]"
 #: Small Latin letters: one character each, in no other form.
 _simple = re.compile("[a-zß-öø-ÿ]+").fullmatch
 _ID = np.dtype("<u4")
@@ -104,12 +107,22 @@ def _gather(flat: np.ndarray, sizes: np.ndarray, codes: np.ndarray, offsets: np.
     return values, np.diff(np.concatenate([[0], ends])[offsets])
 
 
+def _numbers(known: dict[str, int], words: list[str]) -> np.ndarray:
+    return np.fromiter(map(known.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+
+
 class WordIds:
-    """Ids of words, encoded when they are first met and remembered while they are met again."""
+    """Ids of words, encoded when they are first met and remembered while they are met again.
+
+    A word has a number; the ids of all numbered words stand one after the other in ``row``, and
+    ``sizes`` says how many each has.
+    """
 
     def __init__(self, definition: str):
         from tokenizers import AddedToken, Tokenizer
 
+        # Spark deals out the cores; a worker's own threads would share its one.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.definition, self.plain = definition, None
         self.tok = Tokenizer.from_str(definition)
         self.tok.no_truncation(), self.tok.no_padding()
@@ -117,46 +130,69 @@ class WordIds:
         self.cut = self.tok.token_to_id(_CUT)
         self.by_blanks = splits_at_blanks(definition)
         self.by_signs = self.by_blanks and _splits_at_signs(definition)
-        self.added = [t["content"] for t in json.loads(definition)["added_tokens"]]
+        # With the signs that it begins with, which are so in any case.
+        self.added = [
+            (t["content"], re.match(r"[!-/:-@\[-`{-~]*", t["content"])[0])
+            for t in json.loads(definition)["added_tokens"]
+        ]
         if self.by_signs:
             self.light, self.ends_word = _light(definition)
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        none = np.zeros(0, dtype=_ID), np.zeros(0, dtype=np.int64)
+        self.known, self.row, self.sizes = {}, *none
+        self.older, self.older_row, self.older_sizes = {}, *none
 
-    def of(self, words: list[str]) -> list[bytes]:
+    def of(self, words: list[str]) -> np.ndarray:
+        """The numbers of ``words``, which are all different."""
         if len(self.known) > REMEMBERED:
-            self.known, self.older = {}, self.known
-        new = []
-        for word in words:
-            if word not in self.known:
-                if word in self.older:
-                    self.known[word] = self.older[word]
-                else:
-                    new.append(word)
-        for at in range(0, len(new), 1024):
-            self.learn(new[at : at + 1024])
-        return [self.known[w] for w in words]
+            self.older, self.older_row, self.older_sizes = self.known, self.row, self.sizes
+            self.known, self.row, self.sizes = {}, self.row[:0], self.sizes[:0]
+        found = _numbers(self.known, words)
+        new = np.flatnonzero(found < 0)
+        missing = [words[i] for i in new.tolist()]
+        before = _numbers(self.older, missing)
+        kept = np.flatnonzero(before >= 0)
+        again = before[kept]
+        row, _ = _gather(self.older_row, self.older_sizes, again, np.array([0, len(again)]))
+        found[new[kept]] = np.arange(len(again)) + len(self.sizes)
+        self._keep([missing[i] for i in kept.tolist()], row, self.older_sizes[again])
+        unknown = np.flatnonzero(before < 0)
+        missing = [missing[i] for i in unknown.tolist()]
+        self.learn(missing)
+        found[new[unknown]] = _numbers(self.known, missing)
+        return found
 
     def learn(self, words: list[str]) -> None:
-        """One call for many words: a call costs more than a word."""
-        if self.by_signs:
-            simple = [w for w in words if _simple(w)]
-            packed = np.array(self.light.encode(" ".join(simple), add_special_tokens=False).ids, dtype=_ID)
-            ends = np.flatnonzero(self.ends_word[packed]) + 1
-            self._keep(simple, packed, [0, *ends.tolist()], ends.tolist())
-            words = [w for w in words if w not in self.known]
-        for word in words:
-            if _CUT[0] in word:
-                self.known[word] = self.ids(word)
-        words = [w for w in words if _CUT[0] not in w]
-        packed = np.array(self.tok.encode(_CUT.join(words), add_special_tokens=False).ids, dtype=_ID)
-        cuts = np.flatnonzero(packed == self.cut)
-        self._keep(words, packed, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(packed)])
-
-    def _keep(self, words: list[str], packed: np.ndarray, begin: list[int], end: list[int]) -> None:
-        data, size = packed.tobytes(), _ID.itemsize
-        for word, a, b in zip(words, begin, end, strict=False):
-            self.known[word] = data[a * size : b * size]
+        """Calls for many words each: a call costs more than a word."""
+        parts = []
+        for at in range(0, len(words), 1024):
+            some = words[at : at + 1024]
+            simple = list(filter(_simple, some)) if self.by_signs else []
+            if simple:
+                packed = self._encode(self.light, " ".join(simple))
+                parts.append((simple, packed, np.diff(np.flatnonzero(self.ends_word[packed]), prepend=-1)))
+                some = [w for w in some if not _simple(w)]
+            for word in (w for w in some if _CUT[0] in w):
+                ids = np.frombuffer(self.ids(word), dtype=_ID)
+                parts.append(([word], ids, np.array([len(ids)])))
+            some = [w for w in some if _CUT[0] not in w]
+            if some:
+                packed = self._encode(self.tok, _CUT.join(some))
+                cuts = np.flatnonzero(packed == self.cut)
+                sizes = np.diff([-1, *cuts, len(packed)]) - 1
+                parts.append((some, np.delete(packed, cuts), sizes))
+        if parts:
+            named, rows, sizes = zip(*parts, strict=True)
+            self._keep([w for some in named for w in some], np.concatenate(rows), np.concatenate(sizes))
+
+    @staticmethod
+    def _encode(tok, text: str) -> np.ndarray:
+        """The ids alone, without the places in the text."""
+        return np.array(tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=_ID)
+
+    def _keep(self, words: list[str], row: np.ndarray, sizes: np.ndarray) -> None:
+        assert len(words) == len(sizes) and int(sizes.sum()) == len(row)
+        self.known.update(zip(words, range(len(self.sizes), len(self.sizes) + len(words)), strict=True))
+        self.row, self.sizes = np.concatenate([self.row, row]), np.concatenate([self.sizes, sizes])
 
     def ids(self, text: str) -> bytes:
         """The ids of a text as it is."""
@@ -169,13 +205,13 @@ class WordIds:
 
     def _rows(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all ``words``, one after the other, and how many each has."""
-        ids = self.of(words.to_pylist())
-        sizes = np.array([len(i) // _ID.itemsize for i in ids], dtype=np.int64)
-        return np.frombuffer(b"".join(ids), dtype=_ID), sizes
+        found = self.of(words.to_numpy(zero_copy_only=False).tolist())
+        return _gather(self.row, self.sizes, found, np.arange(len(found) + 1))
 
     def _split(self, texts: pa.Array, rows) -> tuple[np.ndarray, np.ndarray]:
         """As ``rows`` gives it, of blank-separated parts, for whole texts."""
-        parts = pc.split_pattern_regex(texts, _BLANKS)
+        # Arrow's ASCII blanks are space and \t to \r.
+        parts = pc.ascii_split_whitespace(texts)
         coded = parts.flatten().dictionary_encode()
         offsets = parts.offsets.to_numpy() - parts.offsets[0].as_py()
         return _gather(*rows(coded.dictionary), coded.indices.to_numpy(), offsets)
@@ -184,10 +220,11 @@ class WordIds:
         """Words that differ by case or by a sign before or after them are encoded once."""
         if not self.by_signs:
             return self._rows(words)
-        apart = pc.replace_substring_regex(pc.ascii_lower(words), f"([a-z0-9])({_SIGNS})", r"\1 \2")
-        apart = pc.replace_substring_regex(apart, f"({_SIGNS})([a-z0-9])", r"\1 \2")
-        for token in self.added:  # it is what it is in its own case only
-            apart = pc.if_else(pc.match_substring(words, token, ignore_case=True), words, apart)
+        apart = pc.replace_substring_regex(pc.ascii_lower(words), f"({_LETTER})({_SIGNS})", r"\1 \2")
+        apart = pc.replace_substring_regex(apart, f"({_SIGNS})({_LETTER})", r"\1 \2")
+        for token, signs in self.added:  # it is what it is in its own case only
+            if pc.any(pc.match_substring(words, signs)).as_py():
+                apart = pc.if_else(pc.match_substring(words, token, ignore_case=True), words, apart)
         return self._split(apart, self._rows)
 
     def encode(self, texts: pa.Array) -> list[bytes]:

@@ -54,6 +54,14 @@ def test_few_words_are_remembered(monkeypatch):
         assert len(words.known) <= 5 + 9
 
 
+def test_signs_are_cut_off_words_in_any_language():
+    """Else each word is encoded anew with each sign beside it."""
+    words, tok = WordIds(DEFINITION), Tokenizer.from_str(DEFINITION)
+    text = "café café, (café) CAFé. café; größe größe!  ñ, 'ñ' =\u0338é é=\u0338"
+    assert np.frombuffer(words.encode(pa.array([text]))[0], dtype="<u4").tolist() == tok.encode(text, add_special_tokens=False).ids
+    assert {w for w in words.known if "caf" in w or "gr" in w} <= {"café", "größe"}
+
+
 def check(docs, length, parts):
     """Pieces and sequences hold every id of every document once, in order, without gaps."""
     tokens = tokenised(docs.repartition(parts), DEFINITION)
