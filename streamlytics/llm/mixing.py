@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streamlytics.llm.common import WORD, written
+from streamlytics.llm.key_filter import marked, told
+from streamlytics.operators.enrich import broadcast_if_few
 from streamlytics.operators.ordered import running_count
 
 #: Most elements of one array that repeats a row.
@@ -274,24 +276,31 @@ def mixed(
     are taken once more, these are the first by a hash of the whole row.
     """
     unit = ["source", "doc_id", "text_key"]
-    plan = written(_plan(docs, weights, most).where("whole > 0 OR more > 0"), "mixing-plan")
+    plan = written(_plan(docs, weights, most), "mixing-plan")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     texts = docs.select(row, "source", "doc_id", F.xxhash64("text").alias("text_key"))
     same = reduce(lambda a, b: a & b, [F.col(f"d.{c}").eqNullSafe(F.col(f"p.{c}")) for c in unit])
-    uneven = (F.col("more") > 0) & (F.col("more") < F.col("n_rows"))
-
-    def taken(units: DataFrame, *more: str) -> DataFrame:
-        return texts.alias("d").join(units.alias("p"), same).select("d.row", *more, "whole", "more")
-
-    each = F.col("whole") + (F.col("more") > 0).cast("bigint")
-    kept = taken(plan.where(~uneven)).select("row", each.alias("copies"))
-    some = plan.where(uneven)
-    if not some.isEmpty():
-        rows = taken(some, *[f"d.{c}" for c in unit])
+    # The whole part is the source's; which units are taken once more is told without moving texts.
+    whole = broadcast_if_few(plan.groupBy("source").agg(F.max("whole").alias("whole")))
+    once_more = F.col("more") == F.col("n_rows")
+    texts = told(texts, plan.where(once_more), plan.where(~once_more), unit)
+    texts = texts.alias("d").join(whole.alias("p"), F.col("d.source").eqNullSafe(F.col("p.source")))
+    texts = texts.select("d.*", "whole")
+    each = (F.col("whole") + F.col("has").cast("bigint")).alias("copies")
+    uneven = plan.where((F.col("more") > 0) & ~once_more)
+    if uneven.isEmpty():
+        kept = texts.select("row", each)
+    else:
+        found = marked(texts, uneven, unit)
+        some = found.where("maybe").alias("d")
+        kept = found.where("NOT maybe").select("row", each)
+        kept = kept.unionAll(some.join(uneven.alias("p"), same, "left_anti").select("row", each))
+        rows = some.join(uneven.alias("p"), same).select("d.row", *[f"d.{c}" for c in unit], "d.whole", "more")
         # Equal rows may swap their places, so any order among them will do.
         rows = rows.withColumns({"by": F.xxhash64("row"), "tie": F.monotonically_increasing_id()})
         rows = running_count(rows, unit, ["by", "tie"])
         each = F.col("whole") + (F.col("rn") <= F.col("more")).cast("bigint")
-        kept = kept.unionAll(rows.select("row", each.alias("copies")).where("copies > 0"))
+        kept = kept.unionAll(rows.select("row", each.alias("copies")))
+    kept = kept.where("copies > 0")
     repeat = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))
     return kept.select("row", repeat.alias("copy")).select("row.*")

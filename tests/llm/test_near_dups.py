@@ -164,3 +164,18 @@ def test_only_doubtful_rows_are_joined(spark, monkeypatch, capsys):
     some = rows(kept)
     monkeypatch.setattr(key_filter, "WORDS", 1)
     assert rows(without_near_duplicates(docs)) == some
+
+
+def test_keys_are_told_without_moving_rows(spark, monkeypatch, capsys):
+    monkeypatch.setattr(key_filter, "WORDS", 8)
+    names = ["doc_id", "text_key"]
+    every = [(i if i % 50 else None, i * 7) for i in range(600)]
+    df = spark.createDataFrame([(*k, c) for k in every for c in "ab"], "doc_id bigint, text_key bigint, own string")
+    for share, few in ((3, 1 << 20), (3, 0), (600, 1 << 20), (1, 1 << 20)):
+        keys = spark.createDataFrame([k for k in every if k[1] % share == 0], "doc_id bigint, text_key bigint")
+        others = spark.createDataFrame([k for k in every if k[1] % share], "doc_id bigint, text_key bigint")
+        found = key_filter.told(df, keys, others, names, few)
+        assert found.columns == [*df.columns, "has"]
+        assert sorted(map(repr, found.collect())) == sorted(map(repr, df.withColumn("has", df.text_key % share == 0).collect()))
+    found.explain()
+    assert "hashpartitioning(doc_id" not in capsys.readouterr().out
